@@ -7,8 +7,9 @@ from demandpanel.llm.line_dedup import OP7_SQL, op7_line_dedup
 from demandpanel.llm.packing import op8_best_fit_packing
 from demandpanel.llm.secrets import op5_secret_scan
 from demandpanel.llm.sharding import op1_sharding
+from demandpanel.llm.toxicity import op2_toxicity
 from demandpanel.llm.url_filter import op10_url_filter
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_exact_dedup, op5_secret_scan, op6_decontamination, op7_line_dedup, op8_best_fit_packing, op9_language_id, op10_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_exact_dedup, op5_secret_scan, op6_decontamination, op7_line_dedup, op8_best_fit_packing, op9_language_id, op10_url_filter)}
 
 ORACLES = {"op3_exact_dedup": OP3_SQL, "op7_line_dedup": OP7_SQL}
