@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,3 +57,14 @@ def whole(text: Column) -> Column:
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % parts == part, F.lit(False))
+
+
+def kept(name: str, make: Callable):
+    """What ``make`` returns, once per Python worker: a worker runs one task after the other and keeps its caches."""
+    store = vars(sys.modules.setdefault("_demandpanel_kept", types.ModuleType("_demandpanel_kept")))
+    if name not in store:
+        store[name] = make()
+    return store[name]
+
+
+by_value(__name__)

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import by_value, cut, read
+from demandpanel.llm.common import by_value, cut, kept, read
 from demandpanel.llm.decontaminate import words
 
 by_value(__name__)
@@ -123,7 +123,7 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """Per row its id, ``check`` (a hash of the text), ``key`` (128 bits of its words) and ``bands``, empty without words."""
 
     def sign(batches):
-        shingler = Shingler()
+        shingler = kept("shingler", Shingler)
         for batch in batches:
             keys, bands = [], []
             texts = batch.column(2).to_pylist()
@@ -251,7 +251,7 @@ def _verified(docs: DataFrame, nodes: DataFrame, near: DataFrame, id_col: str, t
     texts = texts.join(F.broadcast(wanted) if n * 64 <= BROADCAST_BYTES else wanted, same).select("node", "root", "blocks", "_text")
 
     def shingle(batches):
-        shingler = Shingler()
+        shingler = kept("shingler", Shingler)
         for batch in batches:
             sets = [np.sort(expanded(*shingler(words(t)))).tobytes() for t in batch.column(3).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], names=["node", "root", "blocks", "units"])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from bisect import bisect_right, insort
 
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import by_value, cut, read
+from demandpanel.llm.common import by_value, cut, kept, read
 
 by_value(__name__)
 
@@ -20,14 +21,17 @@ CAPACITY = 2048
 #: Pieces that one task packs, on average. A group wastes part of its last sequence only.
 GROUP = 16384
 #: Chunks between spaces whose ids a task remembers, and the longest that it does.
-CACHE, LONGEST = 400_000, 64
+CACHE, LONGEST = 800_000, 64
+#: Signs that close a word; each run of them is tokenized apart from the letters before it.
+SIGNS = ".,;:!?*#$%&|)"
 
 
 class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit numbers, with id 0 at its end.
 
-    The tokenizer drops white space and never joins what stands on both sides of it, so ids are looked up by chunk
-    between spaces or line ends, and each new chunk is tokenized once.
+    The tokenizer lowers letters, drops white space, and joins neither what stands on both sides of a space nor letters
+    and signs. So ids are looked up by chunk between spaces or line ends, and a chunk of letters and closing signs by its two
+    parts; only what is new is tokenized, all new words of a text at once.
     """
 
     def __init__(self, path: str):
@@ -35,19 +39,44 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def learn(self, chunks: list[str]) -> None:
+        cores = {c: c.rstrip(SIGNS) for c in chunks}
+        plain = list({w for w in cores.values() if w.isalpha() and w not in self.known})
+        if plain:
+            # a run of letters is one word, and a word's last token says so
+            ids = self.encode([" ".join(plain)])[0]
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            parts = np.split(ids, ends[:-1]) if len(ends) == len(plain) else self.encode(plain)
+            self.known.update((w, x.tobytes()) for w, x in zip(plain, parts, strict=True))
+        signs = list({c[len(w) :] for c, w in cores.items() if w.isalpha() and c[len(w) :] not in self.known})
+        others = [c for c, w in cores.items() if not w.isalpha() and c not in self.known]
+        for new in (signs, others):
+            self.known.update((c, x.tobytes()) for c, x in zip(new, self.encode(new), strict=True))
+        for c, w in cores.items():
+            if c not in self.known:
+                self.known[c] = self.known[w] + self.known[c[len(w) :]]
 
     def __call__(self, text: str) -> bytes:
+        # the one letter that Python lowers by what surrounds it; and lowering must not come before composing
+        if "\u03a3" not in text and unicodedata.is_normalized("NFC", text):
+            text = text.lower()
         chunks = text.replace("\n", " ").split(" ")
-        new = [c for c in set(chunks) if c not in self.known]
-        if len(self.known) + len(new) > CACHE:
+        if len(self.known) > CACHE:
             self.known = {"": b""}
-            new = list(set(chunks) - {""})
-        for c, x in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.known[c] = np.array(x.ids, "<u4").tobytes()
-        ids = b"".join([self.known[c] for c in chunks])
+        new = [c for c in set(chunks) if c not in self.known]
+        if new:
+            self.learn(new)
+        ids = b"".join(map(self.known.__getitem__, chunks))
         for c in new:
             if len(c) > LONGEST:
-                del self.known[c]
+                self.known.pop(c, None)
         return ids + b"\0\0\0\0"
 
 
@@ -59,7 +88,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """
 
     def cut_up(batches):
-        encode = Encoder(tokenizer)
+        encode = kept(f"encoder {tokenizer}", lambda: Encoder(tokenizer))
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             row, piece, start, length, crc = [], [], [], [], []
