@@ -45,6 +45,14 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Holds what passes to Python at once to ``rows`` rows, if the session allows more: texts are large, and two copies
+    of a batch exist on either side."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def by_value(module: str) -> None:
     """Sends the Python functions of a module to the executors whole, which then need no copy of this package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])

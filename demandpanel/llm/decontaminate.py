@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import by_value, cut, read
+from demandpanel.llm.common import bounded_batches, by_value, cut, read
 
 by_value(__name__)
 
@@ -183,6 +183,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """
     if window > SLOP:
         raise ValueError(f"windows have {SLOP} words at most")
+    bounded_batches(docs.sparkSession)
     found = []
     for block in _blocks(benchmark, item_col, item_text_col, window, block_words):
         block.arrange(term_counts(docs, block, text_col))

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import by_value, held_out, read
+from demandpanel.llm.common import bounded_batches, by_value, held_out, read
 
 by_value(__name__)
 
@@ -102,6 +102,7 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
                     total[lang] = total.get(lang, 0) + shares[[x == lang for x in names]].sum(0, dtype=np.float64) @ rows
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=["lang", "vector"])
 
+    bounded_batches(labelled.sparkSession)
     rows = labelled.select(text_col, F.col(lang_col).cast("string")).filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
     parts = rows.mapInArrow(sums, "lang string, vector array<double>").select("lang", F.posexplode("vector").alias("i", "x"))
     summed = parts.groupBy("lang", "i").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("vector"))
@@ -118,6 +119,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "
     ``und`` with score 0 where the text is null or has no letter, or nothing was learned. Of tied languages the first by
     name wins. Whole texts are read; repeated rows get one answer; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     names = sorted(prototypes)
     matrix = np.array([prototypes[x] / max(np.linalg.norm(prototypes[x]), 1e-12) for x in names], np.float32)
 

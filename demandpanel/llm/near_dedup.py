@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import by_value, cut, kept, read
+from demandpanel.llm.common import bounded_batches, by_value, cut, kept, read
 from demandpanel.llm.decontaminate import words
 
 by_value(__name__)
@@ -23,7 +23,7 @@ BANDS, ROWS = 32, 8
 #: Nodes in a block of a large neighbourhood, keys of more than 1/HEAVY of all rows, and most bytes of broadcast rows.
 BLOCK, HEAVY, BROADCAST_BYTES = 500, 1000, 32_000_000
 #: Texts whose darts are thrown together, and word hashes that a task remembers.
-TOGETHER, REMEMBERED = 64, 500_000
+TOGETHER, REMEMBERED = 64, 200_000
 
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -126,10 +126,9 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         shingler = kept("shingler", Shingler)
         for batch in batches:
             keys, bands = [], []
-            texts = batch.column(2).to_pylist()
-            for k in range(0, len(texts), TOGETHER):
+            for k in range(0, len(batch), TOGETHER):
                 sets, at = [], []
-                for text in texts[k : k + TOGETHER]:
+                for text in batch.column(2).slice(k, TOGETHER).to_pylist():
                     ws = words(text)
                     named = b" ".join(ws) if ws else b"\0" + (text or "").encode("utf-8", "surrogatepass")
                     keys.append(hashlib.blake2b(named, digest_size=16).digest())
@@ -219,6 +218,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null text counts as empty. Texts without words are alike only if equal. Null ids come before all others; repeated
     rows (same id and text) share their verdict. An empty table gives an empty result; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     rows = cut(signed(docs, id_col, text_col))
     nodes = cut(rows.groupBy("key").agg(F.min(F.struct("_id", "check")).alias("rep"), F.count("*").alias("n"), F.first("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()))
     band = nodes.select("node", F.explode("bands").alias("band"))

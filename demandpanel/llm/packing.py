@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import by_value, cut, kept, read
+from demandpanel.llm.common import bounded_batches, by_value, cut, kept, read
 
 by_value(__name__)
 
@@ -21,7 +21,7 @@ CAPACITY = 2048
 #: Pieces that one task packs, on average. A group wastes part of its last sequence only.
 GROUP = 16384
 #: Chunks between spaces whose ids a task remembers, and the longest that it does.
-CACHE, LONGEST = 800_000, 64
+CACHE, LONGEST = 500_000, 64
 #: Signs that close a word; each run of them is tokenized apart from the letters before it.
 SIGNS = ".,;:!?*#$%&|)"
 
@@ -165,6 +165,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
     are dealt at random to groups of about ``group``, each packed by one task, so a task's memory is bounded and equal
     rows spread. Repeated rows are packed each; an empty table gives an empty result; other columns are ignored.
     """
+    bounded_batches(docs.sparkSession)
     cuts = cut(pieces(docs, tokenizer or public_tokenizers.path("word_bpe_49k.json"), id_col, text_col, capacity))
     groups = -(-max(cuts.count(), 1) // group)
     dealt = cuts.withColumn("_group", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))

@@ -13,7 +13,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import by_value, cut, held_out, read, whole
+from demandpanel.llm.common import bounded_batches, by_value, cut, held_out, read, whole
 
 by_value(__name__)
 
@@ -100,6 +100,7 @@ class Model:
 
 def _features(docs: DataFrame, lexicons: list[tuple[frozenset[str], frozenset[str]]], which: Column, text_col: str, keep: list[str]) -> DataFrame:
     """The columns ``keep`` and ``_x``, the features as array, by the lexicon of number ``which``."""
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((lexicons, frozenset(SECOND_PERSON)))
 
     def count(batches):
