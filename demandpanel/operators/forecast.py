@@ -43,11 +43,9 @@ def croston(panel: DataFrame, alpha: float = 0.1, alpha_interval: float | None =
     rows = panel.filter(sold).select(*keys, "date", F.col(y).cast("double").alias("_q"), F.datediff("date", F.lag("date").over(w)).alias("_g"), F.row_number().over(w).alias("_i"), F.count("*").over(every).alias("_n"))
     i, n = F.col("_i"), F.col("_n")
     size = F.when(i == 1, F.pow(F.lit(1 - a), n - 1)).otherwise(F.lit(a) * F.pow(F.lit(1 - a), n - i))
-    gap = F.when(i == 2, F.pow(F.lit(1 - b), n - 2)).otherwise(F.lit(b) * F.pow(F.lit(1 - b), n - i))
-    # the gap before demand i is applied one step late, so the last one never is
-    late = F.when(i == 2, F.pow(F.lit(1 - b), n - 2)).when(i > 2, gap)
+    gap = F.when(i == 2, F.pow(F.lit(1 - b), n - 2)).when(i > 2, F.lit(b) * F.pow(F.lit(1 - b), n - i))
     out = rows.groupBy(*keys).agg(
-        F.count("*").alias("n_demands"), F.sum(F.col("_q") * size).alias("_z"), F.sum(F.col("_g") * late).alias("_p"), F.min("date").alias("_first"),
+        F.count("*").alias("n_demands"), F.sum(F.col("_q") * size).alias("_z"), F.sum(F.col("_g") * gap).alias("_p"), F.min("date").alias("_first"),
         F.var_pop("_q").alias("demand_variance"), F.var_pop("_g").alias("interval_variance"), F.stddev_pop("_q").alias("_sd"), F.avg("_q").alias("_mean"), F.avg("_g").alias("adi"), F.sum("_q").alias("_sum"),
     )
     out = ends.join(out, list(keys), "left").fillna({"n_demands": 0})

@@ -26,7 +26,7 @@ from demandpanel.sources import testdata as T
 from demandpanel.sources.testdata import CFG
 
 Z95 = NormalDist().inv_cdf(0.975)
-AFTER = F.col("date") > F.lit(CUTOFF)
+AFTER, BEFORE = f"date > DATE '{CUTOFF}'", f"date <= DATE '{CUTOFF}'"
 ABC_ONLY = ABC_CTE[len(SALES) :]  # follows any list that begins with the sales tables
 
 # forecasts
@@ -146,7 +146,7 @@ def f24_quantile_blend(spark, sf):
 @query(KD + "pred_disagg:d pred_uniform:d", f"SELECT v.store_id, v.sku_id, v.date, coalesce(wf, 0) / 7 * coalesce(w, 1) AS pred_disagg, coalesce(wf, 0) / 7 AS pred_uniform FROM (SELECT * FROM panel WHERE date > {CUT}) v LEFT JOIN (SELECT store_id, sku_id, avg(s) AS wf FROM (SELECT store_id, sku_id, date_trunc('week', date) AS wk, sum(y) AS s FROM panel WHERE date <= {CUT} AND date > {CUT} - 28 GROUP BY ALL) GROUP BY ALL) a ON v.store_id = a.store_id AND v.sku_id = a.sku_id LEFT JOIN (SELECT store_id, sku_id, dayofweek(date) AS d, sum(y) / any_value(t) * 7 AS w FROM panel JOIN (SELECT store_id, sku_id, sum(y) AS t FROM panel WHERE date <= {CUT} GROUP BY ALL) USING (store_id, sku_id) WHERE date <= {CUT} GROUP BY ALL) b ON v.store_id = b.store_id AND v.sku_id = b.sku_id AND dayofweek(v.date) = b.d", PANEL)
 def f26_disaggregation(spark, sf):
     df = T.panel(spark, sf)
-    return FC.disaggregate(df.filter(~AFTER), df.filter(AFTER).select(*KEYS, "date"))
+    return FC.disaggregate(df.filter(BEFORE), df.filter(AFTER).select(*KEYS, "date"))
 
 
 @query(KD + "yhat:d", "SELECT * EXCLUDE (yhat), 0.6 * pred_roll28 + 0.4 * pred_lag7 AS yhat FROM pv", PQ)
@@ -318,7 +318,7 @@ def m19_best_candidate(spark, sf):
 def m20_fit_gap(spark, sf):
     df = predictions(spark, sf)
     score = lambda x: M.metrics(x, ["pred_smart"], ("dormancy_bucket",), ["wmape"])
-    return M.fit_gap(score(df.filter(~AFTER)), score(df.filter(AFTER)), "dormancy_bucket")
+    return M.fit_gap(score(df.filter(BEFORE)), score(df.filter(AFTER)), "dormancy_bucket")
 
 
 # gates
@@ -412,7 +412,7 @@ def q14_gate_forecast(spark, sf):
 @query(GATE, "SELECT unnest(['forecast_when_closed', 'negative']) AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'series_only_in_train', 0.0, 'INFO' UNION ALL SELECT 'series_only_in_val', count(*), 'INFO' FROM pairs WHERE first_date > " + CUT, SALES)
 def q15_gate_predictions(spark, sf):
     df = predictions(spark, sf)
-    return Q.gate_predictions(df.filter(~AFTER), df.filter(AFTER), "pred_smart")
+    return Q.gate_predictions(df.filter(BEFORE), df.filter(AFTER), "pred_smart")
 
 
 # summaries
