@@ -13,8 +13,6 @@ from demandpanel.operators import calendar as C
 from demandpanel.operators import clean as P
 from demandpanel.operators import eda as E
 from demandpanel.operators import forecast as FC
-from demandpanel.operators import gates as Q
-from demandpanel.operators import metrics as M
 from demandpanel.operators import panel as J
 from demandpanel.operators import stats as A
 from demandpanel.operators import windows as W

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from demandpanel.config import KEYS
 from demandpanel.operators import calendar as C
-from demandpanel.operators import clean as P
 from demandpanel.operators import eda as E
 from demandpanel.operators import forecast as FC
 from demandpanel.operators import gates as Q
