@@ -16,7 +16,7 @@ KINDS = ("assign", "access", "hex", "live")
 
 #: Further credential shapes, looked up among the owners only: any run of 20 or more token characters.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
-PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0123456|123456789|abcdef0|(.)\1{7}"
+PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0123456|123456789|abcdef0|0{8}|1{8}|a{8}"
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -127,3 +127,29 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own
 
 def op5_secret_scan(spark, sf_dir: str) -> DataFrame:
     return secrets(read(spark, sf_dir, "documents")).withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
+def _sql() -> str:
+    q = lambda r: "'" + r.replace("'", "''") + "'"
+    found = " UNION ALL ".join(
+        f"SELECT rid, o, '{kind}' AS kind, {k} AS ord, m, v, p FROM (SELECT rid, o, regexp_extract_all(t, {q(r)}) AS m, regexp_extract_all(t, {q(r)}, {g}) AS v, string_split_regex(t, {q(r)}) AS p FROM d)"
+        for k, (kind, r, g) in enumerate((("assign", ASSIGN, 2), ("access", ACCESS, 0), ("hex", HEX, 0), ("token", TOKEN, 0)))
+    )
+    total = lambda x: f"coalesce(list_sum(list_transform({x}, lambda c: length(c))), 0)"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS o, coalesce(text, '') AS t FROM documents),
+f AS ({found}),
+w AS (SELECT rid, o, kind, ord, unnest(range(1, len(m) + 1)) AS i, m, v, p FROM f WHERE len(m) > 0),
+s AS (SELECT * FROM (SELECT rid, o, kind, ord, v[i] AS value, {total('p[1:i]')} + {total('m[1:i-1]')} AS a, {total('p[1:i]')} + {total('m[1:i]')} AS e FROM w)
+  WHERE CASE kind WHEN 'assign' THEN length(value) >= {ASSIGN_LEAST} WHEN 'token' THEN regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') ELSE true END),
+c AS (SELECT DISTINCT rid, o, value, CASE kind WHEN 'assign' THEN e - length(value) ELSE a END AS a, e FROM s),
+n AS (SELECT value, count(DISTINCT o) AS owners FROM c GROUP BY ALL),
+j AS (SELECT c.*, owners, owners <= 1 AND NOT regexp_matches(value, {q(PLACEHOLDER)}) AS live FROM c JOIN n USING (value)),
+x AS (SELECT rid, count(DISTINCT CASE WHEN live THEN (a, e) END) AS n_live, count(DISTINCT CASE WHEN owners > 1 THEN value END) AS n_example FROM j GROUP BY ALL),
+b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, ord) AS base FROM s WHERE kind <> 'token' GROUP BY ALL),
+g AS (SELECT rid, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, ord, e) AS spans FROM (SELECT rid, kind, ord, a, e FROM s WHERE kind <> 'token' UNION ALL SELECT DISTINCT rid, 'live', 3, a, e FROM j WHERE live) GROUP BY ALL)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example
+FROM d LEFT JOIN b USING (rid) LEFT JOIN g USING (rid) LEFT JOIN x USING (rid)"""
+
+
+OP5_SQL = _sql()
