@@ -125,8 +125,8 @@ def compare_models(df: DataFrame, preds: list[str], y: str = "y") -> DataFrame:
 
 
 def best_candidate(scores: DataFrame) -> DataFrame:
-    """The model with least WMAPE, the first by name of equals."""
-    return scores.agg(F.min(F.struct("wmape", "model")).alias("_b")).select(F.col("_b.model").alias("model"), F.col("_b.wmape").alias("wmape"))
+    """The model with least WMAPE; of models equal to nine places the first by name."""
+    return scores.agg(F.min(F.struct(F.round("wmape", 9).alias("wmape"), "model")).alias("_b")).select(F.col("_b.model").alias("model"), F.col("_b.wmape").alias("wmape"))
 
 
 def fit_gap(train: DataFrame, val: DataFrame, by: str) -> DataFrame:

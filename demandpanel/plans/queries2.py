@@ -308,7 +308,7 @@ def m18_validate_folds(spark, sf):
     return M.validate_folds(M.metrics(rows, MODELS, ("fold_id",), ["wmape"]))
 
 
-@query("model:s wmape:d", "SELECT arg_min(model, w) AS model, min(w) AS wmape FROM (SELECT model, 100.0 * sum(e) / sum(y) AS w FROM longp GROUP BY ALL)", LONG)
+@query("model:s wmape:d", "SELECT arg_min(model, (round(w, 9), model)) AS model, min(w) AS wmape FROM (SELECT model, 100.0 * sum(e) / sum(y) AS w FROM longp GROUP BY ALL)", LONG)
 def m19_best_candidate(spark, sf):
     return M.best_candidate(M.metrics(val_predictions(spark, sf), MODELS, which=["wmape"]))
 
