@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 from demandpanel.llm import common, decontaminate, line_dedup, near_dedup, packing, toxicity
 
+#: Bytes that a dropped document's name takes in a broadcast, and the most that are broadcast.
+NAME_BYTES, BROADCAST_BYTES = 64, 32_000_000
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents with a toxicity score of 0.5 or more, by a model fitted on all labels."""
@@ -23,17 +26,22 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.line_dedup(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
 
 
+def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``found`` (``doc_id``, ``check``) doesn't name. Few enough names are broadcast, so that no text is
+    shuffled; more are joined."""
+    found = common.cut(found.select(F.col("doc_id").alias("_drop"), F.col("check").alias("_check")).distinct())
+    same = F.col("doc_id").eqNullSafe(F.col("_drop")) & F.xxhash64("text").eqNullSafe(F.col("_check"))
+    return docs.join(F.broadcast(found) if found.count() * NAME_BYTES <= BROADCAST_BYTES else found, same, "left_anti")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each class of near duplicates, the one with the least id."""
-    found = near_dedup.near_dedup(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_drop"), F.col("check").alias("_check")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_drop")) & F.xxhash64("text").eqNullSafe(F.col("_check")), "left_anti")
+    return _without(docs, near_dedup.near_dedup(docs).filter(~F.col("kept")))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
-    found = decontaminate.decontaminate(docs, common.read(spark, sf_dir, "benchmark")).filter("n_hit > 0")
-    found = found.select(F.col("doc_id").alias("_drop"), F.col("check").alias("_check")).distinct()
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_drop")) & F.xxhash64("text").eqNullSafe(F.col("_check")), "left_anti")
+    return _without(docs, decontaminate.decontaminate(docs, common.read(spark, sf_dir, "benchmark")).filter("n_hit > 0"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
