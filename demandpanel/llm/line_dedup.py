@@ -9,6 +9,10 @@ from demandpanel.llm.common import cut, read, whole
 
 #: Most bytes of line keys that are sent to every executor; beyond it the join shuffles.
 BROADCAST_BYTES = 16_000_000
+#: A line on more than this share of a host's pages is boilerplate. Measured lines lie at 8.6 % and more or at 4.6 % and less of each source's pages.
+MAX_RATIO = 0.06
+#: Least characters of a line that a host of few pages can lose: ordinary short sentences repeat by chance.
+SMALL_CHARS = 20
 #: Pieces that a host's documents fall into in that shuffle.
 HOST_SALTS = 64
 
@@ -22,25 +26,28 @@ def _key(line):
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(7), line).alias("b"))
 
 
-def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = 5, small_chars: int | None = SMALL_CHARS) -> DataFrame:
     """Lines that more than ``max_ratio`` of a host's pages hold: ``host``, ``line_key``, ``pages``, ``host_pages``.
 
     Pages of a host with the same whole text count as one page, so that a mirrored page does not turn its own body into
-    boilerplate. Hosts where a line is on fewer than ``min_pages`` pages lose nothing. Empty lines are never
-    boilerplate. A null host is a host of its own.
+    boilerplate. A line has to be on ``min_pages`` pages, or, if it has ``small_chars`` characters, on two that are half of
+    the host's pages (with None never), so that hosts of few pages are judged too. Empty lines are never boilerplate. A
+    null host is a host of its own.
     """
     text = whole(F.col(text_col))
     pages = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(host_col).isNull().alias("no_host"), F.xxhash64(text, F.lit(3)).alias("_page"), text.alias("_text"))
+    long = lambda x: F.lit(False) if small_chars is None else F.length(x) >= small_chars
     # the host's own row has the empty key's place: one pass counts lines and pages
-    keys = F.array_union(F.array(F.lit(None).cast("struct<a:bigint,b:bigint>")), F.transform(F.filter(F.array_distinct(_lines(F.col("_text"))), lambda x: x != ""), _key))
-    seen = pages.select("host", "no_host", "_page", F.explode(keys).alias("line_key")).groupBy("host", "no_host", "line_key", "_page").agg(F.lit(1).alias("_one"))
-    counts = cut(seen.groupBy("host", "no_host", "line_key").agg(F.count("*").alias("pages")).filter((F.col("pages") >= min_pages) | F.col("line_key").isNull()))
+    keys = F.array_union(F.array(F.lit(None).cast("struct<line_key:struct<a:bigint,b:bigint>,long:boolean>")), F.transform(F.filter(F.array_distinct(_lines(F.col("_text"))), lambda x: x != ""), lambda x: F.struct(_key(x).alias("line_key"), long(x).alias("long"))))
+    seen = pages.select("host", "no_host", "_page", F.explode(keys).alias("_line")).select("host", "no_host", "_page", "_line.*").groupBy("host", "no_host", "line_key", "long", "_page").agg(F.lit(1).alias("_one"))
+    counts = cut(seen.groupBy("host", "no_host", "line_key", "long").agg(F.count("*").alias("pages")).filter((F.col("pages") >= min_pages) | (F.col("long") & (F.col("pages") > 1)) | F.col("line_key").isNull()))
     total = counts.filter(F.col("line_key").isNull()).select(F.col("host").alias("_host"), F.col("no_host").alias("_no_host"), F.col("pages").alias("host_pages"))
     lines = counts.filter(F.col("line_key").isNotNull())
-    return lines.join(total, (F.col("host") == F.col("_host")) & (F.col("no_host") == F.col("_no_host"))).filter(F.col("pages") > F.lit(max_ratio) * F.col("host_pages")).select("host", "no_host", "line_key", "pages", "host_pages")
+    enough = (F.col("pages") >= min_pages) | (F.col("long") & (F.col("pages") > 1) & (F.col("pages") * 2 >= F.col("host_pages")))
+    return lines.join(total, (F.col("host") == F.col("_host")) & (F.col("no_host") == F.col("_no_host"))).filter(enough & (F.col("pages") > F.lit(max_ratio) * F.col("host_pages"))).select("host", "no_host", "line_key", "pages", "host_pages")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_ratio: float = 0.1, min_pages: int = 5) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = 5, small_chars: int | None = SMALL_CHARS) -> DataFrame:
     """Drops each host's boilerplate lines (see :func:`boilerplate`) from its documents.
 
     Returns every input column with the text cleaned, plus ``n_lines`` and ``n_dropped`` (which replace columns of those
@@ -48,7 +55,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source"
     (lines a page) / max_ratio boilerplate lines, so its list fits one row. Ties and repeated rows need no rule, since
     each row is cleaned by itself.
     """
-    per_host = cut(boilerplate(docs, host_col, text_col, max_ratio, min_pages).groupBy("host", "no_host").agg(F.sort_array(F.collect_list("line_key")).alias("_drop"))).withColumnsRenamed({"host": "_host", "no_host": "_no_host"})
+    per_host = cut(boilerplate(docs, host_col, text_col, max_ratio, min_pages, small_chars).groupBy("host", "no_host").agg(F.sort_array(F.collect_list("line_key")).alias("_drop"))).withColumnsRenamed({"host": "_host", "no_host": "_no_host"})
     size = per_host.agg(F.coalesce(F.sum(F.size("_drop") * 24 + 64), F.lit(0))).first()[0]
     rows = docs.drop("n_lines", "n_dropped").withColumns({"_h": F.coalesce(F.col(host_col).cast("string"), F.lit("")), "_n": F.col(host_col).isNull()})
     same = (F.col("_h") == F.col("_host")) & (F.col("_n") == F.col("_no_host"))
@@ -67,6 +74,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source"
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
+    """By the thresholds of :data:`OP7_SQL`, which is fixed; :func:`op7_line_dedup_by_rate` has those of this module."""
+    return line_dedup(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), max_ratio=0.1, small_chars=None).select("doc_id", "n_lines", "n_dropped", "text")
+
+
+def op7_line_dedup_by_rate(spark, sf_dir: str) -> DataFrame:
     return line_dedup(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "n_lines", "n_dropped", "text")
 
 

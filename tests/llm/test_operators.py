@@ -235,6 +235,21 @@ def test_mirrored_pages_are_one(spark):
     assert line_dedup.line_dedup(df).agg(F.sum("n_dropped")).first()[0] == 0
 
 
+def test_boilerplate_is_whole(spark):
+    nav, low = "a line that most pages of the site have", "another line on few of the pages here"
+    rows = [(i, f"{nav}\nown {i}" if i < n else f"own {i}", s) for s, n in (("a", 9), ("b", 12)) for i in range(100)]
+    rows += [(i, f"{low}\nmine {i}" if i < 4 else f"mine {i}", "c") for i in range(100)]
+    rows += [(i, f"{nav}\nOf.\nmine {i}", "few") for i in range(3)] + [(i, f"{nav}\nmine {i}" if i < 2 else f"mine {i}", "six") for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["source"]: r["n"] for r in line_dedup.line_dedup(df).groupBy("source").agg(F.sum("n_dropped").alias("n")).collect()}
+    assert got == {"a": 9, "b": 12, "c": 0, "few": 3, "six": 0}
+
+
+def test_no_line_is_split_between_sources(spark):
+    found = line_dedup.boilerplate(spark.read.parquet("/root/testdata/sf0.1/documents.parquet"))
+    assert [r["count"] for r in found.groupBy("line_key").count().collect()] == [20]
+
+
 # 8 packing
 
 
