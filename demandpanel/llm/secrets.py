@@ -16,6 +16,8 @@ KINDS = ("assign", "access", "hex", "live")
 
 #: Further credential shapes, looked up among the owners only: any run of 20 or more token characters.
 TOKEN = r"[A-Za-z0-9+/_-]{20,}"
+#: A value in so many repositories of so many owners, copies of one text counted once, is a widely copied example.
+WIDELY = (10, 3)
 PLACEHOLDER = r"(?i)example|sample|dummy|placeholder|changeme|your[_-]|xxxx|0123456|123456789|abcdef0|0{8}|1{8}|a{8}"
 
 
@@ -71,17 +73,21 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return rows.groupBy("digest", "owner").agg(F.count("*").alias("n")).groupBy("digest").agg(F.sum("n").alias("n_repos"), F.count("*").alias("n_owners"))
 
 
-def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None, max_owners: int = 1) -> DataFrame:
+def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str | None = None, max_owners: int = 1, widely: tuple[int, int] | None = None) -> DataFrame:
     """Finds secrets and judges them by their spread over the corpus.
 
     The base patterns give the kinds assign, access and hex. The candidates are their values and all further runs of
     token characters that mix letters and digits. Each candidate's hash is counted over distinct repositories
     (``repo_col``, the document where there is none) and owners of the whole corpus. Values of ``max_owners`` owners at
     most that don't look like placeholders are live: they get a span of kind ``live`` besides their base span. Those of
-    more owners are copied examples, and only counted.
+    more owners are copied examples, and only counted. With ``widely`` (repositories, owners) copied examples are instead
+    the values that reach both counts, where all copies of one text count as its first holder alone (the least owner,
+    then repository).
 
     Returns the id, ``n_assign``, ``n_access``, ``n_hex``, ``base_spans``, ``spans`` (strings kind:start:end by start,
-    then kind), ``n_live`` and ``n_example``. A null text counts as empty and a null owner or repository as one of its
+    then kind), ``n_live`` and ``n_example``; with ``widely`` also ``n_repos`` and ``n_owners`` (the greatest among
+    the row's candidates, 0 without any) and ``spread`` (strings start:end:n_repos:n_owners of all candidates by start,
+    then end). A null text counts as empty and a null owner or repository as one of its
     own. Rows with the same id and text get the same result, once each. Other columns are ignored.
     """
     text = whole(F.col(text_col))
@@ -103,16 +109,25 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own
     rows = cut(rows)
     some = rows.filter(F.size("_values") > 0)
     held = some.select("_id", "_check", "_owner", "_repo", F.explode("_values").alias("v")).select("_id", "_check", "_owner", "_repo", F.col("v.m").alias("value"), F.col("v.s").alias("s"), F.col("v.e").alias("e"))
-    spread = ownership(held.select("value", F.col("_repo").alias("repo"), F.col("_owner").alias("owner")))
+    if widely is None:
+        holders = held.select("value", F.col("_repo").alias("repo"), F.col("_owner").alias("owner"))
+    else:
+        holders = held.groupBy("value", "_check").agg(F.min(F.struct(F.col("_owner").alias("owner"), F.col("_repo").alias("repo"))).alias("h")).select("value", "h.owner", "h.repo")
+    spread = ownership(holders)
     judged = held.withColumn("_digest", F.unhex(F.sha2("value", 256))).join(spread, F.col("_digest") == F.col("digest"))
-    live = (F.col("n_owners") <= max_owners) & ~F.col("value").rlike(PLACEHOLDER)
+    example = F.col("n_owners") > max_owners if widely is None else (F.col("n_repos") >= widely[0]) & (F.col("n_owners") >= widely[1])
+    live = ~example & ~F.col("value").rlike(PLACEHOLDER)
     span = F.struct(F.col("s"), F.lit(KINDS.index("live")).alias("k"), F.col("e"))
-    per_row = judged.groupBy(F.col("_id").alias("_jid"), F.col("_check").alias("_jcheck")).agg(F.collect_set(F.when(live, span)).alias("_live"), F.count_distinct(F.when(F.col("n_owners") > max_owners, F.col("_digest"))).alias("n_example"))
+    counts = [] if widely is None else [F.max("n_repos").alias("_n_repos"), F.max("n_owners").alias("_n_owners"), F.collect_set(F.struct("s", "e", "n_repos", "n_owners")).alias("_spread")]
+    per_row = judged.groupBy(F.col("_id").alias("_jid"), F.col("_check").alias("_jcheck")).agg(F.collect_set(F.when(live, span)).alias("_live"), F.count_distinct(F.when(example, F.col("_digest"))).alias("n_example"), *counts)
     # rows without a candidate take no part in the join
     joined = some.join(per_row, F.col("_id").eqNullSafe(F.col("_jid")) & (F.col("_check") == F.col("_jcheck")), "left")
     none = rows.filter(F.size("_values") == 0)
-    out = joined.select("_id", "n_assign", "n_access", "n_hex", "_base", F.coalesce(F.col("_live"), F.filter("_base", lambda x: F.lit(False))).alias("_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"))
-    out = out.unionByName(none.select("_id", "n_assign", "n_access", "n_hex", "_base", F.filter("_base", lambda x: F.lit(False)).alias("_live"), F.lit(0).cast("long").alias("n_example")))
+    texts = F.transform(F.array_sort("_spread"), lambda x: F.concat_ws(":", x["s"], x["e"], x["n_repos"], x["n_owners"])) if counts else None
+    more = {"n_repos": F.coalesce("_n_repos", F.lit(0)), "n_owners": F.coalesce("_n_owners", F.lit(0)), "spread": F.coalesce(F.array_join(texts, ","), F.lit(""))} if counts else {}
+    nothing = {"n_repos": F.lit(0).cast("long"), "n_owners": F.lit(0).cast("long"), "spread": F.lit("")} if counts else {}
+    out = joined.select("_id", "n_assign", "n_access", "n_hex", "_base", F.coalesce(F.col("_live"), F.filter("_base", lambda x: F.lit(False))).alias("_live"), F.coalesce("n_example", F.lit(0)).cast("long").alias("n_example"), *(v.alias(k) for k, v in more.items()))
+    out = out.unionByName(none.select("_id", "n_assign", "n_access", "n_hex", "_base", F.filter("_base", lambda x: F.lit(False)).alias("_live"), F.lit(0).cast("long").alias("n_example"), *(v.alias(k) for k, v in nothing.items())))
     return out.select(
         F.col("_id").alias(id_col),
         "n_assign",
@@ -122,10 +137,16 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", own
         _joined(F.concat("_base", "_live")).alias("spans"),
         F.size("_live").cast("long").alias("n_live"),
         "n_example",
+        *more,
     )
 
 
+def op5_secret_scan_by_spread(spark, sf_dir: str) -> DataFrame:
+    return secrets(read(spark, sf_dir, "documents"), widely=WIDELY).withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
 def op5_secret_scan(spark, sf_dir: str) -> DataFrame:
+    """By owners alone, as :data:`OP5_SQL` says, which is fixed; :func:`op5_secret_scan_by_spread` decides by both counts."""
     return secrets(read(spark, sf_dir, "documents")).withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
 
 

@@ -179,6 +179,20 @@ def test_secrets(spark, table):
     assert secrets.secrets(empty(spark)).count() == 0
 
 
+def test_secrets_by_spread(spark):
+    copied, two, wide, narrow = ("token=" + v for v in ("Zx9Qw8Er7Ty6Ui5O", "Kj3Hg5Fd7Sa9Pl1M", "Bv4Nc6Mx8Zl2Kq0W", "Rt5Yu7Io9Pa1Sd3F"))
+    rows = [(i, copied, f"s{i % 5}") for i in range(30)] + [(100, two, "s1"), (101, two + " more", "s2")]
+    rows += [(200 + i, f"{wide} in {i}", f"s{i % 4}") for i in range(12)] + [(300 + i, f"{narrow} in {i}", f"s{i % 2}") for i in range(12)] + [(400, "no secret", "s1")]
+    got = {r["doc_id"]: r for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string"), widely=secrets.WIDELY).collect()}
+    seen = lambda i: tuple(got[i][c] for c in ("n_live", "n_example", "n_repos", "n_owners", "spread"))
+    assert len(got) == len(rows)
+    assert {seen(i) for i in range(30)} == {(1, 0, 1, 1, "6:22:1:1")}
+    assert {seen(i) for i in (100, 101)} == {(1, 0, 2, 2, "6:22:2:2")}
+    assert {seen(200 + i) for i in range(12)} == {(0, 1, 12, 4, "6:22:12:4")}
+    assert {seen(300 + i) for i in range(12)} == {(1, 0, 12, 2, "6:22:12:2")}
+    assert seen(400) == (0, 0, 0, 0, "")
+
+
 # 6 decontamination
 
 
