@@ -30,13 +30,29 @@ def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``found`` (``doc_id``, ``check``) doesn't name. Few enough names are broadcast, so that no text is
     shuffled; more are joined."""
     found = common.cut(found.select(F.col("doc_id").alias("_drop"), F.col("check").alias("_check")).distinct())
+    return _joined(docs, found, found.count(), "left_anti")
+
+
+def _joined(docs: DataFrame, names: DataFrame, n: int, how: str) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("_drop")) & F.xxhash64("text").eqNullSafe(F.col("_check"))
-    return docs.join(F.broadcast(found) if found.count() * NAME_BYTES <= BROADCAST_BYTES else found, same, "left_anti")
+    return docs.join(F.broadcast(names) if n * NAME_BYTES <= BROADCAST_BYTES else names, same, how)
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """One row, the least, of all with the same ``doc_id`` and text; ids may be null. Only repeated rows move, and a hot key's rows
+    are reduced within each partition before they do."""
+    names = docs.groupBy(F.col("doc_id").alias("_drop"), F.xxhash64("text").alias("_check")).agg(F.count("*").alias("_n"))
+    names = common.cut(names.filter("_n > 1").select("_drop", "_check"))
+    n = names.count()
+    if not n:
+        return docs
+    repeated = _joined(docs, names, n, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("_check")).agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return _joined(docs, names, n, "left_anti").unionByName(repeated.select("_row.*"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near duplicates, the one with the least id."""
-    return _without(docs, near_dedup.near_dedup(docs).filter(~F.col("kept")))
+    """Keeps one document of each class of near duplicates, the one with the least id, once."""
+    return _once(_without(docs, near_dedup.near_dedup(docs).filter(~F.col("kept"))))
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,6 +31,15 @@ def test_stages(spark):
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).filter("n > 2048").count() == 0
 
 
+def test_repeated_rows_stay_once(spark):
+    rows = [(None, "a text that has no name and several copies", s) for s in "abc"] + [(1, "the first row of a class that is repeated", "a")] * 2
+    rows += [(2, "the first row of a class that is repeated", "b"), (3, "words of another document alone in its class", "b")]
+    df = spark.createDataFrame([(i, t, "en", s, 1) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.drop_near_copies(spark, df, SF)
+    assert got.columns == df.columns
+    assert sorted(map(str, (r["doc_id"] for r in got.collect()))) == ["1", "3", "None"]
+
+
 def test_empty_documents(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         common.read(spark, SF, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
