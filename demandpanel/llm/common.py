@@ -7,11 +7,15 @@ import tempfile
 import types
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Keys of more than 1/HEAVY of all rows are hot; tables of this size at most are broadcast.
+HEAVY, BROADCAST_BYTES = 1000, 32_000_000
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """A driver table, read by Spark alone so that any store Spark knows will do."""
@@ -45,12 +49,79 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Holds what passes to Python at once to ``rows`` rows, if the session allows more: texts are large, and two copies
-    of a batch exist on either side."""
+@contextmanager
+def bounded_batches(spark: SparkSession, rows: int = 1000):
+    """While it is entered, at most ``rows`` rows pass to Python at once: texts are large, and two copies of a batch exist
+    on either side. The session's own setting comes back at the end, so what runs inside has to be written (see :func:`cut`)."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key)) <= rows:
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= rows:
         spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def free(taken: list[str], *names: str) -> list[str]:
+    """Names like ``names`` that no column of ``taken`` has, in any case of letters."""
+    used, out = {x.lower() for x in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> Column:
+    """The column of that very name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` mentions it, also within lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def zero_of(column: Column) -> Column:
+    """0 for every row, in a form that the optimizer does not fold into a constant."""
+    return F.pmod(F.xxhash64(column), F.lit(1)).cast("long")
+
+
+def hot_join(rows: DataFrame, keyed: DataFrame, key: str, to: str, weight: str, row_bytes: int = 64, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``rows`` left-joined to ``keyed``, a table with one row per ``to``, where ``key`` equals ``to``.
+
+    ``weight`` tells how many rows a key has, about. A ``keyed`` of ``most_bytes`` bytes at most is broadcast. Otherwise
+    keys with more than 1/HEAVY of all weight, fewer than HEAVY by their number, are broadcast alone, and their rows are
+    spread evenly over the shuffle that joins the rest. The two tables share no column name.
+    """
+    n, total = keyed.agg(F.count("*"), F.coalesce(F.sum(weight), F.lit(0))).first()
+    if n * row_bytes <= most_bytes:
+        return rows.join(F.broadcast(keyed), F.col(key) == F.col(to), "left")
+    heavy = F.col(weight) * HEAVY > total
+    names = dict(zip(keyed.columns, free([*rows.columns, *keyed.columns], *(f"hot_{c}" for c in keyed.columns)), strict=True))
+    hot = keyed.filter(heavy).withColumnsRenamed(names)
+    zero, salt = free([*rows.columns, *keyed.columns, *names.values()], "zero", "salt")
+    out = rows.join(F.broadcast(hot), F.col(key) == F.col(names[to]), "left")
+    out = out.withColumn(salt, F.when(F.col(names[to]).isNull(), F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id() + 1))
+    cold = keyed.filter(~heavy).withColumn(zero, zero_of(F.col(to)))
+    out = out.join(cold, (F.col(key) == F.col(to)) & (F.col(salt) == F.col(zero)), "left")
+    return out.select(*rows.columns, *(F.coalesce(names[c], c).alias(c) for c in keyed.columns))
+
+
+def apart(rows: DataFrame, to: str, most: int = 1_000_000) -> DataFrame:
+    """Tells equal rows apart: ``to`` numbers them from 0. The result is the same however the rows are partitioned.
+
+    Equal rows are counted, combined before they shuffle, and dealt out again, a task making ``most`` of one kind at
+    most. ``rows`` needs columns of types that can be grouped.
+    """
+    names = rows.columns
+    n, first = free([*names, to], "n", "first")
+    counted = cut(rows.groupBy(*names).agg(F.count("*").alias(n)))
+    few = counted.filter(F.col(n) <= most).withColumn(first, F.lit(0).cast("long"))
+    many = counted.filter(F.col(n) > most).withColumn(first, F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1, F.lit(most).cast("long")))).repartition(first)
+    return few.unionByName(many).withColumn(to, F.explode(F.sequence(F.col(first), F.least(F.col(first) + most, F.col(n)) - 1))).select(*names, to)
 
 
 def by_value(module: str) -> None:
