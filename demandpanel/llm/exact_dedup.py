@@ -5,55 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import cut, read, whole
+from demandpanel.llm.common import cut, hot_join, quoted, read, whole
 
-#: Groups of more than 1/HEAVY of all rows: fewer than HEAVY of them can exist.
-HEAVY = 1000
 
-
-def text_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
-    """One row per different text: ``digest``, ``check``, ``keep_id`` (the largest id) and ``group_size``.
+def text_groups(docs: DataFrame, repeated: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16) -> DataFrame:
+    """One row per text whose digest is in ``repeated`` (``digest``, ``n``): ``digest``, ``keep_id`` (the largest id) and ``group_size``.
 
     Three combining steps, each of which compares whole texts: rows are combined within each input partition (the
     map side of the first aggregation), the partitions' winners within a salt, and the salts' winners globally. After
     the first step a text has one row per partition however often it occurs, and after the second one per salt. Two
-    texts with one SHA-256 and one 64-bit hash would stop the job, never merge.
+    different texts with one SHA-256 would stop the job, never merge.
     """
-    text = whole(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("_id"), text.alias("_text"), F.unhex(F.sha2(text, 256)).alias("digest"), F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt"))
-    salted = rows.groupBy("digest", "_text", "_salt").agg(F.max("_id").alias("keep_id"), F.count("*").alias("group_size"))
-    merged = salted.repartition("digest").groupBy("digest", "_text").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
-    single = merged.groupBy("digest", F.xxhash64("_text").alias("check")).agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.count("*").alias("_texts"))
-    safe = F.when(F.col("_texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share both hashes")).cast("long"))
-    return single.select("digest", "check", "keep_id", safe.alias("group_size"))
+    text = whole(quoted(text_col))
+    rows = docs.select(quoted(id_col).alias("id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    rows = hot_join(rows, repeated.select(F.col("digest").alias("same"), "n"), "digest", "same", "n").filter(F.col("n").isNotNull())
+    salted = rows.groupBy("digest", "text", F.pmod(F.spark_partition_id(), F.lit(salts)).alias("salt")).agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
+    merged = salted.repartition("digest").groupBy("digest", "text").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    single = merged.groupBy("digest").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"), F.count("*").alias("texts"))
+    safe = F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("long"))
+    return single.select("digest", "keep_id", safe.alias("group_size"))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Marks, of all rows with the same text, those with the largest id as kept.
 
-    Returns one row per input row: the id, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``. A null text counts
-    as empty. A null id never wins against another; repeated rows (same id, same text) share their verdict. Very large
-    groups, fewer than 1,000 by their size, are joined by broadcast, and their rows take no part in the shuffle of the
-    rest. An empty table gives an empty result; other columns are ignored.
+    Returns one row per input row: the id, ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``. Digests are counted
+    first; only texts whose digest occurs twice can be equal to another, and only these move and are compared (see
+    :func:`text_groups`). Rows of very large groups take no part in the shuffles of the joins, whatever their ids.
+
+    A null text counts as empty, and texts of any length are compared whole. A null id never wins against another; where
+    all ids of a group are null its rows are kept. Of tied rows (same id, same text) each gets the same verdict. An empty
+    table gives an empty result; other columns are not looked at, whatever their names.
     """
-    groups = cut(text_groups(docs, id_col, text_col))
-    total = groups.agg(F.coalesce(F.sum("group_size"), F.lit(0))).first()[0]
-    heavy = F.col("group_size") * HEAVY > total
-    hot = groups.filter(heavy).select(*(F.col(c).alias(f"_hot_{c}") for c in groups.columns))
-    cold = groups.filter(~heavy)
-    text = whole(F.col(text_col))
-    rows = docs.select(F.col(id_col).alias("_id"), F.unhex(F.sha2(text, 256)).alias("_digest"), F.xxhash64(text).alias("_check"))
-    rows = rows.join(F.broadcast(hot), (F.col("_digest") == F.col("_hot_digest")) & (F.col("_check") == F.col("_hot_check")), "left")
-    # rows of hot groups are spread by their id under keys that no group has
-    key = F.when(F.col("_hot_digest").isNull(), F.col("_digest")).otherwise(F.coalesce(F.col("_id").cast("string"), F.lit("")).cast("binary"))
-    rows = rows.withColumn("_key", key).join(cold, (F.col("_key") == F.col("digest")) & (F.col("_check") == F.col("check")), "left")
-    keep = F.when(F.col("_hot_digest").isNull(), F.col("keep_id")).otherwise(F.col("_hot_keep_id"))
-    return rows.select(
-        F.col("_id").alias(id_col),
+    rows = cut(docs.select(quoted(id_col).alias("id"), F.unhex(F.sha2(whole(quoted(text_col)), 256)).alias("digest")))
+    repeated = cut(rows.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1"))
+    groups = cut(text_groups(docs, repeated, id_col, text_col).withColumnRenamed("digest", "same"))
+    found = hot_join(rows, groups, "digest", "same", "group_size", row_bytes=128)
+    keep = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
+    return found.select(
+        F.col("id").alias(id_col),
         keep.alias("keep_id"),
-        F.coalesce("_hot_group_size", "group_size").alias("group_size"),
-        F.col("_id").eqNullSafe(keep).alias("kept"),
-        F.lower(F.hex("_digest")).alias("text_sha256"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
+        F.col("id").eqNullSafe(keep).alias("kept"),
+        F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
 
