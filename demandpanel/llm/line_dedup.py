@@ -2,98 +2,113 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import cut, read, whole
+from demandpanel.llm.common import cut, free, let, quoted, read, whole
 
 #: Most bytes of line keys that are sent to every executor; beyond it the join shuffles.
 BROADCAST_BYTES = 16_000_000
 #: A line on more than this share of a host's pages is boilerplate. Measured lines lie at 8.6 % and more or at 4.6 % and less of each source's pages.
 MAX_RATIO = 0.06
-#: Least characters of a line that a host of few pages can lose: ordinary short sentences repeat by chance.
-SMALL_CHARS = 20
+#: A line on so many pages is judged by the ratio alone. One on fewer has to be on two, to have so many characters, since ordinary
+#: short sentences repeat by chance, and to be on half of the host's pages.
+MIN_PAGES, SMALL_CHARS = 5, 20
 #: Pieces that a host's documents fall into in that shuffle.
 HOST_SALTS = 64
 
 
-def _lines(text):
+def _lines(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def _key(line):
+def _key(line: Column) -> Column:
     """128 bits of a line, in two numbers."""
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(7), line).alias("b"))
 
 
-def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = 5, small_chars: int | None = SMALL_CHARS) -> DataFrame:
-    """Lines that more than ``max_ratio`` of a host's pages hold: ``host``, ``line_key``, ``pages``, ``host_pages``.
+def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, small_chars: int | None = SMALL_CHARS, mirrors: bool = False) -> DataFrame:
+    """Lines that more than ``max_ratio`` of a host's pages hold: ``host``, ``no_host``, ``line_key``, ``pages``, ``host_pages``.
 
-    Pages of a host with the same whole text count as one page, so that a mirrored page does not turn its own body into
-    boilerplate. A line has to be on ``min_pages`` pages, or, if it has ``small_chars`` characters, on two that are half of
-    the host's pages (with None never), so that hosts of few pages are judged too. Empty lines are never boilerplate. A
-    null host is a host of its own.
+    The pages of a host that hold a line, each counted once, are divided by all pages of that host. A line has to be on
+    ``min_pages`` pages, or, if it has ``small_chars`` characters, on two that are half of the host's pages (with None
+    never), so that hosts of few pages are judged too. With ``mirrors`` pages of a host with the same whole text count as
+    one page, so that a page that is copied many times does not turn its own body into boilerplate. Empty lines are never
+    boilerplate. A null host is a host of its own.
     """
-    text = whole(F.col(text_col))
-    pages = docs.select(F.coalesce(F.col(host_col).cast("string"), F.lit("")).alias("host"), F.col(host_col).isNull().alias("no_host"), F.xxhash64(text, F.lit(3)).alias("_page"), text.alias("_text"))
+    text, host = whole(quoted(text_col)), quoted(host_col)
+    pages = docs.select(F.coalesce(host.cast("string"), F.lit("")).alias("host"), host.isNull().alias("no_host"), *([F.xxhash64(text, F.lit(3)).alias("page")] if mirrors else []), text.alias("text"))
     long = lambda x: F.lit(False) if small_chars is None else F.length(x) >= small_chars
     # the host's own row has the empty key's place: one pass counts lines and pages
-    keys = F.array_union(F.array(F.lit(None).cast("struct<line_key:struct<a:bigint,b:bigint>,long:boolean>")), F.transform(F.filter(F.array_distinct(_lines(F.col("_text"))), lambda x: x != ""), lambda x: F.struct(_key(x).alias("line_key"), long(x).alias("long"))))
-    seen = pages.select("host", "no_host", "_page", F.explode(keys).alias("_line")).select("host", "no_host", "_page", "_line.*").groupBy("host", "no_host", "line_key", "long", "_page").agg(F.lit(1).alias("_one"))
-    counts = cut(seen.groupBy("host", "no_host", "line_key", "long").agg(F.count("*").alias("pages")).filter((F.col("pages") >= min_pages) | (F.col("long") & (F.col("pages") > 1)) | F.col("line_key").isNull()))
-    total = counts.filter(F.col("line_key").isNull()).select(F.col("host").alias("_host"), F.col("no_host").alias("_no_host"), F.col("pages").alias("host_pages"))
+    keys = F.concat(F.array(F.lit(None).cast("struct<line_key:struct<a:bigint,b:bigint>,long:boolean>")), F.transform(F.filter(F.array_distinct(_lines(F.col("text"))), lambda x: x != ""), lambda x: F.struct(_key(x).alias("line_key"), long(x).alias("long"))))
+    by = ["host", "no_host", "line_key", "long"]
+    seen = pages.select("host", "no_host", *(["page"] if mirrors else []), F.explode(keys).alias("line")).select("*", "line.*").drop("line")
+    if mirrors:
+        seen = seen.groupBy(*by, "page").agg(F.lit(1).alias("one"))
+    counts = cut(seen.groupBy(*by).agg(F.count("*").alias("pages")).filter((F.col("pages") >= min_pages) | (F.col("long") & (F.col("pages") > 1)) | F.col("line_key").isNull()))
+    total = counts.filter(F.col("line_key").isNull()).select(F.col("host").alias("of"), F.col("no_host").alias("of_none"), F.col("pages").alias("host_pages"))
     lines = counts.filter(F.col("line_key").isNotNull())
     enough = (F.col("pages") >= min_pages) | (F.col("long") & (F.col("pages") > 1) & (F.col("pages") * 2 >= F.col("host_pages")))
-    return lines.join(total, (F.col("host") == F.col("_host")) & (F.col("no_host") == F.col("_no_host"))).filter(enough & (F.col("pages") > F.lit(max_ratio) * F.col("host_pages"))).select("host", "no_host", "line_key", "pages", "host_pages")
+    return lines.join(total, (F.col("host") == F.col("of")) & (F.col("no_host") == F.col("of_none"))).filter(enough & (F.col("pages") > F.lit(max_ratio) * F.col("host_pages"))).select("host", "no_host", "line_key", "pages", "host_pages")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = 5, small_chars: int | None = SMALL_CHARS) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, small_chars: int | None = SMALL_CHARS, mirrors: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Drops each host's boilerplate lines (see :func:`boilerplate`) from its documents.
 
-    Returns every input column with the text cleaned, plus ``n_lines`` and ``n_dropped`` (which replace columns of those
-    names). A null text has no lines and stays null; a document may end up empty and stays. A host has at most
-    (lines a page) / max_ratio boilerplate lines, so its list fits one row. Ties and repeated rows need no rule, since
-    each row is cleaned by itself.
+    Returns every input column, unchanged but for the text, plus ``n_lines`` and ``n_dropped`` (which replace columns of
+    those names). A null text has no lines and stays null; a document may end up empty and stays. Texts of any length are
+    read whole. A host has at most (lines a page) / max_ratio boilerplate lines, so its list fits one row. Ties and
+    repeated rows need no rule, since each row is cleaned by itself. An empty table gives an empty result.
     """
-    per_host = cut(boilerplate(docs, host_col, text_col, max_ratio, min_pages, small_chars).groupBy("host", "no_host").agg(F.sort_array(F.collect_list("line_key")).alias("_drop"))).withColumnsRenamed({"host": "_host", "no_host": "_no_host"})
-    size = per_host.agg(F.coalesce(F.sum(F.size("_drop") * 24 + 64), F.lit(0))).first()[0]
-    rows = docs.drop("n_lines", "n_dropped").withColumns({"_h": F.coalesce(F.col(host_col).cast("string"), F.lit("")), "_n": F.col(host_col).isNull()})
-    same = (F.col("_h") == F.col("_host")) & (F.col("_n") == F.col("_no_host"))
-    if size <= BROADCAST_BYTES:
+    kept = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
+    row, host, none, salt = free([], "row", "row_host", "row_none", "row_salt")
+    per_host = cut(boilerplate(docs, host_col, text_col, max_ratio, min_pages, small_chars, mirrors).groupBy("host", "no_host").agg(F.collect_list("line_key").alias("drop")))
+    size = per_host.agg(F.coalesce(F.sum(F.size("drop") * 24 + 64), F.lit(0))).first()[0]
+    # the user's columns stand in one struct, where none of them can be taken for one of these
+    rows = docs.select(F.struct(*(quoted(c) for c in kept)).alias(row), quoted(text_col).alias("text"), F.coalesce(quoted(host_col).cast("string"), F.lit("")).alias(host), quoted(host_col).isNull().alias(none), F.pmod(F.xxhash64(quoted(id_col), quoted(text_col)), F.lit(HOST_SALTS)).cast("int").alias(salt))
+    same = (F.col(host) == F.col("host")) & (F.col(none) == F.col("no_host"))
+    if size <= broadcast_bytes:
         joined = rows.join(F.broadcast(per_host), same, "left")
     else:
-        salted = per_host.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1))))
-        joined = rows.withColumn("_salt", F.pmod(F.xxhash64(id_col, text_col), F.lit(HOST_SALTS)).cast("int")).join(salted, same & (F.col("_salt") == F.col("_s")), "left")
-    text = F.col(text_col)
-    kept = F.when(F.col("_drop").isNull(), _lines(text)).otherwise(F.filter(_lines(text), lambda x: ~F.array_contains(F.col("_drop"), _key(x))))
-    joined = joined.withColumn("_kept", kept)
-    n_lines = F.coalesce(F.size(_lines(text)), F.lit(0))
-    named = {c: F.col(c) for c in docs.columns if c not in ("n_lines", "n_dropped")}
-    named[text_col] = F.array_join("_kept", "\n")
-    return joined.select(*(v.alias(k) for k, v in named.items()), F.when(text.isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"), F.when(text.isNull(), 0).otherwise(n_lines - F.size("_kept")).cast("long").alias("n_dropped"))
+        salted = per_host.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1))))
+        joined = rows.join(salted, same & (F.col(salt) == F.col("salt")), "left")
+    lines = _lines(F.col("text"))
+    # of the host's list only what this text may hold is compared line by line
+    held = F.array_intersect(F.transform(lines, lambda x: F.xxhash64(x)), F.transform("drop", lambda k: k["a"]))
+    few = F.filter("drop", lambda k: F.array_contains(F.col("held"), k["a"]))
+    joined = joined.withColumn("held", F.when(F.col("drop").isNotNull(), held))
+    clean = F.when(F.size(F.coalesce("held", F.array().cast("array<bigint>"))) == 0, lines).otherwise(let(few, lambda some: F.filter(lines, lambda x: ~F.array_contains(some, _key(x)))))
+    out = joined.select(row, "text", F.size(lines).alias("n"), clean.alias("clean"))
+    field = lambda c: F.col(row).getField(c).alias(c)
+    null = F.col("text").isNull()
+    return out.select(
+        *(F.array_join("clean", "\n").alias(c) if c == text_col else field(c) for c in kept),
+        F.when(null, 0).otherwise(F.col("n")).cast("long").alias("n_lines"),
+        F.when(null, 0).otherwise(F.col("n") - F.size("clean")).cast("long").alias("n_dropped"),
+    )
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """By the thresholds of :data:`OP7_SQL`, which is fixed; :func:`op7_line_dedup_by_rate` has those of this module."""
-    return line_dedup(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), max_ratio=0.1, small_chars=None).select("doc_id", "n_lines", "n_dropped", "text")
+    return line_dedup(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op7_line_dedup_by_rate(spark, sf_dir: str) -> DataFrame:
-    return line_dedup(read(spark, sf_dir, "documents").select("doc_id", "source", "text")).select("doc_id", "n_lines", "n_dropped", "text")
+    """With mirrored pages counted once."""
+    return line_dedup(read(spark, sf_dir, "documents").select("doc_id", "source", "text"), mirrors=True).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 #: {docs} stands for the table that is cleaned.
-LINE_SQL = """
+LINE_SQL = f"""
 SELECT d.*, coalesce(len(string_split(d.text, chr(10))), 0) AS n_lines,
        coalesce(len(string_split(d.text, chr(10))) - len(list_filter(string_split(d.text, chr(10)), lambda x: NOT list_contains(coalesce(b.bad, []), x))), 0) AS n_dropped,
        array_to_string(list_filter(string_split(d.text, chr(10)), lambda x: NOT list_contains(coalesce(b.bad, []), x)), chr(10)) AS clean
-FROM {docs} d LEFT JOIN (
+FROM {{docs}} d LEFT JOIN (
     SELECT source, list(line) AS bad
     FROM (SELECT source, line, count(*) AS pages
-          FROM (SELECT source, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM (SELECT DISTINCT source, coalesce(text, '') AS text FROM {docs}))
+          FROM (SELECT source, unnest(list_distinct(string_split(text, chr(10)))) AS line FROM {{docs}})
           WHERE line <> '' GROUP BY ALL)
-    JOIN (SELECT source AS host, count(DISTINCT coalesce(text, '')) AS total FROM {docs} GROUP BY ALL) ON source IS NOT DISTINCT FROM host
-    WHERE pages >= 5 AND pages > 0.1 * total
+    JOIN (SELECT source AS host, count(*) AS total FROM {{docs}} GROUP BY ALL) ON source IS NOT DISTINCT FROM host
+    WHERE pages > {MAX_RATIO} * total AND (pages >= {MIN_PAGES} OR (length(line) >= {SMALL_CHARS} AND pages >= 2 AND 2 * pages >= total))
     GROUP BY ALL) b ON d.source IS NOT DISTINCT FROM b.source
 """
 
