@@ -1,22 +1,26 @@
-"""Benchmark decontamination through a positional inverted index."""
+"""Benchmark decontamination through a distributed positional inverted index."""
 
 from __future__ import annotations
 
-import itertools
 import re
-from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import bounded_batches, by_value, cut, read
+from demandpanel.llm.common import BROADCAST_BYTES, bounded_batches, by_value, cut, hot_join, kept, quoted, read
 
 by_value(__name__)
 
-#: Words in a window, words of the benchmark that one pass takes, and how far apart the words of a proximity match are.
-WINDOW, BLOCK_WORDS, SLOP = 10, 1_000_000, 20
+#: Words in a window, and how far apart the words of a proximity match are.
+WINDOW, SLOP = 10, 20
+#: Words of a segment of the index, and windows that are looked up in it at once: together they bound a task's memory.
+SEGMENT_WORDS, BLOCK_WINDOWS = 1_000_000, 100_000
+#: Candidates that are held against the index together, words whose hash a task remembers, and pieces of a frequent window's items.
+TOGETHER, REMEMBERED, SALTS = 200_000, 200_000, 16
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 
@@ -26,186 +30,242 @@ def words(text: str | None) -> list[bytes]:
     return WORD.findall((text or "").encode("utf-8", "surrogatepass").lower())
 
 
-class Block:
-    """Windows of some benchmark items. Terms are numbered from 1; 0 is any other word."""
-
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
-        self.vocabulary: dict[bytes, int] = {}
-        grams: dict[tuple[int, ...], list[str]] = {}
-        for name, ws in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in ws]
-            for k in range(max(len(ids) - window, 0) + 1):
-                grams.setdefault(tuple(ids[k : k + window]), []).append(name)
-        self.items = [sorted(set(x)) for x in grams.values()]
-        self.size = np.array([len(g) for g in grams], np.int64)
-        self.terms = np.full((len(grams), window), -1, np.int32)
-        for i, g in enumerate(grams):
-            self.terms[i, : len(g)] = g
-
-    def arrange(self, counts: np.ndarray) -> None:
-        """Orders each window's offsets from its rarest term in the corpus; files the windows under that term."""
-        rare = np.where(self.terms >= 0, counts[np.maximum(self.terms, 0)], np.iinfo(np.int64).max)
-        self.order = np.argsort(rare, axis=1, kind="stable").astype(np.int32)
-        anchor = np.take_along_axis(self.terms, self.order[:, :1], 1)[:, 0]
-        by = np.argsort(anchor, kind="stable")
-        self.filed = by
-        self.first = np.searchsorted(anchor[by], np.arange(len(counts) + 1))
-        self.is_anchor = self.first[1:] > self.first[:-1]
-
-
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, most: int):
-    """The benchmark in blocks of about ``most`` words, one after the other, however large it is."""
-    some, n = [], 0
-    for name, text in benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")), text_col).toLocalIterator():
-        if ws := words(text):
-            some.append((name, ws))
-            n += len(ws)
-        if n >= most:
-            yield Block(some, window)
-            some, n = [], 0
-    if some:
-        yield Block(some, window)
-
-
-def _term_ids(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
-    ws = words(text)
-    return np.fromiter(map(vocabulary.get, ws, itertools.repeat(0)), np.int32, len(ws))
-
-
-def term_counts(docs: DataFrame, block: Block, text_col: str = "text") -> np.ndarray:
-    """How often each term of the block occurs in the whole corpus. Each task sends one row per term at most."""
-    shared = docs.sparkSession.sparkContext.broadcast(block.vocabulary)
-
-    def count(batches):
-        total = np.zeros(len(shared.value) + 1, np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                total += np.bincount(_term_ids(text, shared.value), minlength=len(total))
-        there = np.flatnonzero(total[1:]) + 1
-        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), pa.array(total[there], pa.int64())], names=["term", "n"])
+class Terms(dict):
+    """64-bit hashes of words, the terms of the index."""
 
-    out = np.zeros(len(block.vocabulary) + 1, np.int64)
-    # as many rows as the block has terms
-    for term, n in docs.select(text_col).mapInArrow(count, "term int, n bigint").groupBy("term").agg(F.sum("n")).collect():
-        out[term] = n
-    return out
+    def __missing__(self, word: bytes) -> int:
+        self[word] = out = xxhash.xxh64_intdigest(word)
+        return out
 
+    def of(self, text: str | None) -> np.ndarray:
+        if len(self) > REMEMBERED:
+            self.clear()
+        ws = words(text)
+        return np.fromiter(map(self.__getitem__, ws), np.uint64, len(ws)).view(np.int64)
 
-def postings(docs: DataFrame, block: Block, id_col: str = "doc_id", text_col: str = "text", slop: int = SLOP) -> DataFrame:
-    """The positional index: per row ``n_words``, and as binary int32 arrays the positions and terms of the block's words
-    that stand within ``slop`` words of a window's rarest term. No match lies elsewhere."""
-    shared = docs.sparkSession.sparkContext.broadcast((block.vocabulary, block.is_anchor))
 
-    def index(batches):
-        vocabulary, is_anchor = shared.value
-        for batch in batches:
-            n, at, terms = [], [], []
-            for text in batch.column(1).to_pylist():
-                ids = _term_ids(text, vocabulary)
-                n.append(len(ids))
-                anchors = np.flatnonzero(is_anchor[ids])
-                near = np.zeros(len(ids) + 2 * slop + 2, np.int32)
-                np.add.at(near, anchors, 1)
-                np.add.at(near, anchors + 2 * slop + 1, -1)
-                kept = np.flatnonzero((np.cumsum(near)[slop : slop + len(ids)] > 0) & (ids > 0)).astype(np.int32)
-                at.append(kept.tobytes())
-                terms.append(ids[kept].tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(at, pa.binary()), pa.array(terms, pa.binary())], names=["_id", "_check", "n_words", "at", "terms"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(id_col, text_col, F.xxhash64(text_col).alias("_check"))
-    return rows.mapInArrow(index, f"_id {kind}, _check bigint, n_words bigint, at binary, terms binary")
-
-
-def matches(index: DataFrame, block: Block, slop: int = SLOP) -> DataFrame:
-    """Per row of the index its phrase matches (``ranges`` of word positions, end exclusive, and ``items``) and the items
-    (``near``) of windows whose three rarest terms stand within ``slop`` words of each other.
-
-    A window's candidate starts are the postings of its rarest term less that term's offset. They are intersected with
-    the postings of its next rarest terms, each less its own offset, until all terms agree or no start is left.
+def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", segment_words: int = SEGMENT_WORDS) -> DataFrame:
+    """The positional inverted index of all words of all texts, as a table.
+
+    Documents are dealt to segments of about ``segment_words`` words (a longer one is a segment alone) and stand in it
+    one after another, 2 * SLOP places apart. A row is the posting list of a ``term`` in a ``segment``: its ``n`` places in
+    rising order, as little-endian 32-bit numbers (``at``). A row without a term is a document: its ``id``, ``check`` (a
+    hash of the text), first place (``start``) and number of words (``n``). Any benchmark can be looked up in it.
     """
-    shared = index.sparkSession.sparkContext.broadcast(vars(block))
+    names = ["segment", "term", "n", "start", "at", "id", "check"]
+    id_type = docs.select(quoted(id_col).alias("id")).schema["id"]
+    arrow_id = docs.select(quoted(id_col).alias("id")).limit(0).toArrow().schema.field("id").type
+
+    def flush(number: int, ids: list, checks: list, hashes: list[np.ndarray]):
+        sizes = np.array([len(h) for h in hashes], np.int64)
+        starts = np.cumsum(sizes + 2 * SLOP) - (sizes + 2 * SLOP)
+        n, none = len(ids), lambda kind, k: pa.nulls(k, kind)
+        segment = lambda k: pa.array(np.full(k, number, np.int64))
+        yield pa.RecordBatch.from_arrays([segment(n), none(pa.int64(), n), pa.array(sizes), pa.array(starts), none(pa.binary(), n), pa.array(ids, arrow_id), pa.array(checks, pa.int64())], names=names)
+        terms = np.concatenate(hashes)
+        if len(terms):
+            places = (np.arange(len(terms)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)).astype("<i4")
+            order = np.argsort(terms, kind="stable")
+            terms, places = terms[order], places[order]
+            first = np.flatnonzero(np.r_[True, terms[1:] != terms[:-1]])
+            ends = np.r_[first, len(terms)]
+            at = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((4 * ends).astype(np.int32).tobytes()), pa.py_buffer(places.tobytes())])
+            k = len(first)
+            yield pa.RecordBatch.from_arrays([segment(k), pa.array(terms[first]), pa.array(np.diff(ends).astype(np.int64)), none(pa.int64(), k), at, none(arrow_id, k), none(pa.int64(), k)], names=names)
 
-    def look(batches):
-        b = SimpleNamespace(**shared.value)
-        width = b.terms.shape[1]
+    def index(batches):
+        known = kept("terms", Terms)
+        number = TaskContext.get().partitionId() << 32
+        ids, checks, hashes, n = [], [], [], 0
+        for batch in batches:
+            for i, check, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ids.append(i)
+                checks.append(check)
+                hashes.append(known.of(text))
+                n += len(hashes[-1])
+                if n >= segment_words:
+                    yield from flush(number, ids, checks, hashes)
+                    number, ids, checks, hashes, n = number + 1, [], [], [], 0
+        if ids:
+            yield from flush(number, ids, checks, hashes)
+
+    rows = docs.select(quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("check"), quoted(text_col).alias("text"))
+    with bounded_batches(docs.sparkSession):
+        return cut(rows.mapInArrow(index, f"segment bigint, term bigint, n bigint, start bigint, at binary, id {id_type.dataType.simpleString()}, check bigint"))
+
+
+def item_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
+    """The different windows of a benchmark (``w``, ``terms``) and the items that hold each (``w``, ``item``), as tables."""
+
+    def slide(batches):
+        known = kept("terms", Terms)
         for batch in batches:
-            ranges, items, close = [], [], []
-            for n, at, terms in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
-                at, terms = np.frombuffer(at, np.int32).astype(np.int64), np.frombuffer(terms, np.int32)
-                sure = b.is_anchor[terms] if len(terms) else np.zeros(0, bool)
-                anchors, found = at[sure], terms[sure]
-                if not len(anchors):
-                    ranges.append([])
-                    items.append([])
-                    close.append([])
-                    continue
-                line = np.zeros(n + 2 * (slop + width), np.int32)  # terms by position, with room on both sides
-                line[at + slop + width] = terms
-                many = b.first[found + 1] - b.first[found]
-                which = np.repeat(np.arange(len(found)), many)
-                window = b.filed[b.first[found][which] + np.arange(len(which)) - np.repeat(np.cumsum(many) - many, many)]
-                place = anchors[which] + slop + width
-                together = set()
-                for part in np.array_split(np.arange(len(place)), len(place) // 100_000 + 1):
-                    around, some = line[place[part][:, None] + np.arange(-slop, slop + 1)], window[part]
-                    hit = np.ones(len(part), bool)
-                    for k in range(1, min(3, width)):
-                        term = b.terms[some, b.order[some, k]]
-                        hit &= (around == term[:, None]).any(1) | (term < 0)
-                    together.update(some[hit].tolist())
-                start = place - b.order[window, 0]
-                for k in range(1, width):
-                    offset = b.order[window, k]
-                    term = b.terms[window, offset]
-                    agree = (line[start + offset] == term) | (term < 0)
-                    start, window = start[agree], window[agree]
-                spans = sorted({(s, s + w) for s, w in zip((start - slop - width).tolist(), b.size[window].tolist(), strict=True)})
-                ranges.append([{"s": s, "e": e} for s, e in spans])
-                items.append(sorted({i for w in set(window.tolist()) for i in b.items[w]}))
-                close.append(sorted({i for w in together for i in b.items[w]}))
-            kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(ranges, kind), pa.array(items, pa.list_(pa.string())), pa.array(close, pa.list_(pa.string()))], names=["_id", "_check", "n_words", "ranges", "items", "near"])
-
-    kind = index.schema["_id"].dataType.simpleString()
-    return index.mapInArrow(look, f"_id {kind}, _check bigint, n_words bigint, ranges array<struct<s:bigint,e:bigint>>, items array<string>, near array<string>")
-
-
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """Finds the benchmark's windows in all rows.
+            for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                h = known.of(text)
+                width = min(window, len(h))
+                grams = np.lib.stride_tricks.sliding_window_view(h, width) if width else np.zeros((0, 1), np.int64)
+                for k in range(0, len(grams), 10_000):
+                    part = grams[k : k + 10_000]
+                    offsets = pa.array(np.arange(len(part) + 1, dtype=np.int32) * width)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part), pa.string()), pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(part).ravel()))], names=["item", "terms"])
+
+    with bounded_batches(benchmark.sparkSession):
+        every = cut(benchmark.select(quoted(item_col).cast("string").alias("item"), quoted(text_col).alias("text")).mapInArrow(slide, "item string, terms array<bigint>"))
+    grams = cut(every.groupBy(F.col("terms").alias("gram")).agg(F.count("*").alias("n_items")).withColumn("w", F.monotonically_increasing_id()))
+    items = cut(hot_join(every, grams, "terms", "gram", "n_items", row_bytes=8 * window + 32).select("w", "item").distinct())
+    return grams.select("w", F.col("gram").alias("terms")), items
+
+
+def _wanted(index: DataFrame, grams: DataFrame, block_windows: int) -> tuple[DataFrame, int]:
+    """Per term of a window that can occur: ``of``, ``n_segments`` and, for each block of windows that needs it, the block and
+    the windows filed under the term, which is their rarest. Returns the number of blocks too.
+
+    A window comes with its terms and their offsets in it, the rarest in the corpus first. Of tied terms the first in the
+    window counts as rarer. A window with a term that no text has can't occur and is left out.
+    """
+    blocks = max(-(-grams.count() // block_windows), 1)
+    terms = grams.select("w", F.size("terms").alias("size"), F.posexplode("terms").alias("offset", "term"))
+    asked = terms.groupBy(F.col("term").alias("of")).agg(F.count("*").alias("asked"))
+    there = index.filter(F.col("term").isNotNull()).groupBy("term").agg(F.sum("n").alias("n"), F.count("*").alias("n_segments"))
+    counts = cut(asked.join(there, F.col("of") == F.col("term")).select("of", "asked", "n", "n_segments"))
+    ranked = hot_join(terms, counts, "term", "of", "asked").filter(F.col("of").isNotNull())
+    ranked = ranked.groupBy("w", "size").agg(F.sort_array(F.collect_list(F.struct("n", "offset", "term"))).alias("by")).filter(F.size("by") == F.col("size"))
+    placed = cut(ranked.select("w", F.pmod(F.xxhash64("w"), F.lit(blocks)).cast("int").alias("block"), F.transform("by", lambda x: x["term"]).alias("terms"), F.transform("by", lambda x: x["offset"]).alias("offsets")))
+    filed = placed.groupBy("block", F.get("terms", F.lit(0)).alias("term")).agg(F.collect_list(F.struct("w", "terms", "offsets")).alias("windows"))
+    needed = placed.select("block", F.explode("terms").alias("term")).distinct()
+    both = needed.join(filed, ["block", "term"], "left").groupBy("term").agg(F.collect_list(F.struct("block", "windows")).alias("blocks"))
+    return cut(both.join(counts.select("of", "n_segments"), F.col("term") == F.col("of")).select("of", "n_segments", "blocks")), blocks
+
+
+def search(index: DataFrame, grams: DataFrame, slop: int = SLOP, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """All matches of the windows in the index: ``segment``, ``start`` (of the document), ``w``, and the first and last word
+    (``s``, ``e``, end exclusive) of an exact match, or null for a proximity match: the window's three rarest terms stand
+    within ``slop`` words of the rarest.
+
+    The windows' terms are joined to the index, and the lists of one segment meet in one task for each block of windows.
+    There a window's candidate starts are the places of its rarest term less that term's offset. They are intersected
+    with the lists of its next rarest terms, each less its own offset, until all terms agree or no start is left.
+    """
+    wanted, blocks = _wanted(index, grams, block_windows)
+    n_windows = F.aggregate("blocks", F.lit(0).cast("long"), lambda a, b: a + F.coalesce(F.size(b["windows"]), F.lit(0)))
+    n, size = wanted.agg(F.count("*"), F.coalesce(F.sum(n_windows), F.lit(0))).first()
+    lists = index.filter(F.col("term").isNotNull()).select("segment", "term", "at")
+    lists = hot_join(lists, wanted, "term", "of", "n_segments", row_bytes=64 + (12 * window + 64) * size // max(n, 1)).filter(F.col("of").isNotNull())
+    none = F.lit(None).cast("bigint")
+    lists = lists.select("segment", "term", "at", F.explode("blocks").alias("b")).select("segment", "b.block", "term", "at", "b.windows", none.alias("start"), none.alias("n"))
+    docs = index.filter(F.col("term").isNull()).select("segment", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "term", "at", F.lit(None).cast(lists.schema["windows"].dataType).alias("windows"), "start", "n")
+
+    def intersect(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        empty = pa.table({c: pa.array([], pa.int64()) for c in ("segment", "start", "w", "s", "e")})
+        is_doc = table["term"].is_null().to_numpy()
+        mine = table.filter(pa.array(~is_doc))
+        starts = np.sort(table.filter(pa.array(is_doc))["start"].to_numpy().astype(np.int64))
+        ends = np.sort(table.filter(pa.array(is_doc))["n"].to_numpy().astype(np.int64) + table.filter(pa.array(is_doc))["start"].to_numpy().astype(np.int64))
+        windows = mine["windows"].combine_chunks() if len(mine) else None
+        if windows is None or windows.null_count == len(windows):
+            return empty
+        term = mine["term"].to_numpy().astype(np.int64)
+        blobs = mine["at"].to_pylist()
+        many = np.array([len(x) // 4 for x in blobs])
+        places, first = np.frombuffer(b"".join(blobs), "<i4").astype(np.int64), np.cumsum(many) - many
+        by = np.argsort(term)
+        # the terms by place, numbered from 1, with room on both sides
+        room = slop + window
+        line = np.zeros(int(ends.max()) + 2 * room, np.int32)
+        line[places + room] = np.repeat(np.arange(1, len(term) + 1, dtype=np.int32), many)
+        # windows as rows of term numbers and offsets, the rarest first; -1 pads short ones, -2 is a term that the segment lacks
+        filed = np.repeat(np.arange(len(term)), windows.value_lengths().fill_null(0).to_numpy())
+        flat = windows.flatten()
+        sizes = flat.field("terms").value_lengths().to_numpy().astype(np.int64)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        column = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        value = flat.field("terms").flatten().to_numpy()
+        at = np.minimum(np.searchsorted(term[by], value), len(term) - 1)
+        number, offset = np.full((len(sizes), window), -1, np.int32), np.zeros((len(sizes), window), np.int64)
+        number[row, column] = np.where(term[by][at] == value, by[at] + 1, -2)
+        offset[row, column] = flat.field("offsets").flatten().to_numpy()
+        names = flat.field("w").to_numpy()
+        out = {"start": [], "w": [], "s": [], "e": []}
+
+        def found(where, which, exact):
+            doc = np.searchsorted(starts, where, "right") - 1
+            start = starts[doc]
+            both = np.stack([start, names[which], where - start, where - start + sizes[which]]) if exact else np.unique(np.stack([start, names[which]]), axis=1)
+            for name, x in zip(out, both, strict=False):
+                out[name].append(x)
+            for name in ("s", "e")[: 0 if exact else 2]:
+                out[name].append(np.full(both.shape[1], -1))
+
+        hopeful = np.flatnonzero((number[:, : min(3, window)] != -2).all(1))
+        load = np.cumsum(many[filed[hopeful]])
+        for part in np.split(hopeful, np.searchsorted(load, np.arange(TOGETHER, load[-1] if len(load) else 0, TOGETHER), "right")):
+            if not len(part):
+                continue
+            each = many[filed[part]]
+            which = np.repeat(part, each)
+            place = places[first[filed[which]] + np.arange(len(which)) - np.repeat(np.cumsum(each) - each, each)] + room
+            near, some = place, which
+            for k in range(1, min(3, window)):
+                hit = np.zeros(len(some), bool)
+                for x in range(-slop, slop + 1):
+                    hit |= line[near + x] == number[some, k]
+                hit |= number[some, k] == -1
+                near, some = near[hit], some[hit]
+            found(near - room, some, False)
+            begin = place - offset[which, 0]
+            for k in range(1, window):
+                wanted_term = number[which, k]
+                agree = (line[begin + offset[which, k]] == wanted_term) | (wanted_term == -1)
+                begin, which = begin[agree], which[agree]
+            found(begin - room, which, True)
+        flat_out = {k: np.concatenate(v) for k, v in out.items()} if out["w"] else {k: np.zeros(0, np.int64) for k in out}
+        exact = flat_out["s"] >= 0
+        count = len(exact)
+        segment = np.full(count, table["segment"][0].as_py(), np.int64)
+        return pa.table({"segment": segment, "start": flat_out["start"], "w": flat_out["w"], "s": pa.array(flat_out["s"], pa.int64(), mask=~exact), "e": pa.array(flat_out["e"], pa.int64(), mask=~exact)})
+
+    return cut(lists.unionByName(docs).groupBy("segment", "block").applyInArrow(intersect, "segment bigint, start bigint, w bigint, s bigint, e bigint"))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, segment_words: int = SEGMENT_WORDS, block_windows: int = BLOCK_WINDOWS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Finds the benchmark's windows in all rows, through an index of these (see :func:`build_index` and :func:`search`).
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. Returns one
     row per input row: the id, ``check`` (a hash of the text), ``n_words``, ``ranges`` (word positions of exact matches,
     end exclusive), ``n_hit`` (words inside them), ``items`` and ``near`` (items with exact and with proximity matches,
-    as sorted strings). The benchmark is taken in blocks of ``block_words`` words, so what is broadcast is bounded
-    however large it is. A null text has no words; an empty benchmark or table gives no match; rows with the same id
-    and text get the same result, once each; other columns are ignored.
+    as sorted strings; one without an id has an empty name and is an item of its own).
+
+    Neither texts nor the benchmark pass through the driver, and both may be of any size, single texts and items too. A null
+    text has no words; an empty benchmark or table gives no match; repeated rows (same id and text) get the same result,
+    once each; ties of terms as frequent as one another go by their place in the window. Other columns are not looked
+    at, whatever their names.
     """
     if window > SLOP:
         raise ValueError(f"windows have {SLOP} words at most")
-    bounded_batches(docs.sparkSession)
-    found = []
-    for block in _blocks(benchmark, item_col, item_text_col, window, block_words):
-        block.arrange(term_counts(docs, block, text_col))
-        found.append(matches(cut(postings(docs, block, id_col, text_col)), block))
-    if not found:
-        found = [matches(postings(docs, empty := _none(window), id_col, text_col), empty)]
-    out = found[0]
-    if len(found) > 1:
-        for more in found[1:]:
-            out = out.unionByName(more)
-        merged = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c)
-        out = out.groupBy("_id", "_check").agg(F.max("n_words").alias("n_words"), (F.count("*") / len(found)).cast("int").alias("_times"), *(merged(c) for c in ("ranges", "items", "near")))
-        out = out.withColumn("_time", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_time", "_times")
+    index = build_index(docs, id_col, text_col, segment_words)
+    grams, items = item_windows(benchmark, item_col, item_text_col, window)
+    found = search(index, grams, SLOP, window, block_windows)
+    exact = F.col("s").isNotNull()
+    hits = found.filter(exact).groupBy("segment", "start").agg(F.sort_array(F.collect_set(F.struct("s", "e"))).alias("ranges"))
+    pairs = found.select("segment", "start", "w", exact.alias("exact")).distinct()
+    named = items.select(F.col("w").alias("of"), F.struct(F.coalesce("item", F.lit("")).alias("name"), F.col("item").isNull().alias("no_name")).alias("item"))
+    if named.count() * 64 <= broadcast_bytes:
+        pairs = pairs.join(F.broadcast(named), F.col("w") == F.col("of"))
+    else:
+        # a window that very many documents and items share is dealt to SALTS tasks
+        salted = named.withColumn("salt_of", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        pairs = pairs.withColumn("salt", F.pmod(F.xxhash64("segment", "start"), F.lit(SALTS)).cast("int")).join(salted, (F.col("w") == F.col("of")) & (F.col("salt") == F.col("salt_of")))
+    names = lambda some: F.transform(F.sort_array(F.collect_set(F.when(some, F.col("item")))), lambda x: x["name"])
+    per_doc = pairs.groupBy("segment", "start").agg(names(F.col("exact")).alias("items"), names(~F.col("exact")).alias("near"))
+    per_doc = per_doc.join(hits, ["segment", "start"], "left").withColumnsRenamed({"segment": "in_segment", "start": "at_start"})
+    out = index.filter(F.col("term").isNull()).select("segment", "start", "id", "check", F.col("n").alias("n_words"))
+    out = out.join(per_doc, (F.col("segment") == F.col("in_segment")) & (F.col("start") == F.col("at_start")), "left")
+    none = F.array().cast("array<string>")
+    ranges = F.coalesce("ranges", F.array().cast("array<struct<s:bigint,e:bigint>>"))
     start = F.struct(F.lit(0).cast("bigint").alias("to"), F.lit(0).cast("bigint").alias("n"))
-    n_hit = F.aggregate("ranges", start, lambda a, x: F.struct(F.greatest(a["to"], x["e"]).alias("to"), (a["n"] + F.greatest(x["e"] - F.greatest(a["to"], x["s"]), F.lit(0))).cast("bigint").alias("n")), lambda a: a["n"])
-    return out.select(F.col("_id").alias(id_col), F.col("_check").alias("check"), "n_words", "ranges", n_hit.alias("n_hit"), "items", "near")
-
-
-def _none(window: int) -> Block:
-    block = Block([], window)
-    block.arrange(np.zeros(1, np.int64))
-    return block
+    n_hit = F.aggregate(ranges, start, lambda a, x: F.struct(F.greatest(a["to"], x["e"]).alias("to"), (a["n"] + F.greatest(x["e"] - F.greatest(a["to"], x["s"]), F.lit(0))).cast("bigint").alias("n")), lambda a: a["n"])
+    return out.select(F.col("id").alias(id_col), "check", "n_words", ranges.alias("ranges"), n_hit.alias("n_hit"), F.coalesce("items", none).alias("items"), F.coalesce("near", none).alias("near"))
 
 
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
