@@ -37,10 +37,9 @@ class Terms(dict):
         self[word] = out = xxhash.xxh64_intdigest(word)
         return out
 
-    def of(self, text: str | None) -> np.ndarray:
+    def of(self, ws: list[bytes]) -> np.ndarray:
         if len(self) > REMEMBERED:
             self.clear()
-        ws = words(text)
         return np.fromiter(map(self.__getitem__, ws), np.uint64, len(ws)).view(np.int64)
 
 
@@ -81,7 +80,7 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for i, check, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ids.append(i)
                 checks.append(check)
-                hashes.append(known.of(text))
+                hashes.append(known.of(words(text)))
                 n += len(hashes[-1])
                 if n >= segment_words:
                     yield from flush(number, ids, checks, hashes)
@@ -101,7 +100,7 @@ def item_windows(benchmark: DataFrame, item_col: str = "item_id", text_col: str
         known = kept("terms", Terms)
         for batch in batches:
             for name, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h = known.of(text)
+                h = known.of(words(text))
                 width = min(window, len(h))
                 grams = np.lib.stride_tricks.sliding_window_view(h, width) if width else np.zeros((0, 1), np.int64)
                 for k in range(0, len(grams), 10_000):
