@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import bounded_batches, by_value, held_out, read
+from demandpanel.llm.common import bounded_batches, by_value, cut, held_out, quoted, read
 
 by_value(__name__)
 
@@ -15,8 +15,8 @@ DIM = 1024
 SEED = 20240
 #: Texts whose vectors are made together, and trigram vectors that a task remembers.
 TOGETHER, REMEMBERED = 64, 40_000
-#: Most languages that can be learned: their prototypes go to every task.
-MOST_LANGUAGES = 4096
+#: Languages whose prototypes go to every task at once: 4 MB. More are taken in blocks of so many.
+BLOCK_LANGUAGES = 1024
 
 
 class Profiles:
@@ -84,11 +84,10 @@ class Profiles:
         return shares.astype(np.float32), self.rows[[self.place[x] for x in names]].astype(np.float32)
 
 
-def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", dim: int = DIM) -> dict[str, np.ndarray]:
-    """Prototype of each language: the bundled vectors of all its texts, each of weight 1.
+def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", dim: int = DIM) -> DataFrame:
+    """Prototype of each language, as a table (``lang``, ``vector``): the bundled vectors of all its texts, each of weight 1.
 
-    Each task sums its own texts, so what moves is one vector per task and language. The prototypes come to the driver:
-    at most :data:`MOST_LANGUAGES` vectors.
+    Each task sums its own texts, so what moves is one vector per task and language.
     """
 
     def sums(batches):
@@ -102,50 +101,57 @@ def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", d
                     total[lang] = total.get(lang, 0) + shares[[x == lang for x in names]].sum(0, dtype=np.float64) @ rows
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=["lang", "vector"])
 
-    bounded_batches(labelled.sparkSession)
-    rows = labelled.select(text_col, F.col(lang_col).cast("string")).filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
+    rows = labelled.select(quoted(text_col).alias("text"), quoted(lang_col).cast("string").alias("lang")).dropna()
     parts = rows.mapInArrow(sums, "lang string, vector array<double>").select("lang", F.posexplode("vector").alias("i", "x"))
     summed = parts.groupBy("lang", "i").agg(F.sum("x").alias("x")).groupBy("lang").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda s: s["x"]).alias("vector"))
-    found = summed.limit(MOST_LANGUAGES + 1).collect()
-    if len(found) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    return {r["lang"]: np.array(r["vector"]) for r in found}
+    with bounded_batches(labelled.sparkSession):
+        return cut(summed)
 
 
-def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text", dim: int = DIM) -> DataFrame:
-    """Each row's id, ``lang_pred`` and ``score``: the language whose prototype has the largest cosine with the text's
-    vector, and that cosine, 0 at least.
+def identify(docs: DataFrame, prototypes: DataFrame, id_col: str = "doc_id", text_col: str = "text", dim: int = DIM, block: int = BLOCK_LANGUAGES) -> DataFrame:
+    """Each row's id, ``lang_pred`` and ``score``, as a table: the language whose prototype has the largest cosine with the
+    text's vector, and that cosine, 0 at least.
 
     ``und`` with score 0 where the text is null or has no letter, or nothing was learned. Of tied languages the first by
-    name wins. Whole texts are read; repeated rows get one answer; other columns are ignored.
+    name wins. Prototypes are held against the texts in blocks of ``block`` about, one block after the other, so the
+    driver and a task never hold more. Texts of any length are read whole; repeated rows get one answer; an empty table
+    gives an empty result. Other columns are not looked at, whatever their names.
     """
-    bounded_batches(docs.sparkSession)
-    names = sorted(prototypes)
-    matrix = np.array([prototypes[x] / max(np.linalg.norm(prototypes[x]), 1e-12) for x in names], np.float32)
-
-    def guess(batches):
-        profiles = Profiles(dim)
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            lang, score = [], []
-            for k in range(0, len(texts), TOGETHER):
-                some = texts[k : k + TOGETHER]
-                shares, rows = profiles.counted([x or "" for x in some])
-                if not names or not rows.size:
-                    lang += ["und"] * len(some)
-                    score += [0.0] * len(some)
-                    continue
-                vectors = shares @ rows
-                size = np.linalg.norm(vectors, axis=1)
-                cosine = vectors @ matrix.T / np.maximum(size, 1e-12)[:, None]
-                best = cosine.argmax(1)
-                lettered = shares.sum(1) > 0
-                lang += [names[b] if x else "und" for b, x in zip(best.tolist(), lettered, strict=True)]
-                score += np.where(lettered, np.clip(cosine.max(1), 0, 1), 0.0).tolist()
-            yield pa.RecordBatch.from_arrays([ids, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[id_col, "lang_pred", "score"])
-
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(guess, f"`{id_col}` {kind}, lang_pred string, score double")
+    blocks = max(-(-prototypes.count() // block), 1)
+
+    def against(names: list[str], vectors: list[list[float]], keep: list[int]):
+        """Keeps the columns ``keep`` of id, text, language and score: the text only where another block follows."""
+        matrix = np.array([np.array(v) / max(np.linalg.norm(v), 1e-12) for v in vectors], np.float32).reshape(len(names), dim)
+
+        def guess(batches):
+            profiles = Profiles(dim)
+            for batch in batches:
+                texts, lang, score = (batch.column(k).to_pylist() for k in (1, 2, 3))
+                for k in range(0, len(texts), TOGETHER):
+                    some = texts[k : k + TOGETHER]
+                    shares, rows = profiles.counted([x or "" for x in some])
+                    if not names or not rows.size:
+                        continue
+                    vectors = shares @ rows
+                    cosine = vectors @ matrix.T / np.maximum(np.linalg.norm(vectors, axis=1), 1e-12)[:, None]
+                    best, lettered = cosine.argmax(1), shares.sum(1) > 0
+                    for i in np.flatnonzero(lettered).tolist():
+                        new = (float(np.clip(cosine[i, best[i]], 0, 1)), names[best[i]])
+                        if lang[k + i] is None or (-new[0], new[1]) < (-score[k + i], lang[k + i]):
+                            score[k + i], lang[k + i] = new
+                columns = [batch.column(0), batch.column(1), pa.array(lang, pa.string()), pa.array(score, pa.float64())]
+                yield pa.RecordBatch.from_arrays([columns[c] for c in keep], names=[("id", "text", "lang", "score")[c] for c in keep])
+
+        return guess
+
+    out = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("score"))
+    kind = out.schema["id"].dataType.simpleString()
+    for number in range(blocks):
+        found = sorted((r["lang"], r["vector"]) for r in prototypes.filter(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == number).collect())
+        last = number == blocks - 1
+        out = out.mapInArrow(against([x for x, _ in found], [v for _, v in found], [0, 2, 3] if last else [0, 1, 2, 3]), f"id {kind}, {'' if last else 'text string, '}lang string, score double")
+    with bounded_batches(docs.sparkSession):
+        return cut(out.select(F.col("id").alias(id_col), F.coalesce("lang", F.lit("und")).alias("lang_pred"), "score"))
 
 
 def op9_language_id(spark, sf_dir: str) -> DataFrame:
