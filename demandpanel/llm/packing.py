@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import bounded_batches, by_value, cut, kept, read
+from demandpanel.llm.common import apart, bounded_batches, by_value, cut, kept, quoted, read
 
 by_value(__name__)
 
@@ -84,7 +84,7 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """One row per piece of each row's tokens: id, ``piece``, ``start``, ``length`` and ``ids_crc32``.
 
     A document's tokens end with id 0. Only documents of more than ``capacity`` tokens are cut. A null text is empty:
-    its one piece is the id 0 alone.
+    its one piece is the id 0 alone. The result is a table.
     """
 
     def cut_up(batches):
@@ -102,10 +102,11 @@ def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                     start.append(k)
                     length.append(len(part) // 4)
                     crc.append(zlib.crc32(part))
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names=[id_col, "piece", "start", "length", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([ids.take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))], names=["id", "piece", "start", "length", "ids_crc32"])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(cut_up, f"`{id_col}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint")
+    rows = docs.select(quoted(id_col).alias("id"), quoted(text_col).alias("text"))
+    with bounded_batches(docs.sparkSession):
+        return cut(rows.mapInArrow(cut_up, f"id {rows.schema['id'].dataType.simpleString()}, piece int, start bigint, length bigint, ids_crc32 bigint"))
 
 
 def best_two_fit(lengths, capacity: int = CAPACITY) -> tuple[np.ndarray, np.ndarray]:
@@ -162,23 +163,25 @@ def pack(docs: DataFrame, tokenizer: str | None = None, id_col: str = "doc_id",
     """Packs all rows into sequences of at most ``capacity`` tokens by best-two-fit.
 
     Returns the pieces (see :func:`pieces`) with ``sequence_id`` and ``offset``, gapless from 0 in each sequence. Pieces
-    are dealt at random to groups of about ``group``, each packed by one task, so a task's memory is bounded and equal
-    rows spread. Repeated rows are packed each; an empty table gives an empty result; other columns are ignored.
+    are dealt by a hash to groups of about ``group``, each packed by one task, so a task's memory is bounded. The same
+    rows are packed alike, however the table is partitioned. Repeated rows, and pieces of null ids, are told apart by a
+    number and packed each, in different groups; pieces of equal length go by id, piece and that number. A null or empty
+    text is one token; texts of any length are tokenized whole. An empty table gives an empty result; other columns are
+    not looked at, whatever their names.
     """
-    bounded_batches(docs.sparkSession)
-    cuts = cut(pieces(docs, tokenizer or public_tokenizers.path("word_bpe_49k.json"), id_col, text_col, capacity))
+    cuts = apart(pieces(docs, tokenizer or public_tokenizers.path("word_bpe_49k.json"), id_col, text_col, capacity), "copy")
     groups = -(-max(cuts.count(), 1) // group)
-    dealt = cuts.withColumn("_group", F.pmod(F.xxhash64(id_col, "piece", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
+    dealt = cuts.withColumn("group", F.pmod(F.xxhash64(*cuts.columns), F.lit(groups)))
+    names = [c for c in cuts.columns if c != "copy"]
 
     def fill(table: pa.Table) -> pa.Table:
-        order = np.lexsort((table["piece"].to_numpy(), table["start"].to_numpy(), table["ids_crc32"].to_numpy()))
-        table = table.take(pa.array(order))
+        table = table.sort_by([(c, "ascending") for c in (*names, "copy")])
         bins, offsets = best_two_fit(table["length"].to_numpy(), capacity)
-        number = table["_group"].to_numpy() * (1 << 24) + bins
-        return table.drop_columns(["_group"]).append_column("sequence_id", pa.array(number, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
+        number = table["group"].to_numpy() * (1 << 24) + bins
+        return table.select(names).append_column("sequence_id", pa.array(number, pa.int64())).append_column("offset", pa.array(offsets, pa.int64()))
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return dealt.groupBy("_group").applyInArrow(fill, f"`{id_col}` {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint")
+    kind = cuts.schema["id"].dataType.simpleString()
+    return dealt.groupBy("group").applyInArrow(fill, f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint").withColumnRenamed("id", id_col)
 
 
 def op8_best_fit_packing(spark, sf_dir: str) -> DataFrame:
