@@ -63,8 +63,11 @@ class Reader:
 
     def look(self, chunk: str) -> tuple[bytes, tuple[int, int, int, int]]:
         """Per word a byte (1 for a term, 2 for a stem, 4 for a pronoun); disguised words, loose signs, digits among letters, repeats."""
-        found = WORD.findall(chunk)
+        plain_word = chunk.isalpha()
+        found = [chunk] if plain_word else WORD.findall(chunk)
         kinds = bytes((w in self.terms) | (len(w) > STEM and w[:STEM] in self.stems) << 1 | (w in self.pronouns) << 2 for w in found)
+        if plain_word and not REPEATED.search(chunk):
+            return kinds, (0, 0, 0, 0)
         core = chunk.strip(".,;:!?\"'()[]{}…»«-*#%&$+=~")
         disguised = signs = digits = 0
         if not core or core.isalpha():
