@@ -8,7 +8,6 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -19,8 +18,16 @@ SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = "lorem ipsum dolor " * 7000
 TEXTS = [None, "", " ", "one two", "one two", "One two!", "a b c d e f g h i j k l", "a b c d e f g h i j k l", LONG, LONG, "line\nother\n\nline", "tail\n"]
-# extra columns whose names the operators use themselves
-CLASH = ("_id", "_text", "shard", "size", "key", "check", "n_lines", "n_dropped", "score", "kept", "_digest", "pages", "host", "rule")
+# extra columns with every name that the operators and MLlib use themselves
+CLASH = """id row hash copy place size text_crc32 shard slot bucket k n n_here start digest same keep_id group_size salt zero hot_n key check
+bands node cell task left shingles counts band of m bucket_ segment term at w s e items near ranges gram item exact x rawPrediction probability prediction
+features label raw calibrated score which y fold aside _h _n _kept _host _drop _salt _text _id host no_host line line_key long page drop held clean
+row_host row_none row_salt n_lines n_dropped kept pages rule owner repo values base spans live found piece length group sequence_id offset ids_crc32
+lang_pred verdict stated path asked basket token best hit confidence support anchor name again columns""".split()
+
+
+def clash(df):
+    return df.select("*", *(F.lit(f"mine {c}").alias(c) for c in CLASH if c not in df.columns))
 
 
 @pytest.fixture(scope="module")
@@ -57,7 +64,7 @@ def test_sql(spark, name):
 
 def test_shards_are_a_permutation(docs):
     for n_shards in (1, 4, 40):
-        got = sharding.shard(docs.select("*", *(F.lit(1).alias(c) for c in CLASH)), n_shards).toPandas()
+        got = sharding.shard(clash(docs), n_shards).toPandas()
         assert len(got) == docs.count()
         sizes = got.groupby("shard").size()
         assert sizes.max() - sizes.reindex(range(n_shards), fill_value=0).min() <= 1
@@ -75,6 +82,56 @@ def test_permutation(spark, n):
     assert n < 40 or got != list(range(n))
 
 
+def test_permutation_of_very_many(spark):
+    n = 2**52 + 12345
+    for first in (0, 2**51, n - 2**17):
+        got = spark.range(first, first + 2**17).select(sharding.permuted(F.col("id"), n).alias("p")).agg(F.count_distinct("p"), F.min("p"), F.max("p")).first()
+        assert got[0] == 2**17 and 0 <= got[1] and got[2] < n
+
+
+def test_permutation_is_a_feistel_network(spark):
+    """Against the network written out in plain numbers, with Spark's hash looked up."""
+    n, a, b, seed = 97, 10, 10, 17
+    rounds = {(k, x): h for k, x, h in spark.range(6).selectExpr("CAST(id AS INT) AS k").crossJoin(spark.range(10).withColumnRenamed("id", "x")).select("k", "x", F.xxhash64(F.lit(seed), "k", "x")).collect()}
+
+    def once(x):
+        left, right = divmod(x, b)
+        for k in range(6):
+            if k % 2 == 0:
+                left = (left + rounds[k, right] % a) % a
+            else:
+                right = (right + rounds[k, left] % b) % b
+        return left * b + right
+
+    want = []
+    for x in range(n):
+        y = once(x)
+        while y >= n:
+            y = once(y)
+        want.append(y)
+    assert [r[0] for r in spark.range(n).select(sharding.permuted(F.col("id"), n, seed)).collect()] == want
+
+
+def test_equal_rows_are_dealt_apart(spark):
+    from demandpanel.llm.common import apart
+
+    df = spark.createDataFrame([(None, None)] * 500 + [(1, "x")] * 3 + [(2, None)], "doc_id long, text string")
+    got = apart(df, "copy", most=7).groupBy("doc_id", "text").agg(F.sort_array(F.collect_list("copy")).alias("c")).collect()
+    assert {(r["doc_id"], r["text"]): r["c"] for r in got} == {(None, None): list(range(500)), (1, "x"): [0, 1, 2], (2, None): [0]}
+    one, two = (sorted(map(repr, sharding.shard(x, 7).collect())) for x in (df.repartition(1), df.repartition(9)))
+    assert one == two
+
+
+def test_hot_keys_join_like_others(spark):
+    from demandpanel.llm.common import hot_join
+
+    rows = spark.createDataFrame([(i % 7 if i % 3 else 0, i) for i in range(3000)], "k long, i long")
+    keyed = spark.createDataFrame([(k, f"v{k}", 3000 if k == 0 else 1) for k in range(5)], "of long, v string, n long")
+    want = sorted(map(repr, rows.join(keyed, F.col("k") == F.col("of"), "left").collect()))
+    for most in (0, 10**9):
+        assert sorted(map(repr, hot_join(rows, keyed, "k", "of", "n", most_bytes=most).collect())) == want
+
+
 def test_no_rows_to_shard(spark):
     assert sharding.shard(empty(spark)).count() == 0
 
@@ -84,7 +141,7 @@ def test_no_rows_to_shard(spark):
 
 def test_exact_dedup(spark, docs):
     rows = [(r["doc_id"], r["text"] or "") for r in docs.collect()]
-    got = exact_dedup.exact_dedup(docs.select("*", *(F.lit(1).alias(c) for c in CLASH))).collect()
+    got = exact_dedup.exact_dedup(clash(docs)).collect()
     for r in got:
         same = [i for i, t in rows if hashlib.sha256(t.encode()).hexdigest() == r["text_sha256"]]
         assert r["keep_id"] == max((i for i in same if i is not None), default=None)
@@ -93,6 +150,19 @@ def test_exact_dedup(spark, docs):
     assert exact_dedup.exact_dedup(empty(spark)).count() == 0
 
 
+def test_hot_copies_without_ids(spark, monkeypatch):
+    rows = [(None, "hot")] * 900 + [(5, "hot"), (6, "cold"), (7, "cold"), (8, "alone"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    from demandpanel.llm import common
+
+    plain = {(r["doc_id"], r["text_sha256"]): (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup(df).collect()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert plain == {(None, sha("hot")): (5, 901, False), (5, sha("hot")): (5, 901, True), (6, sha("cold")): (7, 2, False), (7, sha("cold")): (7, 2, True), (8, sha("alone")): (8, 1, True), (None, sha("")): (None, 2, True)}
+    monkeypatch.setattr(common.hot_join, "__defaults__", (64, 0))
+    again = {(r["doc_id"], r["text_sha256"]): (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.exact_dedup(df).collect()}
+    assert again == plain
+
+
 # 4 near dedup
 
 
@@ -105,7 +175,8 @@ def jaccard(a: str, b: str) -> float:
     return float(a == b) if x is None or y is None else sum((x & y).values()) / sum((x | y).values())
 
 
-def test_near_dedup(spark, docs):
+@pytest.mark.parametrize("block", [2, 250])
+def test_near_dedup(spark, docs, block):
     random.seed(4)
     base = [f"w{random.randrange(300)}" for _ in range(300)]
     made = []
@@ -115,8 +186,8 @@ def test_near_dedup(spark, docs):
             words[random.randrange(300)] = f"new{random.randrange(10**6)}"
         made.append(" ".join(words))
     rows = [(i, t) for i, t in [(r["doc_id"], r["text"]) for r in docs.collect()] if i is not None] + [(100 + i, t) for i, t in enumerate(made)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").select("*", *(F.lit(1).alias(c) for c in CLASH))
-    got = near_dedup.near_dedup(df).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string").transform(clash)
+    got = near_dedup.near_dedup(df, block=block).collect()
     root = list(range(len(rows)))
     for i in range(len(rows)):
         for j in range(i):
@@ -128,10 +199,42 @@ def test_near_dedup(spark, docs):
     assert near_dedup.near_dedup(empty(spark)).count() == 0
 
 
+def test_a_chain_in_a_large_group_is_one_class(spark):
+    """Each text is close to the next alone, and far more of them share a band than a block holds."""
+    words = [f"word{i}" for i in range(400)]
+    rows = [(i, " ".join([f"new{j}" for j in range(2 * i)] + words[2 * i :])) for i in range(40)] + [(100 + i, " ".join(f"other{i} {w}" for w in words[:60])) for i in range(5)]
+    rows += [(None, rows[3][1])] * 30 + [(None, rows[3][1].upper())]
+    got = near_dedup.near_dedup(spark.createDataFrame(rows, "doc_id long, text string"), block=4).collect()
+    classes = defaultdict(set)
+    for r in got:
+        classes[r["class_id"], r["class_size"]].add(r["doc_id"])
+    assert len(got) == len(rows) and classes.pop((None, 71)) == {None, *range(40)}
+    assert all(v == {k[0]} and k[1] == 1 for k, v in classes.items()) and len(classes) == 5
+
+
+def test_fractional_weights():
+    rng = np.random.default_rng(3)
+    e = np.sort(rng.integers(0, 2**63, 300).astype(np.uint64))
+    for x, y in ((rng.random(300) * 3, rng.random(300) * 3), (rng.integers(1, 50, 300), rng.integers(1, 50, 300)), (rng.random(300) * 0.2, rng.random(300) * 0.2)):
+        a, b = near_dedup.signatures([(e, x), (e, y)], 4096)
+        assert abs((a == b).mean() - np.minimum(x, y).sum() / np.maximum(x, y).sum()) < 0.04
+
+
+def test_recall_on_real_texts(spark):
+    """Queries with an id divisible by 20 against all rows."""
+    table = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_dedup(table).collect()}
+    docs = {r["doc_id"]: r["text"] or "" for r in table.collect()}
+    shingles = {i: {tuple(w[k : k + 5]) for k in range(max(len(w) - 4, 1))} for i, w in ((i, re.findall(r"[0-9a-z\x80-\U0010ffff]+", t.lower())) for i, t in docs.items()) if w}
+    pairs = [(i, j) for i in shingles if i % 20 == 0 for j in shingles if i != j and len(shingles[i] & shingles[j]) >= 0.7 * len(shingles[i] | shingles[j]) and jaccard(docs[i], docs[j]) >= 0.8]
+    assert pairs and sum(got[i] == got[j] for i, j in pairs) >= 0.9 * len(pairs)
+
+
 def test_blocks_find_all_links():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 2**63, 200).astype(np.uint64)
     sets = [np.sort(np.concatenate([base[: 200 - k], rng.integers(0, 2**63, k).astype(np.uint64)])) for k in (0, 5, 10, 15, 90)]
+    sets = [(x, np.ones(len(x), np.int64)) for x in sets]
     assert {x for pair in near_dedup.linked(sets, np.ones(5, bool), 0.8) for x in pair} == {0, 1, 2, 3}
     across = near_dedup.linked(sets, np.array([True, False, True, False, True]), 0.8)
     assert across and all((i % 2) != (j % 2) for i, j in across)
@@ -140,7 +243,7 @@ def test_blocks_find_all_links():
 def test_signature_estimates_weighted_similarity():
     rng = np.random.default_rng(2)
     units = rng.integers(0, 2**63, 400).astype(np.uint64)
-    a, b = near_dedup.signatures([units[:300], units[100:]], 4096)
+    a, b = near_dedup.signatures([(units[:300], np.ones(300)), (units[100:], np.ones(300))], 4096)
     assert abs((a == b).mean() - 0.5) < 0.04
 
 
@@ -165,12 +268,12 @@ def test_secrets(spark, table):
     texts = ["é𝄞 password = 'abcDEF123456' x", "token=secret=abcdefghijkl", "token = password = longvalue123456", "API_KEY:\"0123456789abcdef0\" AKIAABCDEFGHIJKLMN AKIAAKIAABCDEFGH", "0123456789abcde", "", None, "APIKEY=abcdef.abcdef"]
     rows = [(i, t, f"s{i % 3}") for i, t in enumerate(texts)] + [(50, "token=Zx9Qw8Er7Ty6Ui5O", "s1"), (50, "token=Zx9Qw8Er7Ty6Ui5O", "s1"), (51, "token=Zx9Qw8Er7Ty6Ui5O", "s2"), (52, "token=Mn1Bv2Cx3Za4Sd5F", None), (None, "token=Mn1Bv2Cx3Za4Sd5F", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = secrets.secrets(df.select("*", *(F.lit(1).alias(c) for c in CLASH))).collect()
+    got = secrets.secrets(clash(df)).collect()
     assert len(got) == len(rows)
     want = {i: ",".join(f"{k}:{s}:{e}" for s, _, k, e in plain_spans(t or "")) for i, t, _ in rows}
     assert {r["doc_id"]: r["base_spans"] for r in got} == want
     by = {r["doc_id"]: r for r in got}
-    assert (by[50]["n_live"], by[50]["n_example"], by[52]["n_live"]) == (0, 1, 1)
+    assert [(by[i]["n_live"], by[i]["n_example"], by[i]["n_repos"], by[i]["n_owners"]) for i in (50, 52)] == [(1, 0, 1, 1), (1, 0, 1, 1)]
     assert by[52]["spans"] == "assign:0:22,live:6:22"
     real = {r["doc_id"]: r for r in secrets.secrets(table).collect()}
     for r in table.collect():
@@ -191,6 +294,16 @@ def test_secrets_by_spread(spark):
     assert {seen(200 + i) for i in range(12)} == {(0, 1, 12, 4, "6:22:12:4")}
     assert {seen(300 + i) for i in range(12)} == {(1, 0, 12, 2, "6:22:12:2")}
     assert seen(400) == (0, 0, 0, 0, "")
+    # the number of repositories alone decides: 12 of 4 owners are too few once 13 are asked for
+    got = {r["doc_id"]: r for r in secrets.secrets(spark.createDataFrame(rows, "doc_id long, text string, source string"), widely=(13, 3)).collect()}
+    assert {seen(200 + i) for i in range(12)} == {(1, 0, 12, 4, "6:22:12:4")}
+
+
+def test_very_many_secrets_in_one_text(spark):
+    text = " ".join(f"{i:016x}" for i in range(5000)) + " token=" + "q7" * 9
+    df = spark.createDataFrame([(1, text, "s"), (2, text, "s")], "doc_id long, text string, source string")
+    for r in secrets.secrets(df).collect():
+        assert r["base_spans"] == ",".join(f"{k}:{s}:{e}" for s, _, k, e in plain_spans(text)) and r["n_hex"] == 5000
 
 
 # 6 decontamination
@@ -210,13 +323,12 @@ def plain_hits(text, items, window=10):
     return len(words), len(hit), sorted(found)
 
 
-@pytest.mark.parametrize("block_words", [12, 10**6])
-def test_decontamination(spark, docs, block_words):
+@pytest.mark.parametrize(("segment_words", "block_windows"), [(12, 3), (10**6, 10**5)])
+def test_decontamination(spark, docs, segment_words, block_windows):
     items = [(1, "a B c d, e f g h i j k"), (22, "One Two"), (3, None), (4, "..."), (5, "É ü x"), (22, "line other"), (None, "zz"), (6, "dolor lorem ipsum dolor lorem ipsum dolor lorem ipsum dolor lorem")]
-    more = spark.createDataFrame([(90, "x é ü x é ü x", "", "", 0), (91, "É ü X zz", "", "", 0), (91, "É ü X zz", "", "", 0)], DOCS)
-    rows = docs.filter(F.length("text").isNull() | (F.length("text") < 10**5)).unionByName(more)
+    rows = docs.unionByName(spark.createDataFrame([(90, "x é ü x é ü x", "", "", 0), (91, "É ü X zz", "", "", 0), (91, "É ü X zz", "", "", 0)], DOCS))
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = D.decontaminate(rows.select("*", *(F.lit(1).alias(c) for c in CLASH)), bench, block_words=block_words).collect()
+    got = D.decontaminate(clash(rows), clash(bench), segment_words=segment_words, block_windows=block_windows).collect()
     named = [("" if i is None else i, t) for i, t in items]
     want = Counter(repr((r["doc_id"], *plain_hits(r["text"], named))) for r in rows.collect())
     assert Counter(repr((r["doc_id"], r["n_words"], r["n_hit"], list(r["items"]))) for r in got) == want
@@ -225,6 +337,30 @@ def test_decontamination(spark, docs, block_words):
     assert none == 0
 
 
+def test_nameless_items_and_a_very_long_one(spark):
+    rng = random.Random(5)
+    long = [f"t{rng.randrange(3000)}" for _ in range(30_000)]
+    cut = " ".join(long[12_345:12_400])
+    docs = spark.createDataFrame([(1, f"so {cut} it goes"), (2, " ".join(rng.sample(long, 300))), (None, cut), (3, "")], "doc_id long, text string")
+    bench = spark.createDataFrame([("big", " ".join(long)), (None, cut), ("", cut), ("small", "it goes")], "item_id string, text string")
+    for broadcast_bytes in (0, 10**9):
+        got = {r["doc_id"]: r for r in D.decontaminate(docs, bench, block_windows=1000, broadcast_bytes=broadcast_bytes).collect()}
+        assert (got[1]["n_hit"], list(got[1]["items"])) == (57, ["", "", "big", "small"])
+        assert (got[None]["n_hit"], list(got[None]["items"]), got[3]["n_hit"]) == (55, ["", "", "big"], 0)
+
+
+def test_index_holds_every_word(spark, table):
+    """The posting lists give back each text's words at their places."""
+    index = D.build_index(table.limit(40), segment_words=2000).collect()
+    places = {(r["segment"], int(p)): r["term"] for r in index if r["term"] is not None for p in np.frombuffer(r["at"], "<i4")}
+    terms = D.Terms()
+    texts = {r["doc_id"]: r["text"] for r in table.limit(40).collect()}
+    rows = [r for r in index if r["term"] is None]
+    assert len(rows) == 40 and len({r["segment"] for r in rows}) > 1 and sum(r["n"] for r in rows) == len(places)
+    for r in rows:
+        assert [places[r["segment"], r["start"] + k] for k in range(r["n"])] == terms.of(D.words(texts[r["id"]])).tolist()
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "gamma filler alpha more beta"), (2, "alpha " + "x " * 30 + "beta gamma")], "doc_id long, text string")
     bench = spark.createDataFrame([(9, "alpha beta gamma")], "item_id long, text string")
@@ -237,7 +373,7 @@ def test_proximity(spark):
 
 def test_line_dedup(spark):
     rows = [(i, f"own {i}\nnav\n\nshared {i % 2}", "a") for i in range(12)] + [(20, "nav\nx", "b"), (21, None, "a"), (22, "nav", None), (23, "", "a"), (24, "nav", "a")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, source string").select("*", *(F.lit(1).alias(c) for c in CLASH))
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").transform(clash)
     got = {r["doc_id"]: r for r in line_dedup.line_dedup(df, max_ratio=0.5).collect()}
     assert (got[3]["text"], got[3]["n_lines"], got[3]["n_dropped"]) == ("own 3\n\nshared 1", 4, 1)
     assert (got[20]["text"], got[21]["text"], got[22]["text"], got[23]["text"], got[24]["text"]) == ("nav\nx", None, "nav", "", "")
@@ -246,7 +382,19 @@ def test_line_dedup(spark):
 
 def test_mirrored_pages_are_one(spark):
     df = spark.createDataFrame([(i, "body", "a") for i in range(50)] + [(100 + i, f"t{i}", "a") for i in range(20)], "doc_id long, text string, source string")
-    assert line_dedup.line_dedup(df).agg(F.sum("n_dropped")).first()[0] == 0
+    assert line_dedup.line_dedup(df, mirrors=True).agg(F.sum("n_dropped")).first()[0] == 0
+    # as dealt, every page counts: the body is on 50 of 70
+    assert line_dedup.line_dedup(df).agg(F.sum("n_dropped")).first()[0] == 50
+
+
+def test_user_columns_come_back(spark, docs):
+    df = clash(docs.unionByName(spark.createDataFrame([(200 + i, f"own {i}\nnav", "en", "s", i) for i in range(9)], DOCS)))
+    for limit in (0, line_dedup.BROADCAST_BYTES):
+        out = line_dedup.line_dedup(df, broadcast_bytes=limit)
+        assert out.columns == [c for c in df.columns if c not in ("n_lines", "n_dropped")] + ["n_lines", "n_dropped"]
+        got = out.filter("doc_id >= 200").collect()
+        assert {r["text"] for r in got} == {f"own {i}" for i in range(9)}
+        assert all(r[c] == f"mine {c}" for r in out.collect() for c in CLASH if c not in ("n_lines", "n_dropped") and c in out.columns)
 
 
 def test_boilerplate_is_whole(spark):
@@ -273,7 +421,7 @@ def test_packing(docs, table, spark):
 
     plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rows = docs.unionByName(table.limit(60).select(docs.columns))
-    got = packing.pack(rows.select("*", *(F.lit(1).alias(c) for c in CLASH)), group=50).toPandas()
+    got = packing.pack(clash(rows), group=50).toPandas()
     seqs = got.sort_values("offset").groupby("sequence_id")
     for _, g in seqs:
         assert g.length.sum() <= 2048 and list(g.offset) == [0, *np.cumsum(g.length)[:-1]]
@@ -285,6 +433,44 @@ def test_packing(docs, table, spark):
     assert packing.pack(empty(spark)).count() == 0
 
 
+def test_packing_does_not_depend_on_partitions(spark, table):
+    rows = table.select("doc_id", "text").unionByName(spark.createDataFrame([(None, None)] * 40, "doc_id long, text string"))
+    one, two = (sorted(map(repr, packing.pack(rows.repartition(k), group=60).collect())) for k in (1, 6))
+    assert one == two
+
+
+def plain_two_fit(lengths, capacity):
+    """Best-two-fit over all pairs, with plain lists: the sums of the bins in order."""
+    left, bins = sorted(lengths, reverse=True), []
+    while left:
+        inside = []
+        for x in list(left):
+            if x <= capacity - sum(inside):
+                inside.append(x)
+                left.remove(x)
+        gap = capacity - sum(inside)
+        if gap and left:
+            least = inside[-1]
+            pairs = [left[i] + left[j] for i in range(len(left)) for j in range(i) if left[i] + left[j] <= gap + least]
+            if pairs and max(pairs) > least:
+                i, j = next((i, j) for i in range(len(left)) for j in range(i) if left[i] + left[j] == max(pairs))
+                inside = inside[:-1] + [left[i], left[j]]
+                left = sorted([x for k, x in enumerate(left) if k not in (i, j)] + [least], reverse=True)
+        bins.append(sum(inside))
+    return bins
+
+
+def test_best_two_fit_against_all_pairs():
+    rng = random.Random(2)
+    for _ in range(40):
+        lengths = [rng.randrange(1, 101) for _ in range(rng.randrange(1, 60))]
+        bins, _ = packing.best_two_fit(lengths, 100)
+        sums = [sum(x for x, b in zip(lengths, bins) if b == k) for k in range(max(bins) + 1)]
+        # equal sums of pairs can be other pairs, and lead to other bins later
+        want = plain_two_fit(lengths, 100)
+        assert sums[0] == want[0] and abs(len(sums) - len(want)) <= 1 and sum(sums) == sum(want)
+
+
 def test_odd_texts_are_tokenized_alike():
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -316,14 +502,51 @@ def test_language(spark, table):
     hidden = got[got.held_out]
     assert (hidden.lang == hidden.lang_pred).mean() > 0.95 and got.score.between(0, 1).all()
     prototypes = language_id.learn(table.limit(100))
-    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !!"), (4, "a"), (5, "日本 語"), (None, "und the of")], "doc_id long, text string").select("*", *(F.lit(1).alias(c) for c in CLASH))
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, "123 !!"), (4, "a"), (5, "日本 語"), (None, "und the of")], "doc_id long, text string").transform(clash)
     pred = {r["doc_id"]: r["lang_pred"] for r in language_id.identify(odd, prototypes).collect()}
     assert [pred[i] for i in (1, 2, 3)] == ["und"] * 3 and pred[4] != "und" and len(pred) == 6
-    assert language_id.learn(empty(spark)) == {}
-    assert {r["lang_pred"] for r in language_id.identify(odd, {}).collect()} == {"und"}
+    assert language_id.learn(empty(spark)).count() == 0
+    assert {r["lang_pred"] for r in language_id.identify(odd, prototypes.limit(0)).collect()} == {"und"}
     assert language_id.identify(empty(spark), prototypes).count() == 0
 
 
+def test_language_against_plain_profiles(spark, table):
+    """One document, one trigram at a time; and blocks of one language give the same as all at once."""
+    dim, letters = 256, {}
+
+    def letter(c):
+        key = ord(c) if c.isalpha() else 0
+        if key not in letters:
+            letters[key] = np.random.default_rng([language_id.SEED, key]).choice(np.array([-1, 1]), dim)
+        return letters[key], key != 0
+
+    def profile(text):
+        chars = re.sub(r"[\W\d_]+", " ", f" {(text or '').lower()} ")
+        out, n = np.zeros(dim), 0
+        for a, b, c in zip(chars, chars[1:], chars[2:]):
+            if letter(b)[1]:
+                out += np.roll(letter(a)[0], 2) * np.roll(letter(b)[0], 1) * letter(c)[0]
+                n += 1
+        return out / max(n, 1), n
+
+    rows = [(r["doc_id"], (r["text"] or "")[:600], r["lang"]) for r in table.limit(60).collect()] + [(900, None, "en"), (901, "42", None), (902, "ein Wort " * 3000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = defaultdict(lambda: np.zeros(dim))
+    for _, text, lang in rows:
+        if text is not None and lang is not None:
+            learned[lang] = learned[lang] + profile(text)[0]
+    want = {}
+    for i, text, _ in rows:
+        vector, n = profile(text)
+        cosine = {k: float(vector @ v / max(np.linalg.norm(vector) * np.linalg.norm(v), 1e-12)) for k, v in learned.items()}
+        want[i] = (min(cosine, key=lambda k: (-cosine[k], k)), min(max(max(cosine.values()), 0), 1)) if n else ("und", 0.0)
+    prototypes = language_id.learn(clash(df), dim=dim)
+    for block in (1, 1024):
+        got = {r["doc_id"]: r for r in language_id.identify(clash(df), prototypes, dim=dim, block=block).collect()}
+        assert {i: r["lang_pred"] for i, r in got.items()} == {i: x[0] for i, x in want.items()}
+        assert all(abs(got[i]["score"] - x[1]) < 1e-4 for i, x in want.items())
+
+
 # 10 URLs
 
 
@@ -332,7 +555,7 @@ def test_url_rules(spark):
     want = {"http://a.example.org/es/1": ("a.example.org", "/es/1", "example.org/es/", "block"), "HTTP://X.ORG/q?x": ("x.org", "/q", "org/", "allow"), "http://example.org/en/12": ("example.org", "/en/12", "example.org/en/1", "block"), "http://example.org": ("example.org", "", None, "allow"), "no scheme": ("", "", None, "allow"), "a://B.com/fr/x#y": ("b.com", "/fr/x", "com/fr/", "allow"), "http://b.com/de/": ("b.com", "/de/", "com/de/", "block"), "http://c.net/": ("c.net", "/", None, "allow"), "http://notorg/": ("notorg", "/", None, "allow")}
     rows = [(i, u) for i, u in enumerate(urls)] + [(90, None), (0, "http://a.example.org/es/1")]
     labels = spark.createDataFrame([], "url string, block boolean")
-    df = spark.createDataFrame(rows, "page_id long, url string").select("*", *(F.lit(1).alias(c) for c in CLASH))
+    df = spark.createDataFrame(rows, "page_id long, url string").transform(clash)
     got = url_filter.url_filter(df, labels).collect()
     assert len(got) == len(rows)
     for r in got:
@@ -357,6 +580,45 @@ def test_mined_rules(spark):
     assert all((got[i]["verdict"] == "block") == any(x <= set(page[i]) for x in rules) for i in got)
 
 
+def test_mining_finds_all_rules_and_no_other(spark):
+    from itertools import combinations
+
+    rng = random.Random(6)
+    baskets = []
+    for _ in range(120):
+        items = {t for t in "abcdef" if rng.random() < 0.4} | {"z"}
+        baskets.append((sorted(items | ({"b2"} if "b" in items else set())), rng.random() < (0.95 if {"a", "c"} <= items or "b" in items else 0.1)))
+    baskets += [(["z"], False)] * 5
+    n, base = len(baskets), sum(b for _, b in baskets) / len(baskets)
+    held = {}
+    for size in range(1, 8):
+        for rule in combinations("abcdefz", size):  # b2 always stands with b, and b stands for it
+            inside = [b for t, b in baskets if set(rule) <= set(t)]
+            if sum(inside) >= max(5, 0.002 * n):
+                p, m, z = sum(inside) / len(inside), len(inside), 1.96
+                lower = (p + z * z / (2 * m) - z * (p * (1 - p) / m + z * z / (4 * m * m)) ** 0.5) / (1 + z * z / m)
+                if p >= 0.6 and p / base >= 1.2 and lower >= 0.5:
+                    held[rule] = (p, m)
+    want = {r: v for r, v in held.items() if not any(set(q) < set(r) and held[q][0] >= v[0] for q in held)}
+    got = {tuple(r["rule"]): (r["confidence"], r["n"]) for r in url_filter.mine(spark.createDataFrame(baskets, "items array<string>, block boolean")).collect()}
+    assert got.keys() == want.keys() and len(want) >= 2
+    assert all(got[r] == (pytest.approx(want[r][0]), want[r][1]) for r in want)
+
+
+def test_chance_makes_no_rule(spark):
+    labels = spark.createDataFrame([(f"http://h{i % 9}.net/p{i % 4}/x", i % 6 == 0) for i in range(20)] + [("http://once.net/q", True)] * 2, "url string, block boolean")
+    assert url_filter.mine(labels.select(url_filter.tokens(F.col("url")).alias("items"), "block")).count() == 0
+
+
+def test_long_urls_and_ties(spark):
+    bad = [("http://a.net/x/" + "y/" * 30, True)] * 8 + [("http://b.net/z", False)] * 20 + [(None, True), ("http://c.net/", None)]
+    labels = spark.createDataFrame(bad, "url string, block boolean")
+    pages = spark.createDataFrame([(1, "http://a.net/x/" + "y/" * 30), (2, "http://q.net/" + "w/" * 20000), (3, ""), (None, None), (None, None)], "page_id long, url string")
+    got = [(r["page_id"], r["verdict"]) for r in url_filter.url_filter(clash(pages), labels).collect()]
+    assert sorted(got, key=str) == sorted([(1, "block"), (2, "allow"), (3, "allow"), (None, "allow"), (None, "allow")], key=str)
+    assert url_filter.url_filter(pages.limit(0), labels).count() == 0
+
+
 # 2 toxicity
 
 
@@ -372,7 +634,7 @@ def test_toxicity(spark):
         rows.append((i, " ".join(re.sub(r"\d", lambda m: "abcdefghij"[int(m[0])], w) for w in ws)))
         labels.append((i, int(toxic)))
     rows += [(1000, None), (1001, ""), (1002, "x " * 20000), (None, "you gromp flarg snirk gromp")]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").select("*", *(F.lit(1).alias(c) for c in CLASH if c != "score"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").transform(clash)
     known = spark.createDataFrame([x for x in labels if x[0] % 3], "doc_id long, toxic int")
     model = toxicity.fit(docs, known)
     assert model.terms >= {"gromp", "flarg", "snirk"}
@@ -389,11 +651,59 @@ def test_toxicity(spark):
 def test_disguised_words():
     terms, stems, pronouns = frozenset({"idiot"}), frozenset({"idio"}), frozenset({"you"})
     at = toxicity.FEATURES.index
+    features = toxicity.Reader(terms, stems, pronouns)
     for text in ("so 1d10t yes", "so i.d.i.o.t yes", "so idiooooot yes"):
-        assert toxicity.features(text, terms, stems, pronouns)[at("disguised_density")] > 0
-    assert toxicity.features("you idiot", terms, stems, pronouns)[at("near_pronoun_share")] == 1.0
-    assert toxicity.features("", terms, stems, pronouns)[at("word_density")] == 0
-
-
-def test_pandas_is_there():
-    assert pd.__version__
+        assert features(text)[at("disguised_density")] > 0
+    assert features("you idiot")[at("near_pronoun_share")] == 1.0
+    assert features("")[at("word_density")] == 0
+
+
+def test_features_against_plain_counts(table):
+    terms, stems, pronouns = frozenset({"the", "und", "que"}), frozenset({"ther", "unde"}), frozenset({"you", "de"})
+    read = toxicity.Reader(terms, stems, pronouns)
+    for text in [r["text"] or "" for r in table.limit(80).collect()] + ["", "THE you!!! the-the don't", "ABC " * 500, "é" * 40]:
+        x = dict(zip(toxicity.FEATURES, read(text), strict=True))
+        words = re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)?", text.lower())
+        n = max(len(words), 1)
+        hits = [i for i, w in enumerate(words) if w in terms]
+        persons = [i for i, w in enumerate(words) if w in pronouns]
+        near = sum(any(abs(i - j) <= toxicity.NEARBY for j in persons) for i in hits)
+        assert x["log_words"] == pytest.approx(np.log1p(len(words))) and x["word_density"] == pytest.approx(len(hits) / n)
+        assert x["stem_density"] == pytest.approx(sum(len(w) > 4 and w[:4] in stems for w in words) / n)
+        assert (x["pronoun_density"], x["near_pronoun_density"]) == (pytest.approx(len(persons) / n), pytest.approx(near / n))
+        assert x["capitals"] == pytest.approx(sum(c.isupper() for c in text) / max(len(text), 1))
+        assert x["repeats"] == pytest.approx(len(re.findall(r"(\w)\1{2,}", text.lower())) / n)
+
+
+def test_lexicon_against_plain_counts(spark):
+    rng = random.Random(9)
+    words = [a + b + "er" for a in "bdfgklmnprst" for b in ("a", "e", "i", "o", "u")]
+    bad = words[:4]
+    rows, labels = [], []
+    for i in range(300):
+        toxic = i % 4 == 0
+        rows.append((i, " ".join(rng.choices(words[4:], k=12) + (rng.sample(bad, 2) if toxic else []) + ["don't"])))
+        labels.append((i, int(toxic)))
+    # the same text with both labels is toxic, whichever comes first; rows without a label or an id say nothing
+    rows += [(1000, "both ways"), (1001, "both ways"), (None, "no id"), (1002, "no label")]
+    labels += [(1000, 0), (1001, 1), (1002, None), (None, 1), (0, 0)]
+    docs, known = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.fit(clash(docs), clash(known))
+    truth = {}
+    for i, y in labels:
+        if i is not None and y is not None:
+            truth[i] = max(truth.get(i, 0), y)
+    texts = {}
+    for i, t in rows:
+        if i in truth:
+            texts[t] = max(texts.get(t, 0), truth[i])
+    least = max(toxicity.LEAST_TEXTS, round(toxicity.LEAST_SHARE * sum(texts.values())))
+    seen, toxic = Counter(), Counter()
+    for t, y in texts.items():
+        for w in toxicity.terms_of(t):
+            seen[w] += 1
+            toxic[w] += y
+    assert model.terms == {w for w in seen if toxic[w] >= least and toxic[w] >= toxicity.PRECISION * seen[w]} >= set(bad)
+    again = toxicity.fit(docs.repartition(5), known.repartition(3))
+    one, two = ({r["doc_id"]: r["score"] for r in toxicity.score(docs, m).collect()} for m in (model, again))
+    assert one == two and one[1000] == one[1001]

@@ -40,6 +40,26 @@ def test_repeated_rows_stay_once(spark):
     assert sorted(map(str, (r["doc_id"] for r in got.collect()))) == ["1", "3", "None"]
 
 
+def test_columns_of_any_name_come_through(spark):
+    """Each stage with every name that the operators and MLlib use as an extra column, whose values come back."""
+    from test_operators import CLASH
+
+    docs = common.read(spark, SF, "documents").limit(60)
+    wide = common.cut(docs.select("*", *(F.concat(F.lit(f"{c} "), "doc_id").alias(c) for c in CLASH)))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, wide, SF)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c} {r['doc_id']}" for r in rows for c in CLASH), name
+    assert corpus_pipeline.STAGES[-1][1](spark, wide, SF).count() >= 60
+
+
+def test_line_dedup_leaves_copies_their_text(spark):
+    rows = [(i, "one text that is copied over and over\nby many", "en", "a", 1) for i in range(30)] + [(100 + i, f"own {i}", "en", "a", 1) for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["text"] for r in corpus_pipeline.drop_lines(spark, df, SF).filter("doc_id < 100").collect()} == {rows[0][1]}
+
+
 def test_empty_documents(spark, tmp_path):
     for t in ("documents", "labels", "benchmark"):
         common.read(spark, SF, t).limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
