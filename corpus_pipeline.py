@@ -6,48 +6,61 @@ Every stage takes (spark, docs, sf_dir) and works on all that its predecessor ke
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandpanel.llm import common, decontaminate, line_dedup, near_dedup, packing, toxicity
 
-#: Bytes that a dropped document's name takes in a broadcast, and the most that are broadcast.
-NAME_BYTES, BROADCAST_BYTES = 64, 32_000_000
 
-
-def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents with a toxicity score of 0.5 or more, by a model fitted on all labels."""
-    model = toxicity.fit(docs, common.read(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, keep=docs.columns).filter("score < 0.5").select(docs.columns)
+def _named(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with one more column, of a name that none of its columns has: a string that names a row by its id and text."""
+    (name,) = common.free(docs.columns, "name")
+    return docs.withColumn(name, _name(common.quoted("doc_id"), F.xxhash64(common.quoted("text")))), name
 
 
-def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops each source's boilerplate lines; every document stays."""
-    return line_dedup.line_dedup(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+def _name(doc_id: Column, check: Column) -> Column:
+    return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("-")), doc_id.isNull().cast("int"), check)
 
 
 def _without(docs: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``found`` (``doc_id``, ``check``) doesn't name. Few enough names are broadcast, so that no text is
-    shuffled; more are joined."""
-    found = common.cut(found.select(F.col("doc_id").alias("_drop"), F.col("check").alias("_check")).distinct())
-    return _joined(docs, found, found.count(), "left_anti")
-
-
-def _joined(docs: DataFrame, names: DataFrame, n: int, how: str) -> DataFrame:
-    same = F.col("doc_id").eqNullSafe(F.col("_drop")) & F.xxhash64("text").eqNullSafe(F.col("_check"))
-    return docs.join(F.broadcast(names) if n * NAME_BYTES <= BROADCAST_BYTES else names, same, how)
+    shuffled; otherwise they are joined, and the rows of a name that very many have are spread."""
+    rows, name = _named(docs)
+    drop, n = common.free(rows.columns, "drop", "n")
+    names = common.cut(found.groupBy(_name(F.col("doc_id"), F.col("check")).alias(drop)).agg(F.count("*").alias(n)))
+    return common.hot_join(rows, names, name, drop, n).filter(F.col(drop).isNull()).select(*(common.quoted(c) for c in docs.columns))
 
 
 def _once(docs: DataFrame) -> DataFrame:
     """One row, the least, of all with the same ``doc_id`` and text; ids may be null. Only repeated rows move, and a hot key's rows
     are reduced within each partition before they do."""
-    names = docs.groupBy(F.col("doc_id").alias("_drop"), F.xxhash64("text").alias("_check")).agg(F.count("*").alias("_n"))
-    names = common.cut(names.filter("_n > 1").select("_drop", "_check"))
-    n = names.count()
-    if not n:
+    rows, name = _named(docs)
+    again, n = common.free(rows.columns, "again", "n")
+    names = common.cut(rows.groupBy(F.col(name).alias(again)).agg(F.count("*").alias(n)).filter(F.col(n) > 1))
+    if not names.limit(1).count():
         return docs
-    repeated = _joined(docs, names, n, "left_semi").groupBy("doc_id", F.xxhash64("text").alias("_check")).agg(F.min(F.struct(*docs.columns)).alias("_row"))
-    return _joined(docs, names, n, "left_anti").unionByName(repeated.select("_row.*"))
+    marked = common.hot_join(rows, names, name, again, n)
+    columns = [common.quoted(c) for c in docs.columns]
+    repeated = marked.filter(F.col(again).isNotNull()).groupBy(F.col(name).alias("name")).agg(F.min(F.struct(*columns)).alias("row"))
+    return marked.filter(F.col(again).isNull()).select(*columns).unionByName(repeated.select(*(F.col("row").getField(c).alias(c) for c in docs.columns)))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents with a toxicity score of 0.5 or more, by a model fitted on all labels."""
+    model = toxicity.fit(docs, common.read(spark, sf_dir, "labels"))
+    return _without(docs, toxicity.score(docs, model).filter("score >= 0.5"))
+
+
+def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops each source's boilerplate lines; every document stays. Pages of the same text count once, since copies are still
+    there at this stage and their own text is no boilerplate."""
+    columns = [common.quoted(c) for c in docs.columns]
+    (row,) = common.free(docs.columns, "row")
+    clean = line_dedup.line_dedup(docs.select(F.struct(*columns).alias(row), "doc_id", "source", "text"), mirrors=True)
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return clean.select(*(new.get(c, F.col(row).getField(c)).alias(c) for c in docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
