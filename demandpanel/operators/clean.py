@@ -89,6 +89,7 @@ def exclude_t0(df: DataFrame) -> DataFrame:
 
 
 #: Feature sets by tier; a tier without an entry takes the first.
+# Columns of each tier.
 FEATURE_SETS = {
     "T1_MATURE": ["dow", "week_of_year", "month", "is_weekend", "lag_1", "lag_7", "lag_14", "lag_28", "lag_56", "roll_mean_7", "roll_mean_28", "roll_std_28", "nz_rate_7", "nz_rate_28", "days_since_last_sale_asof", "zero_run_length_asof", "last_sale_qty_asof"],
     "T2_GROWING": ["dow", "week_of_year", "month", "is_weekend", "lag_1", "lag_7", "lag_14", "lag_28", "roll_mean_7", "roll_mean_28", "nz_rate_7", "nz_rate_28", "days_since_last_sale_asof", "zero_run_length_asof"],

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandpanel.config import KEYS
-from demandpanel.functions.columns import clip, flag, ratio
+from demandpanel.functions.columns import clip, ratio
 
 
 def naive_lag(df: DataFrame, k: int = 7) -> DataFrame:
@@ -203,7 +203,7 @@ def ensemble(df: DataFrame, weights: dict[str, float], to: str = "yhat") -> Data
     return df.withColumn(to, sum((F.lit(w) * F.col(c) for c, w in weights.items()), F.lit(0.0)))
 
 
-#: Base uncertainty by segment.
+# Base uncertainty by segment.
 UNCERTAINTY = {"A": 0.20, "B": 0.30, "C": 0.50}
 
 
@@ -229,10 +229,12 @@ def blend_c_items(df: DataFrame, croston_df: DataFrame, weight: float = 0.7) ->
     }).drop("_r", "_l", "_u")
 
 
-def smooth_weeks(df: DataFrame, yhat: str = "yhat", conserve: bool = False) -> DataFrame:
+def smooth_weeks(df: DataFrame, yhat: str = "yhat", conserve: bool = False, iso_year: bool = False) -> DataFrame:
     """Spreads a day that holds over half of its week's forecast: it falls to 70 %, and the others share what it had beyond a
-    half. ``conserve`` gives the others what it lost instead, so that the week's total stays."""
-    week = Window.partitionBy(*KEYS, F.year("date"), F.weekofyear("date"))
+    half. ``conserve`` gives the others what it lost instead, so that the week's total stays. Weeks are named by calendar
+    year and ISO week, which puts 31 December into one week with the first days of its own year; with ``iso_year`` they
+    are the seven days from Monday on."""
+    week = Window.partitionBy(*KEYS, *([F.trunc("date", "week")] if iso_year else [F.year("date"), F.weekofyear("date")]))
     v = F.col(yhat)
     rows = df.withColumns({"_t": F.sum(yhat).over(week), "_m": F.max(yhat).over(week), "_n": F.count("*").over(week), "_r": F.row_number().over(week.orderBy(F.desc(yhat), "date"))})
     high = (F.col("_m") > 0.5 * F.col("_t")) & (F.col("_n") > 1) & (F.col("_t") != 0)
@@ -278,7 +280,3 @@ def recursive_forecast(state: DataFrame, start: date, horizon: int, step=None, k
 def forecast_output(df: DataFrame, yhat: str = "yhat") -> DataFrame:
     """The delivered columns of a forecast."""
     return df.select(*KEYS, "date", F.col(yhat).alias("predicted_sales"), "lower_bound", "upper_bound", F.col("abc").alias("abc_segment"))
-
-
-def overdue(df: DataFrame) -> DataFrame:
-    return df.withColumn("is_overdue", flag(ratio(F.col("days_since"), F.col("median_gap")) > 1.5))

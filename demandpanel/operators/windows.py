@@ -103,7 +103,7 @@ def spike_flag(df: DataFrame, mode: str = "mult", mult: float = 2.0, y: str = "y
         r = q / (mean + 0.1)
         return df.withColumns({"spike_ratio": r, "is_spike": flag((r > mult) & (q > 1))})
     if mode == "hist":
-        ever = F.avg(F.when(q > 0, q)).over(Window.partitionBy(*keys))
+        ever = F.avg(F.when(q > 0, q)).over(_past(None, keys))
         return df.withColumn("is_spike", flag((q > 3 * ever) & (q > 5)))
     return df.withColumn("is_spike", flag(q > mult * mean))
 
@@ -140,10 +140,10 @@ def spike_history(df: DataFrame, keys=KEYS) -> DataFrame:
     })
 
 
-def assemble_spikes(df: DataFrame, asof: date | None = None, keys=KEYS) -> DataFrame:
+def assemble_spikes(df: DataFrame, asof: date | None, keys=KEYS) -> DataFrame:
     """Spike features together: store-day share, lift and probability of the series-week, and the series' recent spikes.
 
-    ``asof`` learns lift and probability from earlier days only; without it they see the whole range.
+    Lift and probability are learned from days up to ``asof``; None, for reports on the past, lets them see the whole range.
     """
     store, lift, prob = store_day_spikes(df), seasonal_lift(df, keys, asof=asof), spike_prob(df, keys, asof)
     out = spike_history(df, keys).withColumn("week", F.weekofyear("date"))
@@ -197,8 +197,8 @@ def snapshot_features(panel: DataFrame, cutoff: date, days: int = 60, keys=KEYS,
     return out.withColumns({**{f"lag_{k}": mean for k in (1, 7, 14, 28)}, "roll_sum_7": mean * 7, "roll_sum_28": mean * 28, "roll_std_28": F.lit(0.0), "days_since": F.coalesce("days_since", F.lit(days))})
 
 
-def exp3_features(df: DataFrame, y: str = "y", keys=KEYS) -> DataFrame:
-    """Mean, maximum and sales share of the last seven days, the series' mean where there are none."""
-    ever = F.avg(y).over(Window.partitionBy(*keys))
+def exp3_features(df: DataFrame, asof: date, y: str = "y", keys=KEYS) -> DataFrame:
+    """Mean, maximum and sales share of the last seven days; where there are none, the series' mean over days up to ``asof``."""
+    ever = F.avg(F.when(F.col("date") <= F.lit(asof), F.col(y))).over(Window.partitionBy(*keys))
     past = _past(7, keys)
     return df.withColumns({"mean_7": F.coalesce(F.avg(y).over(past), ever), "max_7": F.coalesce(F.max(y).over(past).cast("double"), ever), "nz_7": F.coalesce(F.avg(F.when(F.col(y) > 0, 1.0).otherwise(0.0)).over(past), F.lit(0.0))})

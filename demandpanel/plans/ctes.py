@@ -2,7 +2,7 @@
 the panel is a spine and a join, statistics are taken over all its days, runs are islands."""
 
 from demandpanel.config import closures
-from demandpanel.sources.testdata import CFG
+from demandpanel.sources.testdata import CFG, SKU, STORE
 
 END = f"DATE '{CFG.data_end}'"
 D1, D2 = (f"DATE '{d}'" for d in CFG.disruption)
@@ -12,7 +12,7 @@ FOLDS = ", ".join(f"('{f.fold_id}', DATE '{CFG.data_start}', DATE '{f.train_end}
 CLOSED = ", ".join(f"(DATE '{d}', '{n}', 1)" for d, n in closures(*CFG.closure_years))
 
 
-def sales(store: str = "r_name", sku: str = "p_brand") -> str:
+def sales(store: str = STORE, sku: str = SKU) -> str:
     return f"""sales AS (
   SELECT CAST({store} AS VARCHAR) AS store_id, CAST({sku} AS VARCHAR) AS sku_id, CAST(l_shipdate AS DATE) AS date,
          CASE WHEN l_returnflag = 'R' THEN -CAST(l_quantity AS BIGINT) ELSE CAST(l_quantity AS BIGINT) END AS sales

@@ -16,7 +16,7 @@ from demandpanel.operators import forecast as FC
 from demandpanel.operators import panel as J
 from demandpanel.operators import stats as A
 from demandpanel.operators import windows as W
-from demandpanel.plans.ctes import CALENDAR, CUT, END, FEATURES, FINE, FOLDS, PANEL, SERIES, sales, stats
+from demandpanel.plans.ctes import CALENDAR, CUT, END, FEATURES, FINE, FOLDS, PANEL, PAST, SERIES, sales, stats
 from demandpanel.plans.registry import query
 from demandpanel.sources import io as S
 from demandpanel.sources import testdata as T
@@ -106,11 +106,11 @@ def p8_trim_outliers(spark, sf):
     return P.trim_outliers(T.facts(spark, sf), 0.995, "sales_clean")
 
 
-@query("sku_id:s is_local:i is_imported:i n:i", "SELECT sku_id, CAST(sku_id IN (SELECT p_brand FROM part GROUP BY 1 HAVING count(*) FILTER (p_size % 3 = 0 OR p_size % 5 = 0) > 0) AS INT) AS is_local, CAST(sku_id IN (SELECT p_brand FROM part WHERE p_size % 5 = 0 OR p_size % 5 = 1) AS INT) AS is_imported, count(*) AS n FROM daily GROUP BY ALL", SALES)
+@query("sku_id:s is_local:i is_imported:i n:i", "SELECT sku_id, CAST(sku_id IN (SELECT p_brand FROM part GROUP BY 1 HAVING count(*) FILTER (p_size % 3 = 0 OR p_size % 5 = 0) > 0) AS INT) AS is_local, CAST(sku_id IN (SELECT p_brand FROM part WHERE p_size % 5 = 0 OR p_size % 5 = 1) AS INT) AS is_imported, count(*) AS n FROM daily GROUP BY ALL", sales(sku="p_brand"))
 def p9_sku_attributes(spark, sf):
     size = F.col("p_size")
     kinds = T.table(spark, sf, "part").select(F.col("p_brand").alias("sku_id"), F.explode(F.array(F.when(size % 5 == 0, "li").when(size % 3 == 0, " L"), F.when(size % 5 == 1, "I"))).alias("local_imported_attribute"))
-    return P.join_sku_attr(P.daily_grain(T.sales(spark, sf)), kinds).groupBy("sku_id", "is_local", "is_imported").agg(F.count("*").alias("n"))
+    return P.join_sku_attr(P.daily_grain(T.sales(spark, sf, sku="p_brand")), kinds).groupBy("sku_id", "is_local", "is_imported").agg(F.count("*").alias("n"))
 
 
 @query("l_returnflag:s flag:i n:i", "SELECT l_returnflag, CAST(l_returnflag = 'R' AS INT) AS flag, count(*) AS n FROM lineitem GROUP BY ALL")
@@ -173,9 +173,10 @@ def p18_sample_weights(spark, sf):
 
 # calendar
 
-@query("date:t date_id:i dow:i week_of_year:i month:i year:i is_weekend:b day_of_month:i day_of_year:i quarter:i week_start_date:t week_end_date:t week_of_month:i is_month_start:b is_month_end:b is_quarter_start:b is_quarter_end:b is_year_start:b is_year_end:b is_leap_year:b is_feb29:b", "SELECT * FROM dim", CALENDAR)
+@query("date:t date_id:i dow:i week_of_year:i month:i year:i is_weekend:b day_of_month:i day_of_year:i quarter:i week_start_date:t week_end_date:t week_of_month:i is_month_start:b is_month_end:b is_quarter_start:b is_quarter_end:b is_year_start:b is_year_end:b is_leap_year:b is_feb29:b", "SELECT * FROM dim", CALENDAR.replace(f"TIMESTAMP '{CFG.data_start}'", "(SELECT min(CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP)) FROM lineitem)").replace(f"CAST({END} AS TIMESTAMP)", "(SELECT max(CAST(CAST(l_shipdate AS DATE) AS TIMESTAMP)) FROM lineitem)"))
 def c1_c2_date_dim(spark, sf):
-    return dim(spark).join(T.table(spark, sf, "lineitem").agg(F.max("l_shipdate").alias("_m")), F.col("_m").isNotNull()).drop("_m")
+    first, last = T.table(spark, sf, "lineitem").agg(F.min(F.to_date("l_shipdate")), F.max(F.to_date("l_shipdate"))).first()
+    return C.date_dim(spark, first, last)
 
 
 @query("date:t dow:i week_of_year:i n:i", "SELECT CAST(l_shipdate AS DATE) AS date, isodow(l_shipdate) - 1 AS dow, weekofyear(l_shipdate) AS week_of_year, count(*) AS n FROM lineitem GROUP BY ALL")
@@ -412,7 +413,7 @@ def a19_abc(spark, sf):
     return segments(spark, sf)
 
 
-@query("sku_id:s total:i cum_share:d abc:s", "SELECT sku_id, total, c AS cum_share, CASE WHEN c <= 0.80 THEN 'A' WHEN c <= 0.95 THEN 'B' ELSE 'C' END AS abc FROM (SELECT *, sum(total) OVER (ORDER BY total DESC, sku_id ROWS UNBOUNDED PRECEDING) / (SELECT sum(sales_clean) FROM clean) AS c FROM (SELECT sku_id, sum(sales_clean) AS total FROM clean GROUP BY ALL))", sales("r_name", "p_partkey"))
+@query("sku_id:s total:i cum_share:d abc:s", "SELECT sku_id, total, c AS cum_share, CASE WHEN c <= 0.80 THEN 'A' WHEN c <= 0.95 THEN 'B' ELSE 'C' END AS abc FROM (SELECT *, sum(total) OVER (ORDER BY total DESC, sku_id ROWS UNBOUNDED PRECEDING) / (SELECT sum(sales_clean) FROM clean) AS c FROM (SELECT sku_id, sum(sales_clean) AS total FROM clean GROUP BY ALL))", sales(sku="p_partkey"))
 def a20_abc_by_sku(spark, sf):
     return A.abc(T.facts(spark, sf, sku="p_partkey"), ("sku_id",), "sales_clean")
 
@@ -462,7 +463,7 @@ def a29_cleaning_report(spark, sf):
 
 @query("horizon:i n_events:i n_revived:i revival_rate:d", f"SELECT h AS horizon, count(*) AS n_events, count(*) FILTER (nxt <= date + 182 + h) AS n_revived, avg(CAST(coalesce(nxt <= date + 182 + h, false) AS INT)) AS revival_rate FROM (SELECT store_id, sku_id, date, lead(date) OVER (PARTITION BY store_id, sku_id ORDER BY date) AS nxt FROM clean WHERE sales_clean > 0), (VALUES (30), (90), (180)) v(h) WHERE date + 182 + h <= {END} AND (nxt IS NULL OR nxt > date + 182) GROUP BY ALL", sales("s_suppkey", "p_brand"))
 def a30_revival_rates(spark, sf):
-    return A.revival_rates(T.facts(spark, sf, "s_suppkey"), CFG.data_end)
+    return A.revival_rates(T.facts(spark, sf, "s_suppkey", "p_brand"), CFG.data_end)
 
 
 # windows
@@ -519,22 +520,24 @@ def w15_w16_transforms(spark, sf):
 
 
 SPIKE = FEATURES + f""",
-m AS (SELECT *, coalesce(roll_mean_28, 0) AS m28, avg(CASE WHEN y > 0 THEN y END) OVER ({SERIES}) AS ever FROM feat),
+m AS (SELECT *, coalesce(roll_mean_28, 0) AS m28, avg(CASE WHEN y > 0 THEN y END) OVER {PAST} AS ever FROM feat),
 spk AS (SELECT *, CAST(y > 2 * m28 AND m28 > 0.1 AND y > 1 AS INT) AS is_spike FROM m),
 sday AS (SELECT store_id, date, sum(is_spike) / count(DISTINCT sku_id) AS store_spike_pct, CAST(sum(is_spike) / count(DISTINCT sku_id) > 0.15 AS INT) AS is_promo_day FROM spk GROUP BY ALL),
 slift AS (SELECT store_id, sku_id, week, least(greatest(coalesce(w / nullif(a, 0), 1.0), 0.5), 3.0) AS seasonal_lift FROM (SELECT store_id, sku_id, weekofyear(date) AS week, avg(y) AS w FROM spk GROUP BY ALL) JOIN (SELECT store_id, sku_id, avg(y) AS a FROM spk GROUP BY ALL) USING (store_id, sku_id)),
 sprob AS (SELECT store_id, sku_id, weekofyear(date) AS week, avg(is_spike) AS spike_prob FROM spk GROUP BY ALL),
-sall AS (SELECT spk.*, store_spike_pct, is_promo_day, seasonal_lift, spike_prob, CAST(seasonal_lift > 1.3 AS INT) AS is_seasonal_period,
+clift AS (SELECT store_id, sku_id, week, least(greatest(coalesce(w / nullif(a, 0), 1.0), 0.5), 3.0) AS lift FROM (SELECT store_id, sku_id, weekofyear(date) AS week, avg(y) AS w FROM spk WHERE date <= {CUT} GROUP BY ALL) JOIN (SELECT store_id, sku_id, avg(y) AS a FROM spk WHERE date <= {CUT} GROUP BY ALL) USING (store_id, sku_id)),
+cprob AS (SELECT store_id, sku_id, weekofyear(date) AS week, avg(is_spike) AS prob FROM spk WHERE date <= {CUT} GROUP BY ALL),
+sall AS (SELECT spk.*, store_spike_pct, is_promo_day, coalesce(lift, 1.0) AS seasonal_lift, coalesce(prob, 0.0) AS spike_prob, CAST(coalesce(lift, 1.0) > 1.3 AS INT) AS is_seasonal_period,
   avg(is_spike) OVER (PARTITION BY spk.store_id, spk.sku_id ORDER BY spk.date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS spike_prob_expanding,
   coalesce(max(is_spike) OVER (PARTITION BY spk.store_id, spk.sku_id ORDER BY spk.date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 0) AS had_recent_spike,
   coalesce(max(is_spike) OVER (PARTITION BY spk.store_id, spk.sku_id ORDER BY spk.date ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING), 0) AS had_recent_spike_14,
   coalesce(lag(is_spike, 7) OVER (PARTITION BY spk.store_id, spk.sku_id ORDER BY spk.date), 0) AS post_spike
-  FROM spk JOIN sday ON spk.store_id = sday.store_id AND spk.date = sday.date JOIN slift ON spk.store_id = slift.store_id AND spk.sku_id = slift.sku_id AND weekofyear(spk.date) = slift.week JOIN sprob ON spk.store_id = sprob.store_id AND spk.sku_id = sprob.sku_id AND weekofyear(spk.date) = sprob.week),
+  FROM spk JOIN sday ON spk.store_id = sday.store_id AND spk.date = sday.date LEFT JOIN clift ON spk.store_id = clift.store_id AND spk.sku_id = clift.sku_id AND weekofyear(spk.date) = clift.week LEFT JOIN cprob ON spk.store_id = cprob.store_id AND spk.sku_id = cprob.sku_id AND weekofyear(spk.date) = cprob.week),
 scls AS (SELECT *, CASE WHEN is_spike = 0 THEN 'NONE' WHEN is_promo_day = 1 THEN 'STORE_PROMO' WHEN is_seasonal_period = 1 THEN 'SEASONAL' WHEN dayofweek(date) IN (0, 6) THEN 'DOW_PATTERN' ELSE 'ISOLATED' END AS spike_class FROM sall)"""
 
 
 def spikes(spark, sf) -> DataFrame:
-    return W.assemble_spikes(W.spike_flag(T.panel(spark, sf)))
+    return W.assemble_spikes(W.spike_flag(T.panel(spark, sf)), CUTOFF)
 
 
 @query(K + "v1:i v2:i v3:i v4:i", f"SELECT store_id, sku_id, sum(is_spike) AS v1, sum(CAST(y / (m28 + 0.1) > 2 AND y > 1 AS INT)) AS v2, sum(CAST(y > 3 * ever AND y > 5 AS INT)) AS v3, sum(CAST(y > 2 * m28 AS INT)) AS v4 FROM spk GROUP BY ALL", SPIKE)
@@ -620,10 +623,10 @@ def w36_snapshot(spark, sf):
 
 @query(KD + "mean_7:d max_7:d nz_7:d")
 def w37_week_features_all(spark, sf):
-    return W.exp3_features(T.panel(spark, sf))
+    return W.exp3_features(T.panel(spark, sf), CUTOFF)
 
 
-@query(KD + "mean_7:d max_7:d nz_7:d", f"SELECT * FROM (SELECT store_id, sku_id, date, coalesce(avg(y) OVER w, avg(y) OVER ({SERIES})) AS mean_7, coalesce(CAST(max(y) OVER w AS DOUBLE), avg(y) OVER ({SERIES})) AS max_7, coalesce(avg(CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END) OVER w, 0) AS nz_7 FROM panel WINDOW w AS (PARTITION BY store_id, sku_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) WHERE date < DATE '1996-01-01'", PANEL)
+@query(KD + "mean_7:d max_7:d nz_7:d", f"SELECT * FROM (SELECT store_id, sku_id, date, coalesce(avg(y) OVER w, avg(CASE WHEN date <= {CUT} THEN y END) OVER ({SERIES})) AS mean_7, coalesce(CAST(max(y) OVER w AS DOUBLE), avg(CASE WHEN date <= {CUT} THEN y END) OVER ({SERIES})) AS max_7, coalesce(avg(CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END) OVER w, 0) AS nz_7 FROM panel WINDOW w AS (PARTITION BY store_id, sku_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) WHERE date < DATE '1996-01-01'", PANEL)
 def w37_week_features(spark, sf):
     return w37_week_features_all(spark, sf).filter(F.col("date") < F.lit(date(1996, 1, 1)))
 

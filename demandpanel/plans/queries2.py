@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 from statistics import NormalDist
 
 from pyspark.sql import DataFrame
@@ -18,7 +18,7 @@ from demandpanel.operators import models as ML
 from demandpanel.operators import panel as J
 from demandpanel.operators import stats as A
 from demandpanel.operators import windows as W
-from demandpanel.plans.ctes import CALENDAR, CUT, END, FEATURES, FINE, PANEL, SERIES
+from demandpanel.plans.ctes import CALENDAR, CUT, END, FEATURES, FINE, FOLDS, PANEL, SERIES
 from demandpanel.plans.queries import ABC_CTE, CUTOFF, KD, SALES, SPIKE, VELOCITY, K, dim, features, fine_tiers, predictions, segments, spikes
 from demandpanel.plans.registry import query
 from demandpanel.sources import testdata as T
@@ -164,15 +164,33 @@ def f34_blend_c_items(spark, sf):
     return df.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in ("yhat", "lower_bound", "upper_bound")))
 
 
-@query(KD + "pred_lag7:d", f"SELECT store_id, sku_id, date, CASE WHEN m > 0.5 * t AND n > 1 AND t <> 0 THEN CASE WHEN r = 1 THEN v * 0.7 ELSE v + (m - 0.5 * t) / (n - 1) END ELSE v END AS pred_lag7 FROM (SELECT store_id, sku_id, date, pred_lag7 AS v, sum(pred_lag7) OVER w AS t, max(pred_lag7) OVER w AS m, count(*) OVER w AS n, row_number() OVER (PARTITION BY store_id, sku_id, year(date), weekofyear(date) ORDER BY pred_lag7 DESC, date) AS r FROM pred WHERE date > {CUT} WINDOW w AS (PARTITION BY store_id, sku_id, year(date), weekofyear(date)))", FEATURES)
+SMOOTH = "SELECT store_id, sku_id, date, CASE WHEN m > 0.5 * t AND n > 1 AND t <> 0 THEN CASE WHEN r = 1 THEN v * 0.7 ELSE v + (m - 0.5 * t) / (n - 1) END ELSE v END AS pred_lag7 FROM (SELECT store_id, sku_id, date, pred_lag7 AS v, sum(pred_lag7) OVER w AS t, max(pred_lag7) OVER w AS m, count(*) OVER w AS n, row_number() OVER (PARTITION BY store_id, sku_id, {week} ORDER BY pred_lag7 DESC, date) AS r FROM pred WHERE date > " + CUT + " WINDOW w AS (PARTITION BY store_id, sku_id, {week}))"
+
+
+@query(KD + "pred_lag7:d", SMOOTH.replace("{week}", "year(date), weekofyear(date)"), FEATURES)
 def f35_smooth_weeks(spark, sf):
     return FC.smooth_weeks(predictions(spark, sf).filter(AFTER), "pred_lag7")
 
 
-@query(K + "n:i total:d peak:d")
+@query(KD + "pred_lag7:d", SMOOTH.replace("{week}", "date_trunc('week', date)"), FEATURES)
+def f35_smooth_iso_weeks(spark, sf):
+    return FC.smooth_weeks(predictions(spark, sf).filter(AFTER), "pred_lag7", iso_year=True)
+
+
+def rolled(cut: str) -> str:
+    """The rule-based rollout as a recursive table: the last 56 quantities of each series, one day more at each step."""
+    return PANEL + f""",
+days AS (SELECT store_id, sku_id, k, coalesce(CAST(y AS DOUBLE), 0.0) AS y FROM (SELECT DISTINCT store_id, sku_id FROM panel WHERE date <= {cut} AND date > {cut} - 56) CROSS JOIN range(56) r(k) LEFT JOIN (SELECT store_id, sku_id, y, date_diff('day', date, {cut}) AS k FROM panel) USING (store_id, sku_id, k)),
+state AS (SELECT store_id, sku_id, list(y ORDER BY k DESC) AS h FROM days GROUP BY ALL),
+roll AS (WITH RECURSIVE r AS (SELECT store_id, sku_id, h, -1 AS k, CAST(NULL AS DOUBLE) AS yhat FROM state
+  UNION ALL SELECT store_id, sku_id, list_append(h[2:], v), k + 1, v FROM (SELECT *, CASE WHEN len(list_filter(h[2:], lambda x: x > 0)) = 0 THEN 0.0 ELSE 0.5 * list_avg(h[50:]) + 0.5 * list_avg(h[29:]) END AS v FROM r WHERE k < {CFG.horizon - 1}))
+  SELECT store_id, sku_id, {cut} + 1 + CAST(k AS INT) AS date, yhat FROM r WHERE k >= 0)"""
+
+
+@query(K + "n:i total:d peak:d", "SELECT store_id, sku_id, count(*) AS n, sum(yhat) AS total, max(yhat) AS peak FROM roll GROUP BY ALL", rolled(CUT))
 def f29_f30_recursive_forecast(spark, sf):
     state = FC.series_state(T.panel(spark, sf), CUTOFF)
-    return FC.recursive_forecast(state, CFG.folds[0].val_start, 28).groupBy(*KEYS).agg(F.count("*").alias("n"), F.sum("yhat").alias("total"), F.max("yhat").alias("peak"))
+    return FC.recursive_forecast(state, CUTOFF + timedelta(1), CFG.horizon).groupBy(*KEYS).agg(F.count("*").alias("n"), F.sum("yhat").alias("total"), F.max("yhat").alias("peak"))
 
 
 ML_FEATURES = ["lag_7", "lag_28", "roll_mean_7", "roll_mean_28", "nz_rate_28", "days_since_last_sale_asof"]
@@ -325,65 +343,115 @@ def m20_fit_gap(spark, sf):
 GATE = "gate:s value:d status:s"
 
 
-def _rows(checks: dict[str, str], info: dict[str, str], table: str) -> str:
-    one = " UNION ALL ".join(f"SELECT '{k}' AS gate, CAST(({v}) AS DOUBLE) AS value, {s} AS status FROM {table}" for d, s in ((checks, f"CASE WHEN ({{v}}) = 0 THEN 'PASS' ELSE 'FAIL' END"), (info, "'INFO'")) for k, v in d.items() for s in (s.format(v=v),))
-    return one
+def check(gate: str, value: str, table: str) -> str:
+    return f"SELECT '{gate}' AS gate, CAST(coalesce({value}, 0) AS DOUBLE) AS value, CASE WHEN coalesce({value}, 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM {table}"
+
+
+def info(gate: str, value: str, table: str) -> str:
+    return f"SELECT '{gate}' AS gate, CAST(coalesce({value}, 0) AS DOUBLE) AS value, 'INFO' AS status FROM {table}"
+
+
+def both(*rows: str) -> str:
+    return " UNION ALL ".join(rows)
+
+
+BUCKETS = ("D0_7", "D8_28", "D29_56", "D57_182", "D183_PLUS")
 
 
-@query(GATE, _rows({f"null_{k}": f"count(*) FILTER ({k} IS NULL)" for k in ("store_id", "sku_id", "date")}, {"rows": "count(*)"}, "sales"), SALES)
+@query(GATE, both(*(check(f"null_{k}", f"count(*) FILTER ({k} IS NULL)", "sales") for k in (*KEYS, "date")), info("rows", "count(*)", "sales")), SALES)
 def q1_gate_nulls(spark, sf):
     return Q.gate_nulls(T.sales(spark, sf))
 
 
-@query(GATE, "SELECT 'duplicate_keys' AS gate, count(*) AS value, CASE WHEN count(*) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM (SELECT 1 FROM sales GROUP BY store_id, sku_id, date HAVING count(*) > 1)", SALES)
+@query(GATE, check("duplicate_keys", "count(*)", "(SELECT 1 FROM sales GROUP BY store_id, sku_id, date HAVING count(*) > 1)"), SALES)
 def q2_gate_unique(spark, sf):
     return Q.gate_unique(T.sales(spark, sf))
 
 
-@query(GATE, _rows({"negative_clean": "count(*) FILTER (sales_clean < 0)", "clean_above_raw": "0"}, {f: f"sum({f})" for f in ("was_negative", "is_covid_period", "is_covid_panic_spike", "is_extreme_spike")}, "clean").replace("SELECT 'clean_above_raw' AS gate, CAST((0) AS DOUBLE) AS value, CASE WHEN (0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM clean", "SELECT 'clean_above_raw', 0.0, 'PASS'"), SALES)
+@query(GATE, both(check("negative_clean", "count(*) FILTER (sales_clean < 0)", "clean"), check("clean_above_raw", "count(*) FILTER (sales_clean > greatest(sales_raw, 0))", "clean"), *(info(f, f"sum({f})", "clean") for f in ("was_negative", "is_covid_period", "is_covid_panic_spike", "is_extreme_spike"))), SALES)
 def q3_gate_clean(spark, sf):
     return Q.gate_clean(T.facts(spark, sf))
 
 
-@query(GATE, "SELECT 'row_count_difference' AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'pairs_with_gaps', 0.0, 'PASS' UNION ALL SELECT 'panel_rows', count(*), 'INFO' FROM panel", PANEL)
+@query(GATE, both(
+    check("row_count_difference", "n - d", f"(SELECT count(*) AS n FROM panel), (SELECT sum(date_diff('day', first_date, {END}) + 1) AS d FROM pairs)"),
+    check("pairs_with_gaps", "count(*) FILTER (n <> date_diff('day', a, z) + 1)", "(SELECT count(*) AS n, min(date) AS a, max(date) AS z FROM panel GROUP BY store_id, sku_id)"),
+    info("panel_rows", "count(*)", "panel"),
+), PANEL)
 def q4_gate_spine(spark, sf):
     return Q.gate_spine(T.panel(spark, sf), J.active_pairs(T.facts(spark, sf)), CFG.data_end)
 
 
-@query(GATE, "SELECT 'observed_value_differs' AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'filled_null_or_negative', 0.0, 'PASS' UNION ALL SELECT 'unobserved_contract', 0.0, 'PASS' UNION ALL SELECT 'observed_rows', sum(is_observed), 'INFO' FROM panel UNION ALL SELECT 'filled_rows', count(*) FILTER (is_observed = 0), 'INFO' FROM panel", PANEL)
+@query(GATE, both(
+    check("observed_value_differs", "count(*) FILTER (a IS DISTINCT FROM b)", "(SELECT p.sales_clean AS a, c.sales_clean AS b FROM (SELECT * FROM panel WHERE is_observed = 1) p FULL JOIN clean c ON p.store_id = c.store_id AND p.sku_id = c.sku_id AND p.date = c.date)"),
+    check("filled_null_or_negative", "count(*) FILTER (sales_filled IS NULL OR sales_filled < 0)", "panel"),
+    check("unobserved_contract", "count(*) FILTER (is_observed = 0 AND (sales_raw IS NOT NULL OR sales_filled <> 0 OR was_negative <> 0))", "panel"),
+    info("observed_rows", "sum(is_observed)", "panel"),
+    info("filled_rows", "count(*) FILTER (is_observed = 0)", "panel"),
+), PANEL)
 def q5_gate_panel(spark, sf):
     return Q.gate_panel(T.panel(spark, sf), T.facts(spark, sf))
 
 
-@query(GATE, "SELECT 'duplicate_days' AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'missing_days', 0.0, 'PASS' UNION ALL SELECT 'calendar_days', count(*), 'INFO' FROM dim UNION ALL SELECT 'duplicate_closures', 0.0, 'PASS' UNION ALL SELECT 'closures', count(*), 'INFO' FROM closed UNION ALL SELECT 'rows_without_calendar', 0.0, 'PASS' UNION ALL SELECT 'closed_rows', count(*), 'INFO' FROM panel JOIN closed ON date = closure_date", PANEL + ",\n" + CALENDAR)
+@query(GATE, both(
+    check("duplicate_days", "count(*) - count(DISTINCT date)", "dim"),
+    check("missing_days", "date_diff('day', min(date), max(date)) + 1 - count(*)", "dim"),
+    info("calendar_days", "count(*)", "dim"),
+    check("duplicate_closures", "count(*) - count(DISTINCT closure_date)", "closed"),
+    info("closures", "count(*)", "closed"),
+    check("rows_without_calendar", "count(*) FILTER (dow IS NULL)", "panel LEFT JOIN dim USING (date)"),
+    info("closed_rows", "count(*)", "panel JOIN closed ON date = closure_date"),
+), PANEL + ",\n" + CALENDAR)
 def q6_gate_calendar(spark, sf):
     d, c = dim(spark), C.closure_dim(spark, CFG)
     return Q.gate_calendar(d, c, C.enrich(T.panel(spark, sf), d, c))
 
 
-@query(GATE, "SELECT unnest(['t0_without_reason', 'reason_without_t0', 't0_logic', 'threshold_logic']) AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'series', count(*), 'INFO' FROM stats", FINE)
+@query(GATE, both(
+    check("t0_without_reason", "count(*) FILTER (tier_name = 'T0_EXCLUDED' AND t0_reason IS NULL)", "stats"),
+    check("reason_without_t0", "count(*) FILTER (tier_name <> 'T0_EXCLUDED' AND t0_reason IS NOT NULL)", "stats"),
+    check("t0_logic", f"count(*) FILTER ((tier_name = 'T0_EXCLUDED') <> (n_pos = 0 OR coalesce(days_since_last_sale > {CFG.dormant_days}, false)))", "stats"),
+    check("threshold_logic", f"count(*) FILTER (tier_name <> 'T0_EXCLUDED' AND tier_name <> CASE WHEN history_days >= {CFG.mature_days} THEN 'T1_MATURE' WHEN history_days >= {CFG.growing_days} THEN 'T2_GROWING' ELSE 'T3_COLD_START' END)", "stats"),
+    info("series", "count(*)", "stats"),
+), FINE)
 def q7_gate_tiers(spark, sf):
     return Q.gate_tiers(fine_tiers(spark, sf), CFG)
 
 
-@query(GATE, "SELECT 'rows_without_lag_1' AS gate, count(*) FILTER (lag_1 IS NULL) AS value, 'INFO' AS status FROM feat UNION ALL SELECT 'rows_without_lag_28', count(*) FILTER (lag_28 IS NULL), 'INFO' FROM feat UNION ALL SELECT 'pct_with_lag_7', 100.0 * count(lag_7) / count(*), 'INFO' FROM feat UNION ALL SELECT 'lag_1_violations', 0, 'PASS' UNION ALL SELECT 'lag_1_checked', count(lag_1), 'INFO' FROM feat", FEATURES)
+@query(GATE, both(
+    *(info(f"rows_without_lag_{k}", f"count(*) FILTER (lag_{k} IS NULL)", "feat") for k in (1, 28)),
+    info("pct_with_lag_7", "100.0 * count(lag_7) / count(*)", "feat"),
+    check("lag_1_violations", "count(*) FILTER (f.lag_1 IS DISTINCT FROM g.y)", "feat f JOIN panel g ON f.store_id = g.store_id AND f.sku_id = g.sku_id AND f.date = g.date + 1"),
+    info("lag_1_checked", "count(*)", "feat f JOIN panel g ON f.store_id = g.store_id AND f.sku_id = g.sku_id AND f.date = g.date + 1"),
+), FEATURES)
 def q8_gate_lags(spark, sf):
     df = W.lags(T.panel(spark, sf))
     return Q.gate_lags(df, J.audit_lag1(df))
 
 
-@query(GATE, "SELECT unnest(['sin_cos_doy', 'sin_cos_dow', 'closure_range']) AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'closure_week_rows', sum(is_closure_week), 'INFO' FROM panel JOIN near USING (date) UNION ALL SELECT b, count(dormancy_bucket), 'INFO' FROM (SELECT unnest(['D0_7', 'D8_28', 'D29_56', 'D57_182', 'D183_PLUS']) AS b) LEFT JOIN pred ON b = dormancy_bucket GROUP BY ALL", FEATURES)
+@query(GATE, both(
+    check("sin_cos_doy", "count(*) FILTER (abs(pow(sin(a), 2) + pow(cos(a), 2) - 1) > 1e-9)", "(SELECT 2 * pi() * dayofyear(date) / 365.25 AS a FROM panel)"),
+    check("sin_cos_dow", "count(*) FILTER (abs(pow(sin(a), 2) + pow(cos(a), 2) - 1) > 1e-9)", "(SELECT 2 * pi() * (dayofweek(date) + 1) / 7 AS a FROM panel)"),
+    check("closure_range", "count(*) FILTER (NOT (days_to_next_closure BETWEEN 0 AND 60) OR NOT (days_from_prev_closure BETWEEN 0 AND 60))", "panel JOIN near USING (date)"),
+    info("closure_week_rows", "sum(is_closure_week)", "panel JOIN near USING (date)"),
+    *(info(b, f"count(*) FILTER (dormancy_bucket = '{b}')", "pred") for b in BUCKETS),
+), FEATURES)
 def q9_gate_features(spark, sf):
     near = C.closure_proximity(dim(spark), C.closure_dim(spark, CFG)).select("date", "days_to_next_closure", "days_from_prev_closure", "is_closure_week")
     return Q.gate_features(C.cyclical_features(W.dormancy(W.recency(T.panel(spark, sf)))).join(F.broadcast(near), "date"))
 
 
-@query(GATE, "SELECT unnest(['lift_range', 'prob_range']) AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'spike_rows', sum(is_spike), 'INFO' FROM spk UNION ALL SELECT 'promo_store_days', sum(is_promo_day), 'INFO' FROM sday", SPIKE)
+@query(GATE, both(
+    check("lift_range", "count(*) FILTER (NOT (seasonal_lift BETWEEN 0.5 AND 3.0))", "sall"),
+    check("prob_range", "count(*) FILTER (NOT (spike_prob BETWEEN 0.0 AND 1.0))", "sall"),
+    info("spike_rows", "sum(is_spike)", "sall"),
+    info("promo_store_days", "count(DISTINCT CASE WHEN is_promo_day = 1 THEN (store_id, date) END)", "sall"),
+), SPIKE)
 def q10_gate_spikes(spark, sf):
     return Q.gate_spikes(spikes(spark, sf))
 
 
-@query("fold_id:s n:i short_embargo:i wrong_horizon:i", "SELECT fold_id, count(*) AS n, 0 AS short_embargo, 0 AS wrong_horizon FROM clean, (VALUES " + ", ".join(f"('{f.fold_id}', DATE '{f.val_start}', DATE '{f.val_end}')" for f in CFG.folds) + ") v(fold_id, a, b) WHERE date BETWEEN a AND b GROUP BY ALL", SALES)
+@query("fold_id:s n:i short_embargo:i wrong_horizon:i", "SELECT fold_id, n, short_embargo, wrong_horizon FROM (SELECT fold_id, count(*) AS n FROM clean JOIN folds ON date BETWEEN val_start AND val_end GROUP BY ALL), (SELECT count(*) FILTER (date_diff('day', train_end, val_start) < 7) AS short_embargo, count(*) FILTER (date_diff('day', val_start, val_end) + 1 <> 168) AS wrong_horizon FROM folds)", SALES + f",\nfolds AS (SELECT * FROM (VALUES {FOLDS}) AS v(fold_id, train_start, train_end, val_start, val_end, val_days, embargo_days))")
 def q11_gate_folds(spark, sf):
     folds = J.fold_dim(spark, CFG)
     bad = Q.gate_folds(folds).filter("status <> 'INFO'").groupBy().pivot("gate", ["short_embargo", "wrong_horizon"]).agg(F.sum("value"))
@@ -391,7 +459,11 @@ def q11_gate_folds(spark, sf):
     return rows.crossJoin(F.broadcast(bad))
 
 
-@query(GATE, f"SELECT 'forecast_when_closed' AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'sales_when_closed', count(*) FILTER (is_store_closed = 1 AND y > 0), 'INFO' FROM pred WHERE date > {CUT} UNION ALL SELECT 'closed_rows', count(*) FILTER (is_store_closed = 1), 'INFO' FROM pred WHERE date > {CUT}", FEATURES)
+@query(GATE, both(
+    check("forecast_when_closed", "count(*) FILTER (is_store_closed = 1 AND pred_smart > 0)", f"pred WHERE {AFTER}"),
+    info("sales_when_closed", "count(*) FILTER (is_store_closed = 1 AND y > 0)", f"pred WHERE {AFTER}"),
+    info("closed_rows", "count(*) FILTER (is_store_closed = 1)", f"pred WHERE {AFTER}"),
+), FEATURES)
 def q12_gate_closure(spark, sf):
     return Q.gate_closure(val_predictions(spark, sf), "pred_smart")
 
@@ -401,14 +473,26 @@ def q13_gate_velocity(spark, sf):
     return Q.gate_velocity(A.velocity(T.facts(spark, sf), y="sales_clean"))
 
 
-@query(GATE)
+@query(GATE, both(
+    check("row_count_difference", f"count(*) - {CFG.horizon} * (SELECT count(*) FROM state)", "roll"),
+    check("null_or_nan", "count(*) FILTER (yhat IS NULL OR isnan(yhat))", "roll"),
+    check("negative", "count(*) FILTER (yhat < 0)", "roll"),
+    check("first_day_difference", f"date_diff('day', {END} + 1, min(date))", "roll"),
+    check("last_day_difference", f"date_diff('day', {END} + 1, max(date)) - {CFG.horizon - 1}", "roll"),
+    info("series", "count(DISTINCT (store_id, sku_id))", "roll"),
+), rolled(END))
 def q14_gate_forecast(spark, sf):
     state = FC.series_state(T.panel(spark, sf), CFG.data_end)
     fc = FC.recursive_forecast(state, date(2001, 11, 5), CFG.horizon).withColumnRenamed("yhat", "predicted_sales")
     return Q.gate_forecast(fc, state.count(), CFG.horizon, date(2001, 11, 5))
 
 
-@query(GATE, "SELECT unnest(['forecast_when_closed', 'negative']) AS gate, 0.0 AS value, 'PASS' AS status UNION ALL SELECT 'series_only_in_train', 0.0, 'INFO' UNION ALL SELECT 'series_only_in_val', count(*), 'INFO' FROM pairs WHERE first_date > " + CUT, SALES)
+@query(GATE, both(
+    check("forecast_when_closed", "count(*) FILTER (is_store_closed = 1 AND pred_smart > 0)", f"pred WHERE {AFTER}"),
+    check("negative", "count(*) FILTER (pred_smart < 0)", f"pred WHERE {AFTER}"),
+    info("series_only_in_train", "count(*) FILTER (t AND NOT v)", f"(SELECT bool_or({BEFORE}) AS t, bool_or({AFTER}) AS v FROM pred GROUP BY store_id, sku_id)"),
+    info("series_only_in_val", "count(*) FILTER (v AND NOT t)", f"(SELECT bool_or({BEFORE}) AS t, bool_or({AFTER}) AS v FROM pred GROUP BY store_id, sku_id)"),
+), FEATURES)
 def q15_gate_predictions(spark, sf):
     df = predictions(spark, sf)
     return Q.gate_predictions(df.filter(BEFORE), df.filter(AFTER), "pred_smart")

@@ -14,13 +14,16 @@ from demandpanel.operators.stats import year_folds
 
 CFG = Config(data_start=date(1995, 1, 2), data_end=date(2001, 11, 4), disruption=(date(1998, 3, 15), date(1999, 6, 30)), extreme=60, closure_years=(1995, 2002), folds=year_folds(None, date(2001, 11, 4)))
 
+#: The default grain. Both suppliers and lines grow with the tables, so series and panel rows do too.
+STORE, SKU = "s_suppkey", "p_type"
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sales(spark: SparkSession, sf_dir: str, store: str = "r_name", sku: str = "p_brand") -> DataFrame:
-    """``store_id`` (region, nation or supplier), ``sku_id`` (brand or part), ``date`` and ``sales``."""
+def sales(spark: SparkSession, sf_dir: str, store: str = STORE, sku: str = SKU) -> DataFrame:
+    """``store_id`` (supplier, nation or region), ``sku_id`` (type, brand or part), ``date`` and ``sales``."""
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate")
     stores = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     rows = lines.join(stores, F.col("l_suppkey") == F.col("s_suppkey")).join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
@@ -28,10 +31,11 @@ def sales(spark: SparkSession, sf_dir: str, store: str = "r_name", sku: str = "p
     return rows.select(F.col(store).cast("string").alias("store_id"), F.col(sku).cast("string").alias("sku_id"), F.to_date("l_shipdate").alias("date"), F.when(F.col("l_returnflag") == "R", -quantity).otherwise(quantity).alias("sales"))
 
 
-def facts(spark: SparkSession, sf_dir: str, store: str = "r_name", sku: str = "p_brand") -> DataFrame:
-    return clean(daily_grain(sales(spark, sf_dir, store, sku)), CFG, exact=True)
+def facts(spark: SparkSession, sf_dir: str, store: str = STORE, sku: str = SKU, exact: bool = True) -> DataFrame:
+    """Quantiles exact, as the queries' SQL has them, unless told; the library's own default is a sketch."""
+    return clean(daily_grain(sales(spark, sf_dir, store, sku)), CFG, exact=exact)
 
 
-def panel(spark: SparkSession, sf_dir: str, store: str = "r_name", sku: str = "p_brand") -> DataFrame:
+def panel(spark: SparkSession, sf_dir: str, store: str = STORE, sku: str = SKU) -> DataFrame:
     """The dense panel, with ``y`` the filled sales."""
     return dense_panel(facts(spark, sf_dir, store, sku), CFG.data_end).withColumn("y", F.col("sales_filled"))
