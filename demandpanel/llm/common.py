@@ -146,4 +146,13 @@ def kept(name: str, make: Callable):
     return store[name]
 
 
+def kept_for(name: str, tag: str, make: Callable):
+    """Like :func:`kept`, but only what was made last under ``name`` stays: another ``tag`` takes its place."""
+    at = kept(name, dict)
+    if tag not in at:
+        at.clear()
+        at[tag] = make()
+    return at[tag]
+
+
 by_value(__name__)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -14,7 +15,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import bounded_batches, by_value, cut, held_out, kept, quoted, read, whole
+from demandpanel.llm.common import bounded_batches, by_value, cut, held_out, kept, kept_for, quoted, read, whole
 
 by_value(__name__)
 
@@ -47,6 +48,18 @@ def stems_of(words: set[str]) -> set[str]:
     return {w[:STEM] for w in words if len(w) > STEM}
 
 
+class Numbers(dict):
+    """Numbers of runs of signs, in the order in which a reader has met them."""
+
+    def __init__(self, meet):
+        self.meet = meet
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.meet(chunk)
+        return number
+
+
 class Reader:
     """Dense features of texts by one lexicon. What a run of signs between spaces adds is remembered."""
 
@@ -56,18 +69,23 @@ class Reader:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers(self.meet)
         self.kinds: list[bytes] = []
         self.counts: list[tuple[int, int, int, int]] = []
         self.table = np.zeros((0, 4), np.int64)
 
-    def look(self, chunk: str) -> tuple[bytes, tuple[int, int, int, int]]:
-        """Per word a byte (1 for a term, 2 for a stem, 4 for a pronoun); disguised words, loose signs, digits among letters, repeats."""
-        plain_word = chunk.isalpha()
-        found = [chunk] if plain_word else WORD.findall(chunk)
-        kinds = bytes((w in self.terms) | (len(w) > STEM and w[:STEM] in self.stems) << 1 | (w in self.pronouns) << 2 for w in found)
-        if plain_word and not REPEATED.search(chunk):
-            return kinds, (0, 0, 0, 0)
+    def kind(self, w: str) -> int:
+        """1 for a term, 2 for a stem, 4 for a pronoun."""
+        return (w in self.terms) | (len(w) > STEM and w[:STEM] in self.stems) << 1 | (w in self.pronouns) << 2
+
+    def meet(self, chunk: str) -> None:
+        """Files a byte for each word, and the disguised words, loose signs, digits among letters and repeats."""
+        repeats = sum(1 for _ in REPEATED.finditer(chunk)) if REPEATED.search(chunk) else 0
+        if not repeats and chunk.isalpha():
+            self.kinds.append(bytes((self.kind(chunk),)))
+            self.counts.append((0, 0, 0, 0))
+            return
+        found = WORD.findall(chunk)
         core = chunk.strip(".,;:!?\"'()[]{}…»«-*#%&$+=~")
         disguised = signs = digits = 0
         if not core or core.isalpha():
@@ -76,10 +94,10 @@ class Reader:
             digits = int(any(c.isdigit() for c in core) and any(c.isalpha() for c in core))
             plain = "".join(c for c in core.translate(LOOK_ALIKES) if c.isalpha())
             disguised = int(plain in self.terms and core not in self.terms)
-        repeats = sum(1 for _ in REPEATED.finditer(chunk))
         if repeats:
             disguised += sum(REPEATED.sub(r"\1", w) in self.terms for w in found if REPEATED.search(w))
-        return kinds, (disguised, signs, digits, repeats)
+        self.kinds.append(bytes(map(self.kind, found)))
+        self.counts.append((disguised, signs, digits, repeats))
 
     def __call__(self, text: str) -> list[float]:
         """In the order of :data:`FEATURES`; densities are shares of the words.
@@ -91,14 +109,9 @@ class Reader:
         chunks = low.split()
         if len(self.number) > REMEMBERED:
             self.forget()
-        for c in [c for c in set(chunks) if c not in self.number]:
-            kinds, counts = self.look(c)
-            self.number[c] = len(self.kinds)
-            self.kinds.append(kinds)
-            self.counts.append(counts)
+        numbers = list(map(self.number.__getitem__, chunks))
         if len(self.table) < len(self.counts):
             self.table = np.concatenate([self.table, np.array(self.counts[len(self.table) :], np.int64)])
-        numbers = list(map(self.number.__getitem__, chunks))
         kinds = np.frombuffer(b"".join(map(self.kinds.__getitem__, numbers)), np.uint8)
         disguised, signs, digits, repeats = self.table[numbers].sum(0).tolist() if numbers else (0, 0, 0, 0)
         disguised += sum("".join(c for c in m.group() if c.isalnum()).translate(LOOK_ALIKES) in self.terms for m in SPELT.finditer(low))
@@ -142,11 +155,11 @@ class Model:
 def _features(rows: DataFrame, lexicons: list[tuple[frozenset[str], frozenset[str]]]) -> DataFrame:
     """Of rows whose last two columns are the number of a lexicon and the text, the other columns and ``x``, the features."""
     shared = rows.sparkSession.sparkContext.broadcast((lexicons, frozenset(SECOND_PERSON)))
-    keep = rows.columns[:-2]
+    keep, tag = rows.columns[:-2], uuid.uuid4().hex
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, pronouns = shared.value
-        readers = [Reader(*x, pronouns) for x in sets]
+        readers = kept_for("readers", tag, lambda: [Reader(*x, pronouns) for x in sets])
         for batch in batches:
             numbers, texts = (c.to_pylist() for c in batch.columns[-2:])
             x = [readers[k](t) for k, t in zip(numbers, texts, strict=True)]
