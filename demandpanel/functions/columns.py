@@ -45,3 +45,8 @@ def rank_of(c: Column, ranks: list) -> Column:
     for i, value in reversed(list(enumerate(ranks))):
         out = F.when(c == value, i).otherwise(out)
     return out
+
+
+def key_hash(*keys) -> Column:
+    """A number of 48 bits from the MD5 of keys, which other engines compute alike."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *keys)), 1, 12), 16, 10).cast("long")

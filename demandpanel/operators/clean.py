@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from demandpanel.config import KEYS, Config
-from demandpanel.functions.columns import flag
+from demandpanel.functions.columns import flag, key_hash
 
 
 def daily_grain(df: DataFrame, keys=KEYS, date_col: str = "date", qty: str = "sales", to: str = "saleqty") -> DataFrame:
@@ -69,7 +69,7 @@ def fill_features(df: DataFrame, columns: list[str], sentinels: dict[str, float]
 
 def hash_sample(df: DataFrame, keys=KEYS, n: int = 10, k: int = 1) -> DataFrame:
     """The series whose hash falls into k of n parts: whole series, the same ones each time."""
-    return df.filter(F.pmod(F.xxhash64(*keys), F.lit(n)) < k)
+    return df.filter(F.pmod(key_hash(*keys), F.lit(n)) < k)
 
 
 def top_skus(df: DataFrame, n: int, key: str = "sku_id") -> DataFrame:
@@ -80,7 +80,7 @@ def top_skus(df: DataFrame, n: int, key: str = "sku_id") -> DataFrame:
 
 def sku_sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "sku_id") -> DataFrame:
     """Rows of a random share of the SKUs."""
-    return df.filter(F.pmod(F.xxhash64(F.lit(seed), key), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    return df.filter(F.pmod(key_hash(F.lit(str(seed)), key), F.lit(1_000_000)) < int(fraction * 1_000_000))
 
 
 def exclude_t0(df: DataFrame) -> DataFrame:
@@ -88,8 +88,7 @@ def exclude_t0(df: DataFrame) -> DataFrame:
     return df.filter(F.col("tier_name") != "T0_EXCLUDED")
 
 
-#: Feature sets by tier; a tier without an entry takes the first.
-# Columns of each tier.
+# Feature sets by tier; a tier without an entry takes the first.
 FEATURE_SETS = {
     "T1_MATURE": ["dow", "week_of_year", "month", "is_weekend", "lag_1", "lag_7", "lag_14", "lag_28", "lag_56", "roll_mean_7", "roll_mean_28", "roll_std_28", "nz_rate_7", "nz_rate_28", "days_since_last_sale_asof", "zero_run_length_asof", "last_sale_qty_asof"],
     "T2_GROWING": ["dow", "week_of_year", "month", "is_weekend", "lag_1", "lag_7", "lag_14", "lag_28", "roll_mean_7", "roll_mean_28", "nz_rate_7", "nz_rate_28", "days_since_last_sale_asof", "zero_run_length_asof"],

@@ -91,7 +91,7 @@ def smear(df: DataFrame, mode: str = "mean_exp", residual: str = "residual", bou
     return out.withColumn("smear", clip(F.col("smear"), *bounds)) if bounds else out
 
 
-#: Thresholds and factors of the fixed combination by segment.
+# Thresholds and factors of the fixed combination by segment.
 FIXED = {"A": (0.80, 1.04), "B": (0.70, 0.96), "C": (0.65, 0.80)}
 
 
@@ -251,20 +251,26 @@ def series_state(panel: DataFrame, cutoff: date, days: int = 56, keys=KEYS, y: s
     return out.select(*keys, hist.alias("hist"))
 
 
-def recursive_features(hist: Column) -> dict[str, Column]:
-    """Lags, means and recency from an array of quantities that ends yesterday."""
+def recursive_features(hist: Column, median_gap: Column | None = None) -> dict[str, Column]:
+    """Lags, means and recency from an array of quantities that ends yesterday; with the series' median gap between sales the
+    velocity too: days since a sale against it, whether that is overdue, and the pressure."""
     n = F.size(hist)
     last = lambda k: F.slice(hist, F.greatest(n - k + 1, F.lit(1)), F.lit(k))
     mean = lambda k: F.aggregate(last(k), F.lit(0.0), lambda a, x: a + x) / k
     place = F.array_position(F.transform(F.reverse(hist), lambda x: x > 0), F.lit(True))
-    return {"lag_1": F.element_at(hist, -1), "lag_7": F.element_at(hist, -7), "lag_28": F.element_at(hist, -28), "roll_mean_7": mean(7), "roll_mean_28": mean(28), "nz_rate_28": F.size(F.filter(last(28), lambda x: x > 0)) / 28.0, "days_since": F.when(place > 0, place).otherwise(n).cast("int")}
+    since = F.when(place > 0, place).otherwise(n).cast("int")
+    out = {"lag_1": F.element_at(hist, -1), "lag_7": F.element_at(hist, -7), "lag_28": F.element_at(hist, -28), "roll_mean_7": mean(7), "roll_mean_28": mean(28), "nz_rate_28": F.size(F.filter(last(28), lambda x: x > 0)) / 28.0, "days_since": since}
+    if median_gap is not None:
+        r = F.coalesce(F.try_divide(since.cast("double"), median_gap), F.lit(0.0))
+        out |= {"gap_vs_median": r, "is_overdue": F.when(r > 1.5, 1).otherwise(0), "gap_pressure": 1 - F.exp(F.lit(-0.5) * r)}
+    return out
 
 
-def recursive_forecast(state: DataFrame, start: date, horizon: int, step=None, keys=KEYS) -> DataFrame:
+def recursive_forecast(state: DataFrame, start: date, horizon: int, step=None, keys=KEYS, median_gap: str | None = None) -> DataFrame:
     """Forecasts day by day, each from the days before it, forecasts included. One fold over the days in each row; no job
     per day and no state outside the row.
 
-    ``step`` makes a forecast from :func:`recursive_features`; by default the mean of the 7 and 28 day means, 0 after 56
+    ``step`` makes a forecast from :func:`recursive_features`, which with the column ``median_gap`` have the velocity too; by default the mean of the 7 and 28 day means, 0 after 56
     days without a sale.
     """
 
@@ -272,7 +278,7 @@ def recursive_forecast(state: DataFrame, start: date, horizon: int, step=None, k
         return F.when(f["days_since"] > 55, 0.0).otherwise(0.5 * f["roll_mean_7"] + 0.5 * f["roll_mean_28"])
 
     keep = 56
-    grown = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("hist"), lambda h, _: F.concat(h, F.array(F.greatest((step or rule)(recursive_features(F.slice(h, F.size(h) - keep + 1, F.lit(keep)))), F.lit(0.0)))))
+    grown = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), F.col("hist"), lambda h, _: F.concat(h, F.array(F.greatest((step or rule)(recursive_features(F.slice(h, F.size(h) - keep + 1, F.lit(keep)), F.col(median_gap) if median_gap else None)), F.lit(0.0)))))
     days = state.select(*keys, F.posexplode(F.slice(grown, F.size("hist") + 1, F.lit(horizon))).alias("_k", "yhat"))
     return days.select(*keys, F.date_add(F.lit(start), F.col("_k")).alias("date"), "yhat")
 

@@ -7,12 +7,10 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandpanel.config import KEYS
@@ -21,9 +19,24 @@ from demandpanel.operators.metrics import aggregates, metrics
 
 
 def _ready(df: DataFrame, features: list[str], y: str = "y") -> DataFrame:
+    """Features as doubles, and the labels; rows that are to be forecast may lack ``y``."""
+    if y not in df.columns:
+        return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features})
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features} | {"_sold": F.when(F.col(y) > 0, 1.0).otherwise(0.0), "_log": F.log1p(F.greatest(F.col(y), F.lit(0)).cast("double")), "_y": F.col(y).cast("double")})
 
 
+def trees_column(model, x: list[Column]) -> Column:
+    """Weighted sum of a boosted model's trees as nested conditions on the features, all of them continuous."""
+
+    def node(n) -> Column:
+        if n.subtreeDepth() == 0:
+            return F.lit(float(n.prediction()))
+        return F.when(x[n.split().featureIndex()] <= float(n.split().threshold()), node(n.leftChild())).otherwise(node(n.rightChild()))
+
+    roots = [t._call_java("rootNode") for t in model.trees]
+    return reduce(lambda a, b: a + b, [F.lit(float(w)) * node(r) for w, r in zip(model.treeWeights, roots, strict=True)])
+
+
 class TwoStage:
     """P(sale) by a classifier, quantity by a regressor of log quantities of sales days, and the smearing factor."""
 
@@ -38,6 +51,18 @@ class TwoStage:
         rows = self.regress.transform(rows).withColumn("qty", F.greatest(F.expm1("prediction"), F.lit(0.0)))
         return rows.select(*own, "p", "qty")
 
+    def step(self, features: dict[str, Column]) -> Column:
+        """The expected value as a column of the features, for boosted trees: what :meth:`transform` computes, without a job."""
+        x = F.struct(*(F.coalesce(features[c].cast("double"), F.lit(0.0)).alias(c) for c in self.features))
+        classify, regress = self.classify.stages[-1], self.regress.stages[-1]
+
+        def value(row: Column) -> Column:
+            p = 1 / (1 + F.exp(-2 * trees_column(classify, [row[c] for c in self.features])))
+            return p * F.greatest(F.expm1(trees_column(regress, [row[c] for c in self.features])), F.lit(0.0)) * self.factor
+
+        # the features are computed once, however many splits read them
+        return F.get(F.transform(F.array(x), value), F.lit(0))
+
     def save(self, path: str) -> None:
         self.classify.write().overwrite().save(f"{path}/classify")
         self.regress.write().overwrite().save(f"{path}/regress")
@@ -99,6 +124,19 @@ def fit_tier_model(df: DataFrame, features: list[str], y: str = "y", trees: int
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="x"), model]).fit(rows)
 
 
+def fit_tiers(df: DataFrame, sets: dict[str, list[str]], y: str = "y", by: str = "tier_name", **how) -> dict[str, tuple[PipelineModel, list[str]]]:
+    """A model of its own for each tier that has training and validation rows, on the tier's feature set. T0 has none."""
+    there = df.groupBy(by).agg(F.count_if(F.col("split_role") == "TRAIN").alias("t"), F.count_if(F.col("split_role") == "VAL").alias("v")).collect()
+    tiers = sorted(r[by] for r in there if r[by] in sets and r["t"] and r["v"])
+    return {t: (fit_tier_model(df.filter(F.col(by) == t), sets[t], y, **how), sets[t]) for t in tiers}
+
+
+def predict_tiers(models: dict[str, tuple[PipelineModel, list[str]]], df: DataFrame, y: str = "y", by: str = "tier_name") -> DataFrame:
+    """``yhat`` of every row by its tier's model; rows of a tier without one, T0 among them, get 0."""
+    rest = df.filter(~F.coalesce(F.col(by).isin(list(models)), F.lit(False))).withColumn("yhat", F.lit(0.0))
+    return reduce(DataFrame.unionByName, [predict_direct(m, df.filter(F.col(by) == t), features, False, y) for t, (m, features) in models.items()], rest)
+
+
 def fit_tweedie(train: DataFrame, features: list[str], power: float = 1.3, y: str = "y") -> PipelineModel:
     """A generalized linear model with Tweedie variance and log link: linear, not boosted."""
     model = GeneralizedLinearRegression(featuresCol="x", labelCol="_y", family="tweedie", variancePower=power, linkPower=0.0, maxIter=25, regParam=0.1)
@@ -106,7 +144,7 @@ def fit_tweedie(train: DataFrame, features: list[str], power: float = 1.3, y: st
 
 
 def importance(models: dict[str, TwoStage]) -> list[tuple[str, str, float]]:
-    """(segment, feature, per cent) of the classifiers' importances."""
+    """(segment, feature, per cent) of the classifiers' importances; see :func:`mean_importance` for all segments."""
     out = []
     for segment, m in sorted(models.items()):
         values = m.classify.stages[-1].featureImportances.toArray()
@@ -114,6 +152,14 @@ def importance(models: dict[str, TwoStage]) -> list[tuple[str, str, float]]:
     return out
 
 
+def mean_importance(models: dict[str, TwoStage]) -> list[tuple[str, str, float]]:
+    """The mean over the segments, as rows of the segment ``mean``."""
+    each: dict[str, list[float]] = {}
+    for _, f, v in importance(models):
+        each.setdefault(f, []).append(v)
+    return [("mean", f, sum(v) / len(v)) for f, v in each.items()]
+
+
 def select_features(models: dict[str, TwoStage], n: int) -> list[str]:
     """The n features of most mean importance."""
     mean: dict[str, float] = {}
@@ -122,12 +168,24 @@ def select_features(models: dict[str, TwoStage], n: int) -> list[str]:
     return sorted(mean, key=lambda f: (-mean[f], f))[:n]
 
 
-def tune_params(train: DataFrame, features: list[str], depths=(3, 5), steps=(0.05, 0.1), ratio: float = 0.8, y: str = "y"):
-    """Best boosted regressor of a small grid, by absolute error on a held-out share."""
-    model = GBTRegressor(featuresCol="x", labelCol="_log", maxIter=10, seed=7)
-    grid = ParamGridBuilder().addGrid(model.maxDepth, list(depths)).addGrid(model.stepSize, list(steps)).build()
-    search = TrainValidationSplit(estimator=model, estimatorParamMaps=grid, evaluator=RegressionEvaluator(labelCol="_log", metricName="mae"), trainRatio=ratio, seed=7)
-    return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="x"), search]).fit(_ready(train, features, y)).stages[-1]
+def tune_params(train: DataFrame, features: list[str], depths=(3, 5), steps=(0.05, 0.1), days: int = 28, y: str = "y", trees: int = 10) -> tuple[PipelineModel, DataFrame]:
+    """Best boosted regressor of a small grid, and a row of each candidate (``depth``, ``step``, ``mae``).
+
+    Each candidate is fitted on the days before the last ``days`` and judged on these, so that no later day tells about an
+    earlier one; the best is fitted on all days. Of equal ones the first of the grid wins.
+    """
+    last = train.agg(F.max("date")).first()[0]
+    late = F.col("date") > F.date_sub(F.lit(last), days)
+    rows = _ready(train, features, y)
+    stage = VectorAssembler(inputCols=features, outputCol="x")
+    model = lambda depth, step: Pipeline(stages=[stage, GBTRegressor(featuresCol="x", labelCol="_log", maxIter=trees, maxDepth=depth, stepSize=step, seed=7)])
+    tried = []
+    for depth in depths:
+        for step in steps:
+            out = model(depth, step).fit(rows.filter(~late)).transform(rows.filter(late))
+            tried.append((depth, step, float(out.agg(F.avg(F.abs(F.col("prediction") - F.col("_log")))).first()[0] or 0.0)))
+    best = min(tried, key=lambda r: r[2])
+    return model(best[0], best[1]).fit(rows), train.sparkSession.createDataFrame(tried, "depth int, step double, mae double")
 
 
 def ablate(train: DataFrame, val: DataFrame, sets: dict[str, list[str]], **how) -> DataFrame:
@@ -146,19 +204,23 @@ def score_roles(df: DataFrame, yhat: str = "yhat", y: str = "y") -> DataFrame:
 
 
 def recursive_ml(model: TwoStage, state: DataFrame, start: date, horizon: int, cut, every: int = 14, keys=KEYS) -> DataFrame:
-    """Day-by-day forecasts by a model whose features come from :func:`recursive_features`; ``cut`` writes the state as a
-    table every few days, so that plans stay short and lost executors cost little."""
+    """Day-by-day forecasts by a model whose features come from :func:`recursive_features`, and from the velocity statistics that
+    ``state`` holds besides its history. For models that are no column expression; boosted trees take one fold in
+    :func:`~demandpanel.operators.forecast.recursive_forecast` by their :meth:`TwoStage.step`. ``cut`` writes the state as a table every few days, so that plans stay short and
+    lost executors cost little."""
     from demandpanel.operators.forecast import recursive_features
 
     done, now = [], state
+    extra = [c for c in state.columns if c not in (*keys, "hist")]
     for k in range(horizon):
-        rows = now.withColumns({c: v.cast("double") for c, v in recursive_features(F.col("hist")).items()})
+        median = F.col("median_gap") if "median_gap" in extra else None
+        rows = now.withColumns({c: v.cast("double") for c, v in recursive_features(F.col("hist"), median).items()})
         rows = model.transform(rows).withColumn("yhat", F.col("p") * F.col("qty") * model.factor)
-        now = rows.select(*keys, F.concat(F.slice("hist", 2, 55), F.array("yhat")).alias("hist"), *(c for c in now.columns if c.startswith("d_")), F.col("yhat").alias(f"d_{k}"))
+        now = rows.select(*keys, F.concat(F.slice("hist", 2, 55), F.array("yhat")).alias("hist"), *extra, *(c for c in now.columns if c.startswith("d_")), F.col("yhat").alias(f"d_{k}"))
         if (k + 1) % every == 0 or k == horizon - 1:
             now = cut(now)
             names = [c for c in now.columns if c.startswith("d_")]
             days = F.explode(F.arrays_zip(F.array(*(F.lit(int(c[2:])) for c in names)).alias("k"), F.array(*names).alias("v"))).alias("x")
             done.append(now.select(*keys, days).select(*keys, F.date_add(F.lit(start), F.col("x.k")).alias("date"), F.col("x.v").alias("yhat")))
-            now = now.select(*keys, "hist")
+            now = now.select(*keys, "hist", *extra)
     return reduce(DataFrame.unionByName, done)

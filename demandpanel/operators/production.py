@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from demandpanel.config import KEYS
 from demandpanel.operators import forecast as FC
-from demandpanel.operators.models import TwoStage, predict_segments
+from demandpanel.operators.models import TwoStage, predict_segments, predict_tiers
 from demandpanel.operators.panel import attach_segment, future_panel
 from demandpanel.operators.windows import snapshot_features
 
@@ -31,6 +31,16 @@ def forecast_horizon(models: dict[str, TwoStage], rows: DataFrame, by: str = "ab
     return FC.apply_rules(predict_segments(models, rows, by))
 
 
+def tier_horizon(models, panel: DataFrame, tiers: DataFrame, closed: DataFrame, start: date, horizon: int) -> DataFrame:
+    """The production forecast by tier: each series' last-known features over the horizon, forecast by its tier's model and put
+    together; T0 series and closed days at 0."""
+    known = snapshot_features(panel, start - timedelta(1)).join(tiers.select(*KEYS, "tier_name"), list(KEYS))
+    days = future_panel(known, start, horizon).join(known, list(KEYS))
+    shut = closed.select(F.col("closure_date").alias("date"), "is_store_closed")
+    rows = days.join(F.broadcast(shut), "date", "left").fillna(0, ["is_store_closed"])
+    return FC.apply_rules(predict_tiers(models, rows))
+
+
 def generate_forecast(models: dict[str, TwoStage], panel: DataFrame, segments: DataFrame, closed: DataFrame, start: date, horizon: int, weight: float = 0.7) -> DataFrame:
     """The delivered forecast: two-stage models by segment, intervals, Croston for C items, weekly smoothing, closures at 0."""
     rows = forecast_horizon(models, horizon_rows(panel, segments, closed, start, horizon))

@@ -32,9 +32,9 @@ def dim(spark) -> DataFrame:
     return C.date_dim(spark, CFG.data_start, CFG.data_end)
 
 
-def features(spark, sf) -> DataFrame:
+def features(spark, sf, *grain: str) -> DataFrame:
     closed = C.closure_dim(spark, CFG).select(F.col("closure_date").alias("date"), "is_store_closed")
-    df = T.panel(spark, sf).join(F.broadcast(closed), "date", "left").fillna(0, ["is_store_closed"])
+    df = T.panel(spark, sf, *grain).join(F.broadcast(closed), "date", "left").fillna(0, ["is_store_closed"])
     df = W.rolling(W.rolling(W.lags(df), (7, 28), ("mean", "sum")), (28,), ("std", "min", "max"))
     return W.dormancy(W.recency(W.roll_mean_pos(W.nz_rate(df))))
 
@@ -73,6 +73,22 @@ def s11_forecast_extracts(spark, sf):
     return S.forecast_extracts(rows, "pred_smart")["weekly_store"]
 
 
+EXTRACTS = {"weekly_store": "store_id, date_trunc('week', date)", "weekly_total": "date_trunc('week', date)", "daily_store": "store_id, date", "weekly_sku": "sku_id, date_trunc('week', date)", "a_items_daily": "date", "a_items": "store_id, sku_id", "sample": "store_id, sku_id, date"}
+EXTRACTED = {"a_items_daily": "abc = 'A'", "a_items": "abc = 'A'", "sample": "CAST('0x' || substr(md5(store_id || '|' || sku_id), 1, 12) AS BIGINT) % 1000 = 0"}
+
+
+@query("extract:s n:i total:d", " UNION ALL ".join(f"SELECT '{name}' AS extract, count(*) AS n, {'NULL' if name == 'a_items' else 'sum(v)'} AS total FROM (SELECT sum(pred_smart) AS v FROM future WHERE {EXTRACTED.get(name, 'true')} GROUP BY {by})" for name, by in EXTRACTS.items()), FEATURES + f",\nfuture AS (SELECT *, CASE WHEN sku_id < 'M' THEN 'A' ELSE 'B' END AS abc FROM pred WHERE date > {CUT})")
+def s11_all_extracts(spark, sf):
+    """Rows and totals of all seven delivered extracts."""
+    rows = predictions(spark, sf).filter(F.col("date") > F.lit(CUTOFF)).withColumn("abc", F.when(F.col("sku_id") < "M", "A").otherwise("B"))
+    parts = S.forecast_extracts(rows.withColumn("predicted_sales", F.col("pred_smart")), "pred_smart")
+    out = None
+    for name, df in parts.items():
+        one = df.agg(F.lit(name).alias("extract"), F.count("*").alias("n"), (F.sum("predicted_sales") if name != "a_items" else F.lit(None).cast("double")).alias("total"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("store_id:s sku_id:s n:i", "SELECT store_id, sku_id, count(*) AS n FROM sales GROUP BY ALL", SALES)
 def s13_normalise_schema(spark, sf):
     raw = T.sales(spark, sf).toDF(" Store_ID", "ITEM_ID ", "Date", "SALES")
@@ -129,7 +145,7 @@ def p11_fill_features(spark, sf):
     return p11_fill_features_all(spark, sf).filter(F.col("date") > F.lit(CUTOFF))
 
 
-@query("in_sample:b n_series:i")
+@query("in_sample:b n_series:i", "SELECT true AS in_sample, count(*) AS n_series FROM pairs WHERE CAST('0x' || substr(md5(store_id || '|' || sku_id), 1, 12) AS BIGINT) % 10 < 1 GROUP BY ALL", sales("s_suppkey", "p_partkey"))
 def p12_hash_sample(spark, sf):
     pairs = J.active_pairs(T.facts(spark, sf, "s_suppkey", "p_partkey"))
     sample = P.hash_sample(pairs, n=10, k=1).withColumn("in_sample", F.lit(True))
@@ -141,7 +157,7 @@ def p13_top_skus(spark, sf):
     return P.top_skus(T.sales(spark, sf), 5).groupBy("sku_id").agg(F.count("*").alias("n"))
 
 
-@query("n:i")
+@query("n:i", "SELECT count(DISTINCT sku_id) AS n FROM sales WHERE CAST('0x' || substr(md5('42|' || sku_id), 1, 12) AS BIGINT) % 1000000 < 100000", sales(sku="p_partkey"))
 def p14_sku_sample(spark, sf):
     return P.sku_sample(T.sales(spark, sf, sku="p_partkey"), 0.1).agg(F.count_distinct("sku_id").alias("n"))
 
@@ -403,7 +419,7 @@ def a17_week_folds(spark, sf):
     return J.label_folds(T.facts(spark, sf), J.fold_dim(spark, cfg)).groupBy("fold_id", "split_role").agg(F.count("*").alias("n"))
 
 
-@query("split_role:s n:i")
+@query("split_role:s n:i", "SELECT CASE WHEN date <= (SELECT quantile_disc(date, 0.8) FROM clean) THEN 'TRAIN' ELSE 'VAL' END AS split_role, count(*) AS n FROM clean GROUP BY ALL", SALES)
 def a18_ordered_split(spark, sf):
     return A.ordered_split(T.facts(spark, sf)).groupBy("split_role").agg(F.count("*").alias("n"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from datetime import date, timedelta
 from statistics import NormalDist
 
@@ -18,7 +20,7 @@ from demandpanel.operators import models as ML
 from demandpanel.operators import panel as J
 from demandpanel.operators import stats as A
 from demandpanel.operators import windows as W
-from demandpanel.plans.ctes import CALENDAR, CUT, END, FEATURES, FINE, FOLDS, PANEL, SERIES
+from demandpanel.plans.ctes import CALENDAR, CUT, END, FEATURES, FINE, FOLDS, PANEL, SERIES, stats
 from demandpanel.plans.queries import ABC_CTE, CUTOFF, KD, SALES, SPIKE, VELOCITY, K, dim, features, fine_tiers, predictions, segments, spikes
 from demandpanel.plans.registry import query
 from demandpanel.sources import testdata as T
@@ -193,14 +195,40 @@ def f29_f30_recursive_forecast(spark, sf):
     return FC.recursive_forecast(state, CUTOFF + timedelta(1), CFG.horizon).groupBy(*KEYS).agg(F.count("*").alias("n"), F.sum("yhat").alias("total"), F.max("yhat").alias("peak"))
 
 
-ML_FEATURES = ["lag_7", "lag_28", "roll_mean_7", "roll_mean_28", "nz_rate_28", "days_since_last_sale_asof"]
-
-
-def ml_rows(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """A year of training days and the validation days."""
-    df = J.attach_segment(features(spark, sf), segments(spark, sf)).select(*KEYS, "date", "y", "abc", "is_store_closed", *ML_FEATURES)
-    train = df.filter((F.col("date") <= F.lit(CUTOFF)) & (F.col("date") > F.date_sub(F.lit(CUTOFF), 364)))
-    return train.persist(), df.filter(AFTER)
+LAGS = ["lag_7", "lag_28", "roll_mean_7", "roll_mean_28", "nz_rate_28"]
+ML_FEATURES = [*LAGS, "days_since_last_sale_asof"]
+SPIKES = ["had_recent_spike", "spike_prob_expanding", "seasonal_lift", "spike_prob"]
+GAPS = ["gap_vs_median", "is_overdue", "gap_pressure"]
+#: Days before the cutoff that models are fitted on: a bound on the rows of a fit.
+FIT_DAYS = 364
+
+
+def written(spark, df: DataFrame) -> DataFrame:
+    """A table in the shared folder, deleted with the session: fits read it several times, and a lost executor costs no rerun."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="demandpanel-")
+    path = f"{folder.rstrip('/')}/rows-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def ml_rows(spark, sf, more: bool = False, fit_days: int = FIT_DAYS) -> tuple[DataFrame, DataFrame]:
+    """The last ``fit_days`` training days and the validation days, with ``more`` spike and velocity features too, all of them
+    learned from training days."""
+    df = features(spark, sf)
+    names = ML_FEATURES
+    if more:
+        df = W.assemble_spikes(W.spike_flag(df), CUTOFF)
+        known = T.facts(spark, sf).filter(F.col("date") <= F.lit(CUTOFF))
+        df, names = W.gap_features(df, A.velocity(known, y="sales_clean")), [*ML_FEATURES, *SPIKES, *GAPS]
+    df = J.attach_segment(df, segments(spark, sf)).select(*KEYS, "date", "y", "abc", "is_store_closed", *names)
+    df = written(spark, df.filter(F.col("date") > F.date_sub(F.lit(CUTOFF), fit_days)))
+    return df.filter(F.col("date") <= F.lit(CUTOFF)), df.filter(AFTER)
 
 
 @query("abc:s n:i total:d")
@@ -232,8 +260,10 @@ def f25_forest_two_stage(spark, sf):
 
 @query("feature_set:s n:i wmape:d bias_pct:d")
 def f40_f41_ablation(spark, sf):
-    train, val = ml_rows(spark, sf)
-    return ML.ablate(train, val, {"lags": ML_FEATURES[:2], "all": ML_FEATURES}, trees=3, depth=3)
+    """The same rows with and without spike features, velocity features, both, and these alone."""
+    train, val = ml_rows(spark, sf, more=True)
+    sets = {"baseline": ML_FEATURES, "spike": [*ML_FEATURES, *SPIKES], "velocity": [*ML_FEATURES, *GAPS], "both": [*ML_FEATURES, *SPIKES, *GAPS], "alone": [*SPIKES, *GAPS]}
+    return ML.ablate(train, val, sets, trees=3, depth=3)
 
 
 # metrics
@@ -263,6 +293,15 @@ def m2_metrics_by_dormancy(spark, sf):
     return M.metrics(val_predictions(spark, sf), MODELS, ("dormancy_bucket",))
 
 
+TIERED = LONG + ",\n" + stats("panel", CUT, "known")
+
+
+@query("model:s tier_name:s n:i wmape:d bias_pct:d", "SELECT model, tier_name, count(*) AS n, CASE WHEN sum(y) <> 0 THEN 100.0 * sum(e) / sum(y) END AS wmape, 100.0 * (sum(p) - sum(y)) / nullif(sum(y), 0) AS bias_pct FROM longp JOIN known USING (store_id, sku_id) GROUP BY ALL", TIERED)
+def m2_metrics_by_tier(spark, sf):
+    tiers = A.tiers_asof(T.facts(spark, sf), CUTOFF, CFG)
+    return M.metrics(J.with_tiers(val_predictions(spark, sf), tiers), MODELS, ("tier_name",), ["n", "wmape", "bias_pct"])
+
+
 @query("model:s n:i zero_acc:d bias_nonzero:d", "SELECT model, count(*) AS n, avg(CASE WHEN y = 0 THEN CAST(p < 0.5 AS INT) END) AS zero_acc, avg(CASE WHEN y > 0 THEN p - y END) AS bias_nonzero FROM longp GROUP BY ALL", LONG)
 def m4_zero_rows_only(spark, sf):
     return M.metrics(val_predictions(spark, sf), MODELS, which=["n", "zero_acc", "bias_nonzero"], zero_mode="zero")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from demandpanel.config import KEYS
+from demandpanel.functions.columns import key_hash
 
 SALES = T.StructType([T.StructField("store_id", T.StringType()), T.StructField("item_id", T.StringType()), T.StructField("date", T.DateType()), T.StructField("sales", T.LongType())])
 SKU_ATTR = T.StructType([T.StructField("sku_id", T.LongType()), T.StructField("local_imported_attribute", T.StringType())])
@@ -72,7 +73,7 @@ def forecast_extracts(df: DataFrame, yhat: str = "yhat") -> dict[str, DataFrame]
         "weekly_sku": df.groupBy("sku_id", week).agg(total),
         "a_items_daily": a_items.groupBy("date").agg(total),
         "a_items": a_items.select(*KEYS).distinct(),
-        "sample": df.filter(F.pmod(F.xxhash64(*KEYS), F.lit(1000)) == 0),
+        "sample": df.filter(F.pmod(key_hash(*KEYS), F.lit(1000)) == 0),
     }
 
 

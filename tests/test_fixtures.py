@@ -198,3 +198,76 @@ def test_empty_facts(spark):
     assert J.dense_panel(facts, END).count() == 0
     assert A.assign_tier(A.series_stats(facts, END, CFG)).count() == 0
     assert A.abc(facts, KEYS, "sales_clean").count() == 0
+
+
+def learned(spark):
+    from demandpanel.operators import models as ML
+
+    rng = random.Random(3)
+    rows = [("s", f"k{i % 5}", date(2024, 1, 1) + timedelta(i // 5), rng.choice([0, 0, 1, 3, 8]), float(rng.randrange(9)), float(rng.randrange(9)), rng.random()) for i in range(400)]
+    df = spark.createDataFrame(rows, "store_id string, sku_id string, date date, y long, roll_mean_7 double, lag_7 double, gap_vs_median double")
+    return ML, df
+
+
+def test_model_as_a_column(spark):
+    """The two-stage model's column gives what its transform gives, and one fold what a job per day gives."""
+    ML, df = learned(spark)
+    model = ML.fit_two_stage(df, ["roll_mean_7", "lag_7", "gap_vs_median"], trees=4, depth=3)
+    out = model.transform(df).withColumn("a", F.col("p") * F.col("qty") * model.factor).withColumn("b", model.step({c: F.col(c) for c in model.features}))
+    assert out.filter(F.abs(F.col("a") - F.col("b")) > 1e-9).count() == 0 and out.select("a").distinct().count() > 5
+    panel = df.select("store_id", "sku_id", "date", "y")
+    state = FC.series_state(panel, date(2024, 3, 20)).withColumn("median_gap", F.when(F.col("sku_id") != "k0", F.lit(2.0)))
+    one = FC.recursive_forecast(state, date(2024, 3, 21), 9, model.step, median_gap="median_gap")
+    two = ML.recursive_ml(model, state, date(2024, 3, 21), 9, lambda x: x.persist(), every=4)
+    both = one.join(two.withColumnRenamed("yhat", "other"), [*KEYS, "date"])
+    assert both.count() == one.count() == 45 and both.filter(F.abs(F.col("yhat") - F.col("other")) > 1e-9).count() == 0
+
+
+def test_search_does_not_see_later_days(spark):
+    """The last days alone judge the candidates: with these changed beyond recognition, the fits before them stay."""
+    ML, df = learned(spark)
+    features = ["roll_mean_7", "lag_7"]
+    best, tried = ML.tune_params(df, features, depths=(1, 3), steps=(0.1, 0.5), days=20, trees=2)
+    rows = tried.collect()
+    assert len(rows) == 4 and ML.predict_direct(best, df, features).filter("yhat < 0").count() == 0
+    cut = df.agg(F.date_sub(F.max("date"), 20)).first()[0]
+    early = ML.fit_direct(df.filter(F.col("date") <= F.lit(cut)), features, trees=2, depth=3)
+    late = ML._ready(df.filter(F.col("date") > F.lit(cut)), features)
+    want = early.transform(late).agg(F.avg(F.abs(F.col("prediction") - F.col("_log")))).first()[0]
+    assert next(r["mae"] for r in rows if (r["depth"], r["step"]) == (3, 0.1)) == pytest.approx(want)
+
+
+def test_models_by_tier(spark):
+    ML, df = learned(spark)
+    tier = F.when(F.col("sku_id") == "k0", "T0_EXCLUDED").when(F.col("sku_id") == "k1", "T3_COLD_START").otherwise("T1_MATURE")
+    rows = df.withColumn("tier_name", tier).withColumn("split_role", F.when(F.col("date") > "2024-03-01", "VAL").otherwise("TRAIN"))
+    models = ML.fit_tiers(rows, {"T1_MATURE": ["roll_mean_7", "lag_7"], "T2_GROWING": ["lag_7"], "T3_COLD_START": ["lag_7"]}, trees=3, depth=2)
+    assert {t: f for t, (_, f) in models.items()} == {"T1_MATURE": ["roll_mean_7", "lag_7"], "T3_COLD_START": ["lag_7"]}
+    out = ML.predict_tiers(models, rows.drop("y"))
+    assert out.count() == rows.count() and out.filter("tier_name = 'T0_EXCLUDED' AND yhat <> 0").count() == 0 and out.filter("tier_name = 'T1_MATURE' AND yhat > 0").count() > 0
+
+
+def test_spikes_do_not_see_the_future(spark):
+    rows = [("s", "k", date(2024, 1, 1) + timedelta(i), y) for i, y in enumerate([2, 2, 8, 2, 100])]
+    df = spark.createDataFrame(rows, "store_id string, sku_id string, date date, y long")
+    assert [r[0] for r in W.spike_flag(df, "hist").orderBy("date").select("is_spike").collect()] == [0, 0, 1, 0, 1]
+    first = lambda rows: W.exp3_features(rows, date(2024, 1, 3)).orderBy("date").first()["mean_7"]
+    assert first(df) == first(df.filter("y < 100")) == 4.0
+
+
+def test_weeks_by_iso_year(spark):
+    """31 December 2001 is a Monday: with the ISO year it has nothing to do with January 2001."""
+    rows = [("s", "k", d, y) for d, y in ((date(2001, 1, 2), 1.0), (date(2001, 1, 3), 1.0), (date(2001, 12, 31), 9.0))]
+    df = spark.createDataFrame(rows, "store_id string, sku_id string, date date, yhat double")
+    last = lambda **how: FC.smooth_weeks(df, **how).filter("date = '2001-12-31'").first()["yhat"]
+    assert (last(), last(iso_year=True)) == (pytest.approx(6.3), 9.0)
+
+
+def test_sketch_is_near_the_quantile(spark):
+    """The library's default against the exact way that the queries take."""
+    from demandpanel.operators.clean import positive_quantile
+
+    df = spark.range(200_000).select((F.pmod(F.xxhash64("id"), F.lit(50_000)) - 5000).alias("saleqty"))
+    for p in (0.5, 0.9, 0.999):
+        a, b = (positive_quantile(df, p, exact=exact).first()["q"] for exact in (True, False))
+        assert abs(a - b) <= 0.001 * 45_000

@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
+from demandpanel.operators.clean import join_sku_attr
 from demandpanel.sources import io as S
 from demandpanel.streaming.daily import daily_grain_stream
 
@@ -22,9 +23,19 @@ def test_csv_round_trip(spark, tmp_path):
     S.write_split(df, str(tmp_path / "split"))
     S.export_by_tier(df, str(tmp_path / "tier"))
     S.write_report(df, str(tmp_path / "report"))
+    assert [tuple(r) for r in spark.read.csv(f"{tmp_path}/tier/tier_name=T1", header=True).select("store_id", "sku_id", "date", "yhat").collect()] == [("s", "k", "2024-01-01", "1.239")]
     assert spark.read.parquet(f"{tmp_path}/split/split_role=VAL").count() == spark.read.json(str(tmp_path / "report")).count() == 1
 
 
+def test_sku_attributes(spark, tmp_path):
+    (tmp_path / "attr.csv").write_text('sku_id,local_imported_attribute\n11," li"\n12,I\n13,\n')
+    attr = S.read_sku_attr(spark, str(tmp_path / "attr.csv"))
+    assert [tuple(r) for r in attr.orderBy("sku_id").collect()] == [(11, " li"), (12, "I"), (13, None)]
+    facts = spark.createDataFrame([("11",), ("12",), ("13",), ("14",)], "sku_id string")
+    got = {tuple(r) for r in join_sku_attr(facts, attr).select("sku_id", "is_local", "is_imported").collect()}
+    assert got == {("11", 1, 1), ("12", 0, 1), ("13", 0, 0), ("14", 0, 0)}
+
+
 def test_missing_columns(spark):
     with pytest.raises(ValueError, match="sales"):
         S.normalise_schema(spark.createDataFrame([("a",)], " Store_ID string"), ("store_id", "sales"))
