@@ -71,6 +71,7 @@ class Reader:
     def forget(self) -> None:
         self.number = Numbers(self.meet)
         self.kinds: list[bytes] = []
+        # counts of runs that are new wait for their place in the table, which doubles when it is full
         self.counts: list[tuple[int, int, int, int]] = []
         self.table = np.zeros((0, 4), np.int64)
 
@@ -110,8 +111,12 @@ class Reader:
         if len(self.number) > REMEMBERED:
             self.forget()
         numbers = list(map(self.number.__getitem__, chunks))
-        if len(self.table) < len(self.counts):
-            self.table = np.concatenate([self.table, np.array(self.counts[len(self.table) :], np.int64)])
+        if self.counts:
+            size = len(self.kinds)
+            if size > len(self.table):
+                self.table = np.concatenate([self.table[: size - len(self.counts)], np.zeros((size, 4), np.int64)])
+            self.table[size - len(self.counts) : size] = self.counts
+            self.counts = []
         kinds = np.frombuffer(b"".join(map(self.kinds.__getitem__, numbers)), np.uint8)
         disguised, signs, digits, repeats = self.table[numbers].sum(0).tolist() if numbers else (0, 0, 0, 0)
         disguised += sum("".join(c for c in m.group() if c.isalnum()).translate(LOOK_ALIKES) in self.terms for m in SPELT.finditer(low))
