@@ -270,3 +270,30 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def op6_decontamination(spark, sf_dir: str) -> DataFrame:
     found = decontaminate(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), F.size("near").cast("long").alias("n_near"))
+
+
+def _sql() -> str:
+    """The same from words and their places alone; z, r and c are a window's size, a term's rank and the terms that texts have."""
+    found = lambda text: f"regexp_extract_all(translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    near = lambda of, r: f"SELECT DISTINCT {of}.w, {of}.z, {of}.rid, {of}.p FROM {of} JOIN o ON o.w = {of}.w AND o.r = {r} JOIN t ON t.rid = {of}.rid AND t.term = o.term AND t.p BETWEEN {of}.p - {SLOP} AND {of}.p + {SLOP} UNION SELECT w, z, rid, p FROM {of} WHERE z < {r}"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {found('text')} AS ws FROM documents),
+t AS (SELECT rid, unnest(ws) AS term, unnest(range(1, len(ws) + 1)) AS p FROM d),
+f AS (SELECT term, count(*) AS n FROM t GROUP BY ALL),
+b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, item_id IS NULL AS no_name, {found('text')} AS ws FROM benchmark),
+g AS (SELECT DISTINCT item, no_name, CASE WHEN len(ws) < {WINDOW} THEN ws ELSE ws[k:k + {WINDOW} - 1] END AS gram FROM (SELECT *, unnest(range(1, greatest(len(ws) - {WINDOW} + 1, 1) + 1)) AS k FROM b WHERE len(ws) > 0)),
+u AS (SELECT row_number() OVER () AS w, len(gram) AS z, gram FROM (SELECT DISTINCT gram FROM g)),
+x AS (SELECT rid, z, p, ws[p:p + z - 1] AS gram FROM (SELECT rid, ws, z, unnest(range(1, len(ws) - z + 2)) AS p FROM d, (SELECT DISTINCT z FROM u) WHERE len(ws) >= z)),
+h AS (SELECT rid, p, z, w FROM x JOIN u USING (gram, z)),
+hit AS (SELECT rid, count(DISTINCT q) AS n_hit FROM (SELECT rid, unnest(range(p, p + z)) AS q FROM h) GROUP BY ALL),
+its AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item, no_name FROM h JOIN u USING (w) JOIN g USING (gram)) GROUP BY ALL),
+o AS (SELECT w, z, term, row_number() OVER (PARTITION BY w ORDER BY n, k) AS r, count(*) OVER (PARTITION BY w) AS c FROM (SELECT w, z, unnest(gram) AS term, unnest(range(1, z + 1)) AS k FROM u) JOIN f USING (term)),
+n1 AS (SELECT w, z, rid, p FROM o JOIN t USING (term) WHERE r = 1 AND c = z),
+n2 AS ({near('n1', 2)}),
+n3 AS ({near('n2', 3)}),
+nr AS (SELECT rid, count(*) AS n_near FROM (SELECT DISTINCT rid, item, no_name FROM n3 JOIN u USING (w) JOIN g USING (gram)) GROUP BY ALL)
+SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN its USING (rid) LEFT JOIN nr USING (rid)"""
+
+
+OP6_SQL = _sql()

@@ -1,7 +1,7 @@
 """Queries of this subpackage and their SQL."""
 
 import corpus_pipeline
-from demandpanel.llm.decontaminate import op6_decontamination
+from demandpanel.llm.decontaminate import OP6_SQL, op6_decontamination
 from demandpanel.llm.exact_dedup import OP3_SQL, op3_exact_dedup
 from demandpanel.llm.language_id import op9_language_id
 from demandpanel.llm.line_dedup import OP7_SQL, op7_line_dedup, op7_line_dedup_by_rate
@@ -14,4 +14,4 @@ from demandpanel.llm.url_filter import op10_url_filter
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_toxicity, op3_exact_dedup, op4_near_dedup, op5_secret_scan, op5_secret_scan_by_spread, op6_decontamination, op7_line_dedup, op7_line_dedup_by_rate, op8_best_fit_packing, op9_language_id, op10_url_filter)} | {"pipeline": corpus_pipeline.run}
 
-ORACLES = {"op3_exact_dedup": OP3_SQL, "op5_secret_scan": OP5_SQL, "op7_line_dedup": OP7_SQL}
+ORACLES = {"op3_exact_dedup": OP3_SQL, "op5_secret_scan": OP5_SQL, "op6_decontamination": OP6_SQL, "op7_line_dedup": OP7_SQL}
