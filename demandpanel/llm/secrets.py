@@ -28,8 +28,9 @@ def spans(text: Column, pattern: str) -> Column:
     """All leftmost non-overlapping matches as array of (match, start, end); positions count code points from 0.
 
     The pieces between the matches come from a split by the same pattern, so the running length of pieces and matches
-    gives the positions: within blocks of FOLD matches first, then over the blocks. Each pattern runs twice over the text,
-    however many matches it has.
+    gives the positions: within blocks of FOLD matches first, then over the blocks. Each pattern runs three times over the
+    text, however many matches it has, and
+    one search passes over texts without any.
     """
     none = F.array().cast(SPANS)
 
@@ -53,7 +54,8 @@ def spans(text: Column, pattern: str) -> Column:
 
     # the last piece has no match after it
     zipped = F.zip_with(F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    return let(let(zipped, lambda z: F.slice(z, F.lit(1), F.size(z) - 1)), every)
+    found = let(let(zipped, lambda z: F.slice(z, F.lit(1), F.size(z) - 1)), every)
+    return F.when(text.rlike(pattern), found).otherwise(none)
 
 
 def _named(spans_col: Column, kind: str) -> Column:
@@ -70,7 +72,7 @@ def base_spans(text: Column) -> dict[str, Column]:
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     with_value = F.zip_with(spans(text, ASSIGN), values, lambda x, v: F.struct(v.alias("m"), x["s"].alias("s"), x["e"].alias("e")))
     return {
-        "assign": F.filter(with_value, lambda x: F.length(x["m"]) >= ASSIGN_LEAST),
+        "assign": F.when(text.rlike(ASSIGN), F.filter(with_value, lambda x: F.length(x["m"]) >= ASSIGN_LEAST)).otherwise(F.array().cast(SPANS)),
         "access": spans(text, ACCESS),
         "hex": spans(text, HEX),
     }
