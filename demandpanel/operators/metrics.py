@@ -63,22 +63,22 @@ def error_percentiles(df: DataFrame, yhat: str, y: str = "y", by: tuple[str, ...
 def accuracy_levels(df: DataFrame, yhat: str, y: str = "y", iso_year: bool = False) -> DataFrame:
     """Accuracy at six levels: day and week by series, week by A series, by SKU, by store, and in total.
 
-    Weeks are (calendar year, ISO week), or with ``iso_year`` ISO years. The weekly levels are sums of the weekly series, so
-    the daily rows are read and shuffled once.
+    Weeks are (calendar year, ISO week), or with ``iso_year`` ISO years. Daily rows are read and shuffled once, to weekly
+    sums by series, which carry the daily errors too; every other level is a sum of these, all in one more shuffle.
     """
     week = [F.year(F.date_add(F.trunc("date", "week"), 3)) if iso_year else F.year("date"), F.weekofyear("date")]
-    weekly = df.groupBy(*KEYS, "abc", week[0].alias("year"), week[1].alias("week")).agg(F.sum(y).alias("y"), F.sum(yhat).alias("p"))
-    out = None
-    for level, rows, by in (("weekly_sku_store", weekly, KEYS), ("weekly_sku_store_a", weekly.filter("abc = 'A'"), KEYS), ("weekly_sku", weekly, ("sku_id",)), ("weekly_store", weekly, ("store_id",)), ("weekly_total", weekly, ())):
-        sums = rows.groupBy(*by, "year", "week").agg(F.sum("y").alias("y"), F.sum("p").alias("p"))
-        one = _level(sums, level, "y", "p")
-        out = one if out is None else out.unionByName(one)
-    return _level(df, "daily", y, yhat).unionByName(out)
-
-
-def _level(df: DataFrame, level: str, y: str, yhat: str) -> DataFrame:
-    every = aggregates(y, yhat)
-    return df.agg(*(every[m].alias(m) for m in ("n", "wmape", "wfa", "bias_pct"))).withColumn("level", F.lit(level))
+    error = F.abs(F.col(y).cast("double") - F.col(yhat).cast("double"))
+    weekly = df.groupBy(*KEYS, "abc", week[0].alias("year"), week[1].alias("week")).agg(F.sum(y).alias("y"), F.sum(yhat).alias("p"), F.sum(error).alias("e"), F.count("*").alias("n"))
+    store, sku = (F.col(k) for k in KEYS)
+    none = F.lit(None).cast("string")
+    kind = lambda level, a, b: F.struct(F.lit(level).alias("level"), a.alias("store"), b.alias("sku"))
+    levels = F.array(kind("weekly_sku_store", store, sku), F.when(F.col("abc") == "A", kind("weekly_sku_store_a", store, sku)), kind("weekly_sku", none, sku), kind("weekly_store", store, none), kind("weekly_total", none, none))
+    rows = weekly.select(F.explode(F.filter(levels, lambda x: x.isNotNull())).alias("l"), "year", "week", "y", "p").groupBy("l", "year", "week").agg(F.sum("y").alias("y"), F.sum("p").alias("p"))
+    sums = rows.groupBy(F.col("l.level").alias("level")).agg(F.count("*").alias("n"), F.sum(F.abs(F.col("y").cast("double") - F.col("p"))).alias("e"), F.sum("y").alias("y"), F.sum("p").alias("p"))
+    daily = weekly.agg(F.lit("daily").alias("level"), F.sum("n").alias("n"), F.sum("e").alias("e"), F.sum("y").alias("y"), F.sum("p").alias("p"))
+    total = F.col("y").cast("double")
+    wmape = F.lit(PCT) * ratio(F.col("e"), total)
+    return daily.unionByName(sums).select("n", wmape.alias("wmape"), (F.lit(PCT) - wmape).alias("wfa"), (F.lit(PCT) * ratio(F.col("p") - total, total)).alias("bias_pct"), "level")
 
 
 def lift(scores: DataFrame, baseline: str) -> DataFrame:
