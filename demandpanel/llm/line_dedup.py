@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import cut, free, let, quoted, read, whole
+from demandpanel.llm.common import cut, free, hot_join, let, quoted, read, whole
 
 #: Most bytes of line keys that are sent to every executor; beyond it the join shuffles.
 BROADCAST_BYTES = 16_000_000
@@ -46,10 +46,12 @@ def boilerplate(docs: DataFrame, host_col: str = "source", text_col: str = "text
     if mirrors:
         seen = seen.groupBy(*by, "page").agg(F.lit(1).alias("one"))
     counts = cut(seen.groupBy(*by).agg(F.count("*").alias("pages")).filter((F.col("pages") >= min_pages) | (F.col("long") & (F.col("pages") > 1)) | F.col("line_key").isNull()))
-    total = counts.filter(F.col("line_key").isNull()).select(F.col("host").alias("of"), F.col("no_host").alias("of_none"), F.col("pages").alias("host_pages"))
-    lines = counts.filter(F.col("line_key").isNotNull())
+    at = F.struct("host", "no_host")
+    total = counts.filter(F.col("line_key").isNull()).select(at.alias("of"), F.col("pages").alias("host_pages"))
+    # a host of very many pages has very many lines
+    lines = hot_join(counts.filter(F.col("line_key").isNotNull()).withColumn("at", at), total, "at", "of", "host_pages")
     enough = (F.col("pages") >= min_pages) | (F.col("long") & (F.col("pages") > 1) & (F.col("pages") * 2 >= F.col("host_pages")))
-    return lines.join(total, (F.col("host") == F.col("of")) & (F.col("no_host") == F.col("of_none"))).filter(enough & (F.col("pages") > F.lit(max_ratio) * F.col("host_pages"))).select("host", "no_host", "line_key", "pages", "host_pages")
+    return lines.filter(enough & (F.col("pages") > F.lit(max_ratio) * F.col("host_pages"))).select("host", "no_host", "line_key", "pages", "host_pages")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", max_ratio: float = MAX_RATIO, min_pages: int = MIN_PAGES, small_chars: int | None = SMALL_CHARS, mirrors: bool = False, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
