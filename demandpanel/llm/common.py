@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Keys of more than 1/HEAVY of all rows are hot; tables of this size at most are broadcast.
-HEAVY, BROADCAST_BYTES = 1000, 32_000_000
+HEAVY, BROADCAST_BYTES = 1000, 8_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -146,13 +146,4 @@ def kept(name: str, make: Callable):
     return store[name]
 
 
-def kept_for(name: str, tag: str, make: Callable):
-    """Like :func:`kept`, but only what was made last under ``name`` stays: another ``tag`` takes its place."""
-    at = kept(name, dict)
-    if tag not in at:
-        at.clear()
-        at[tag] = make()
-    return at[tag]
-
-
 by_value(__name__)

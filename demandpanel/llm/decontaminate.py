@@ -20,7 +20,7 @@ WINDOW, SLOP = 10, 20
 #: Words of a segment of the index, and windows that are looked up in it at once: together they bound a task's memory.
 SEGMENT_WORDS, BLOCK_WINDOWS = 1_000_000, 100_000
 #: Candidates that are held against the index together, words whose hash a task remembers, and pieces of a frequent window's items.
-TOGETHER, REMEMBERED, SALTS = 200_000, 200_000, 16
+TOGETHER, REMEMBERED, SALTS = 200_000, 100_000, 16
 
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 

@@ -19,8 +19,8 @@ by_value(__name__)
 SHINGLE, SIMILARITY = 5, 0.8
 #: Bands and coordinates in each: two texts of similarity 0.8 share one with probability 0.997, of 0.9 with 1 - 10**-8.
 BANDS, ROWS = 32, 8
-#: Texts that one side of a comparison holds, and texts whose darts are thrown together.
-BLOCK, TOGETHER = 250, 64
+#: Texts that one side of a comparison holds, and shingles of texts whose darts are thrown together.
+BLOCK, TOGETHER = 250, 20_000
 #: Darts of a region of area 1 are Poisson distributed: the chances of so many at most. None has more than 20 within 10**-19.
 POISSON = np.cumsum([math.exp(-1) / math.factorial(i) for i in range(20)])
 
@@ -47,7 +47,7 @@ class Shingler:
     """
 
     def __init__(self, size: int = SHINGLE):
-        self.size, self.terms = size, Terms()
+        self.size, self.terms = size, kept("terms", Terms)
 
     def __call__(self, ws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Distinct shingles in rising order, and their counts."""
@@ -133,20 +133,19 @@ def signed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def sign(batches):
         shingler = kept("shingler", Shingler)
         for batch in batches:
-            keys, bands = [], []
-            for k in range(0, len(batch), TOGETHER):
-                sets, at = [], []
-                for text in batch.column(2).slice(k, TOGETHER).to_pylist():
-                    ws = words(text)
-                    named = b" ".join(ws) if ws else b"\0" + (text or "").encode("utf-8", "surrogatepass")
-                    keys.append(hashlib.blake2b(named, digest_size=16).digest())
-                    if ws:
-                        at.append(len(keys) - 1)
-                        sets.append(shingler(ws))
-                bands += [[]] * (len(keys) - len(bands))
-                if sets:
-                    for i, x in zip(at, band_keys(signatures(sets)).view(np.int64).tolist(), strict=True):
-                        bands[i] = x
+            keys, bands, sets, at, n = [], [[]] * len(batch), [], [], 0
+            for i, text in enumerate(batch.column(2).to_pylist()):
+                ws = words(text)
+                named = b" ".join(ws) if ws else b"\0" + (text or "").encode("utf-8", "surrogatepass")
+                keys.append(hashlib.blake2b(named, digest_size=16).digest())
+                if ws:
+                    at.append(i)
+                    sets.append(shingler(ws))
+                    n += len(sets[-1][0])
+                if sets and (n >= TOGETHER or i == len(batch) - 1):
+                    for j, x in zip(at, band_keys(signatures(sets)).view(np.int64).tolist(), strict=True):
+                        bands[j] = x
+                    sets, at, n = [], [], 0
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "check", "key", "bands"])
 
     rows = docs.select(quoted(id_col).alias("id"), F.xxhash64(quoted(text_col)).alias("check"), quoted(text_col).alias("text"))

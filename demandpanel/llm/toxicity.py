@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -15,7 +14,7 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import bounded_batches, by_value, cut, held_out, kept, kept_for, quoted, read, whole
+from demandpanel.llm.common import bounded_batches, by_value, cut, held_out, kept, quoted, read, whole
 
 by_value(__name__)
 
@@ -27,7 +26,7 @@ LEAST_TEXTS, LEAST_SHARE, PRECISION = 3, 0.02, 0.95
 #: Letters of a stem, and folds that the lexicon is made without for the trees.
 STEM, FOLDS = 4, 3
 #: Words between a term and a second person pronoun that count as near, and runs of signs that a task remembers.
-NEARBY, REMEMBERED = 5, 200_000
+NEARBY, REMEMBERED = 5, 40_000
 
 # Pronouns of the second person in English, German, French and Spanish, and look-alikes of letters.
 SECOND_PERSON = "you your yours yourself u ur du dich dir dein deine deiner deinen euch euer ihr ihnen tu toi te ton ta tes vous votre vos usted ustedes ti tú tus vosotros vuestro".split()
@@ -160,11 +159,11 @@ class Model:
 def _features(rows: DataFrame, lexicons: list[tuple[frozenset[str], frozenset[str]]]) -> DataFrame:
     """Of rows whose last two columns are the number of a lexicon and the text, the other columns and ``x``, the features."""
     shared = rows.sparkSession.sparkContext.broadcast((lexicons, frozenset(SECOND_PERSON)))
-    keep, tag = rows.columns[:-2], uuid.uuid4().hex
+    keep = rows.columns[:-2]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets, pronouns = shared.value
-        readers = kept_for("readers", tag, lambda: [Reader(*x, pronouns) for x in sets])
+        readers = [Reader(*x, pronouns) for x in sets]
         for batch in batches:
             numbers, texts = (c.to_pylist() for c in batch.columns[-2:])
             x = [readers[k](t) for k, t in zip(numbers, texts, strict=True)]
