@@ -38,16 +38,20 @@ def trees_column(model, x: list[Column]) -> Column:
 
 
 class TwoStage:
-    """P(sale) by a classifier, quantity by a regressor of log quantities of sales days, and the smearing factor."""
+    """P(sale) by a classifier, quantity by a regressor of log quantities of sales days, and the smearing factor.
 
-    def __init__(self, classify: PipelineModel, regress: PipelineModel, factor: float, features: list[str]):
-        self.classify, self.regress, self.factor, self.features = classify, regress, factor, features
+    ``level`` brings the mean probability of the training rows to their share of sales: few boosting steps leave the
+    probabilities of rare sales far too high.
+    """
+
+    def __init__(self, classify: PipelineModel, regress: PipelineModel, factor: float, features: list[str], level: float = 1.0):
+        self.classify, self.regress, self.factor, self.features, self.level = classify, regress, factor, features, level
 
     def transform(self, df: DataFrame, y: str = "y") -> DataFrame:
         """Adds ``p`` and ``qty``; quantities are transformed back, not smeared."""
         own = df.columns
         rows = self.classify.transform(_ready(df.withColumn(y, F.col(y)) if y in df.columns else df.withColumn(y, F.lit(0)), self.features, y))
-        rows = rows.withColumn("p", vector_to_array("probability")[1]).drop("x", "rawPrediction", "probability", "prediction")
+        rows = rows.withColumn("p", F.least(vector_to_array("probability")[1] * self.level, F.lit(1.0))).drop("x", "rawPrediction", "probability", "prediction")
         rows = self.regress.transform(rows).withColumn("qty", F.greatest(F.expm1("prediction"), F.lit(0.0)))
         return rows.select(*own, "p", "qty")
 
@@ -57,7 +61,7 @@ class TwoStage:
         classify, regress = self.classify.stages[-1], self.regress.stages[-1]
 
         def value(row: Column) -> Column:
-            p = 1 / (1 + F.exp(-2 * trees_column(classify, [row[c] for c in self.features])))
+            p = F.least(self.level / (1 + F.exp(-2 * trees_column(classify, [row[c] for c in self.features]))), F.lit(1.0))
             return p * F.greatest(F.expm1(trees_column(regress, [row[c] for c in self.features])), F.lit(0.0)) * self.factor
 
         # the features are computed once, however many splits read them
@@ -68,8 +72,8 @@ class TwoStage:
         self.regress.write().overwrite().save(f"{path}/regress")
 
     @classmethod
-    def load(cls, path: str, factor: float, features: list[str]) -> TwoStage:
-        return cls(PipelineModel.load(f"{path}/classify"), PipelineModel.load(f"{path}/regress"), factor, features)
+    def load(cls, path: str, factor: float, features: list[str], level: float = 1.0) -> TwoStage:
+        return cls(PipelineModel.load(f"{path}/classify"), PipelineModel.load(f"{path}/regress"), factor, features, level)
 
 
 def fit_two_stage(train: DataFrame, features: list[str], y: str = "y", kind: str = "gbt", trees: int = 20, depth: int = 5, smear_mode: str = "mean_exp", bounds: tuple[float, float] | None = (0.8, 1.5)) -> TwoStage:
@@ -82,8 +86,10 @@ def fit_two_stage(train: DataFrame, features: list[str], y: str = "y", kind: str
         c, r = RandomForestClassifier(featuresCol="x", labelCol="_sold", numTrees=trees, maxDepth=depth, seed=7), RandomForestRegressor(featuresCol="x", labelCol="_log", numTrees=trees, maxDepth=depth, seed=7)
     sold = rows.filter("_sold = 1")
     classify, regress = Pipeline(stages=[stage, c]).fit(rows), Pipeline(stages=[stage, r]).fit(sold)
+    share = classify.transform(rows).agg(F.avg("_sold").alias("is"), F.avg(vector_to_array("probability")[1]).alias("said")).first()
+    level = share["is"] / share["said"] if share["said"] else 1.0
     residual = regress.transform(sold).withColumn("residual", F.col("_log") - F.col("prediction"))
-    return TwoStage(classify, regress, smear(residual, smear_mode, bounds=bounds).first()["smear"] or 1.0, features)
+    return TwoStage(classify, regress, smear(residual, smear_mode, bounds=bounds).first()["smear"] or 1.0, features, level)
 
 
 def fit_segments(train: DataFrame, features: list[str], by: str = "abc", **how) -> dict[str, TwoStage]:
