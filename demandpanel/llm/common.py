@@ -34,15 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Writes ``df`` as a table in the shared folder and reads it back.
+def cut(df: DataFrame, by: str | None = None) -> DataFrame:
+    """Writes ``df`` as a table in the shared folder, one folder for each value of ``by`` if given, and reads it back.
 
     Later jobs restart from the table, so a lost executor costs no recomputation of what came before. The table is
     deleted when the session ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, partitionBy=by)
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
