@@ -10,7 +10,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Keys of more than 1/HEAVY of all rows are hot; tables of this size at most are broadcast.
@@ -124,6 +124,28 @@ def apart(rows: DataFrame, to: str, most: int = 1_000_000) -> DataFrame:
     return few.unionByName(many).withColumn(to, F.explode(F.sequence(F.col(first), F.least(F.col(first) + most, F.col(n)) - 1))).select(*names, to)
 
 
+def scanned(rows: DataFrame, order: list[str], sums: dict[str, Column], within: tuple[str, ...] = ()) -> DataFrame:
+    """Adds running sums over the rows before each row: ``sums`` tells the new columns and what they add up.
+
+    Rows are ordered by ``order``, which no two may share, and sums start anew in each group of ``within``. Rows fall into
+    ranges of that order, are summed up within each and start at the sum of the ranges before, so neither a hot group nor
+    the whole table passes through one task. Sums of integers and decimals are exact, however the rows fall.
+    """
+    piece, *parts = free([*rows.columns, *sums], "piece", *(f"at_{x}" for x in sums))
+    key = free([*rows.columns, *sums, piece, *parts], *(f"of_{x}" for x in (*within, piece)))
+    ranged = cut(rows.select("*", *(c.alias(x) for c, x in zip(sums.values(), parts, strict=True))).repartitionByRange(*within, *order).withColumn(piece, F.spark_partition_id()))
+    before = Window.partitionBy(*within).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy(*within, piece).agg(*(F.sum(x).alias(x) for x in parts))
+    starts = starts.select(*(F.col(c).alias(k) for c, k in zip((*within, piece), key, strict=True)), *(F.sum(x).over(before).alias(to) for x, to in zip(parts, sums, strict=True)))
+    inside = Window.partitionBy(*within, piece).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    here = ranged.select(*rows.columns, piece, *(F.sum(x).over(inside).alias(x) for x in parts))
+    same = F.lit(True)
+    for c, k in zip((*within, piece), key, strict=True):
+        same &= F.col(c).eqNullSafe(F.col(k)) if c != piece else F.col(c) == F.col(k)
+    zero = F.lit(0)
+    return here.join(starts, same, "left").select(*rows.columns, *((F.coalesce(x, zero) + F.coalesce(to, zero)).alias(to) for x, to in zip(parts, sums, strict=True)))
+
+
 def by_value(module: str) -> None:
     """Sends the Python functions of a module to the executors whole, which then need no copy of this package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
