@@ -40,13 +40,17 @@ def cut(df: DataFrame, by: str | None = None) -> DataFrame:
     Later jobs restart from the table, so a lost executor costs no recomputation of what came before. The table is
     deleted when the session ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = passing_path(df.sparkSession)
     df.write.parquet(path, partitionBy=by)
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def passing_path(spark: SparkSession) -> str:
+    """A new path in the shared folder that is deleted when the session ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 @contextmanager

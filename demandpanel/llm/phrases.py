@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,15 +11,15 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandpanel.llm.common import bounded_batches, by_value, cut, hot_join, quoted, read, whole
+from demandpanel.llm.common import bounded_batches, by_value, cut, hot_join, passing_path, quoted, read, whole
 
 #: What ends a piece, what parts words.
 ENDS, GAPS = ".,;:!?\n\x0b\x0c\r", " \t"
 #: Bits of the table that tells which phrases have reached the threshold: 8 MB, however large the corpus.
 FILTER_BITS = 1 << 26
 #: Bytes of text that a task counts at once.
-CHUNK_BYTES = 16_000_000
-COUNTS = "lang string, size int, phrase string, hash long, n long"
+CHUNK_BYTES = 8_000_000
+NAMED = "lang string, size int, phrase string, n long"
 
 #: A-Z in lower case, one sign for all ends of pieces, one for all gaps.
 _TABLE = bytes(0x2E if chr(c) in ENDS else 0x20 if chr(c) in GAPS else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -29,49 +31,65 @@ def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def _has(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the bits of these hashes are set."""
-    return (bits[((hashes >> np.uint64(6)) & np.uint64(len(bits) - 1)).astype(np.int64)] >> (hashes & np.uint64(63))) & np.uint64(1) == 1
+def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bits of these keys are set."""
+    at = keys >> 3
+    return (bits[(at >> 6) & (len(bits) - 1)] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
 
 
-def _counted(lang: str, data: bytes, most_words: int, now: np.ndarray, before: np.ndarray | None):
-    """Counts of one chunk: batches of (lang, size, phrase, hash, n)."""
+def _levels(lang: str, data: bytes, most_words: int):
+    """For each size: the key of the phrase at each word (40 bits of a hash, and its size), whether it lies inside a piece, the
+    words as numbers and their names."""
     words = pc.ascii_split_whitespace(pa.array([data.decode()], pa.large_string())).flatten()
     coded = words.filter(pc.not_equal(words, "")).dictionary_encode()
     at, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-    if not len(at):
-        return
     seed = xxhash.xxh64_intdigest(lang.encode())
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in names.to_pylist()), np.uint64, len(names))[at]
-    end = pc.index(names, pa.scalar(".", names.type)).as_py()
-    inside, first = at != end, hashes
+    hashes = first = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in names.to_pylist()), np.uint64, len(names))[at]
+    inside = at != pc.index(names, pa.scalar(".", names.type)).as_py()
     for size in range(1, most_words + 1):
         if size > 1:
-            set_now = _has(now, hashes)
-            active = set_now[:-1] & set_now[1:]
-            if before is not None:
-                set_before = _has(before, hashes)
-                active &= ~(set_before[:-1] & set_before[1:])
-            inside = inside[:-1] & inside[1:]
+            if len(at) < size:
+                return
             # the hash of a phrase is that of all words but the last, and the last word's
-            hashes = _mixed(hashes[:-1], first[size - 1 :])
-            places = np.flatnonzero(inside & active)
+            hashes, inside = _mixed(hashes[:-1], first[size - 1 :]), inside[:-1] & inside[1:]
+        yield size, ((hashes >> np.uint64(24)).astype(np.int64) << 3) | size, inside, at, names
+
+
+def _keys(lang: str, data: bytes, most_words: int, now: np.ndarray, before: np.ndarray | None):
+    """How often the keys occur of all phrases that are active now and were not at this shard's scan before."""
+    parts = None
+    for size, keys, inside, _, _ in _levels(lang, data, most_words):
+        if size == 1:
+            take = inside if before is None else np.zeros(len(inside), bool)
         else:
-            places = np.flatnonzero(inside if before is None else np.zeros(0, bool))
-        if not len(places):
-            continue
+            is_set = _has(now, parts)
+            take = inside & is_set[:-1] & is_set[1:]
+            if before is not None:
+                was_set = _has(before, parts)
+                take &= ~(was_set[:-1] & was_set[1:])
+        parts = keys
+        found, n = np.unique(keys[take], return_counts=True)
+        if len(found):
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["key", "n"])
+
+
+def _phrases(lang: str, data: bytes, most_words: int, often: np.ndarray, _):
+    """Name and count of all phrases whose key is frequent, and the number of all words with no name."""
+    for size, keys, inside, at, names in _levels(lang, data, most_words):
+        if size == 1:
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([0], pa.int32()), pa.array([None], pa.string()), pa.array([int(inside.sum())])], names=["lang", "size", "phrase", "n"])
+        places = np.flatnonzero(inside & _has(often, keys))
         code = at[places]
         for k in range(1, size):
             code = (np.unique(code, return_inverse=True)[1] if k > 1 else code) * len(names) + at[places + k]
         _, one, n = np.unique(code, return_index=True, return_counts=True)
-        one = places[one]
-        parts = [names.take(pa.array(at[one + k])).cast(pa.string()) for k in range(size)]
-        phrase = pc.binary_join_element_wise(*parts, " ") if size > 1 else parts[0]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(one), pa.string()), pa.array(np.full(len(one), size, np.int32)), phrase, pa.array(hashes[one].view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "size", "phrase", "hash", "n"])
+        words = [names.take(pa.array(at[places[one] + k])).cast(pa.string()) for k in range(size)]
+        phrase = pc.binary_join_element_wise(*words, " ") if size > 1 else words[0]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(one), pa.string()), pa.array(np.full(len(one), size, np.int32)), phrase, pa.array(n.astype(np.int64))], names=["lang", "size", "phrase", "n"])
 
 
-def _scan(most_words: int, chunk_bytes: int, now, before):
-    """A function for ``mapInArrow`` that counts all phrases of a shard that are active now and were not at its last scan."""
+def _scan(count, most_words: int, chunk_bytes: int, now, before=None):
+    """A function for ``mapInArrow`` that passes chunks of (lang, text) to ``count``."""
 
     def run(batches):
         waiting: dict[str, list[bytes]] = {}
@@ -84,7 +102,7 @@ def _scan(most_words: int, chunk_bytes: int, now, before):
                     # a chunk ends where a piece does
                     stop = data.find(b".", start + chunk_bytes) if start + chunk_bytes < len(data) else -1
                     stop = len(data) if stop < 0 else stop
-                    yield from _counted(lang, data[start:stop].replace(b".", b" . "), most_words, now.value, before and before.value)
+                    yield from count(lang, data[start:stop].replace(b".", b" . ") + b" .", most_words, now.value, before and before.value)
                     start = stop
             waiting.clear()
 
@@ -102,17 +120,17 @@ def _scan(most_words: int, chunk_bytes: int, now, before):
 
 
 def _reached(counts: DataFrame, threshold: int, slots: int) -> np.ndarray:
-    """The bits of all phrases that occur ``threshold`` times in ``counts``, by Spark; a table of fixed size comes back."""
-    often = counts.groupBy("hash").agg(F.sum("n").alias("n")).filter(F.col("n") >= threshold)
-    slot = F.shiftrightunsigned("hash", 6).bitwiseAND(F.lit(slots - 1))
-    table = often.groupBy(slot.alias("slot")).agg(F.expr("bit_or(shiftleft(1L, cast(hash & 63 AS int)))").alias("bits")).toArrow()
+    """The bits of all keys that occur ``threshold`` times, by Spark; a table of fixed size comes back."""
+    often = counts.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= threshold)
+    table = often.groupBy(F.shiftright("key", 9).bitwiseAND(F.lit(slots - 1)).alias("slot")).agg(F.expr("bit_or(shiftleft(1L, cast(shiftright(key, 3) & 63 AS int)))").alias("bits")).toArrow()
     bits = np.zeros(slots, np.uint64)
     bits[table["slot"].to_numpy()] = table["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return bits
 
 
 def phrase_counts(docs: DataFrame, most_words: int = 3, threshold: int = 10, shards: int = 3, lang_col: str = "lang", text_col: str = "text", filter_bits: int = FILTER_BITS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """How often each word, and each phrase of up to ``most_words`` words whose parts are frequent, occurs: ``lang``, ``size``, ``phrase``, ``n``.
+    """All phrases of up to ``most_words`` (at most 7) words that occur ``threshold`` times: ``lang``, ``size``, ``phrase``, ``n``; and for each
+    language the number of all words, with size 0 and no phrase.
 
     Dynamic itemset counting. The corpus is written as ``shards`` parts, which are scanned one after the other, over and
     over, all lengths in the same scan. Words are counted from the first scan on. A longer phrase becomes active as soon as
@@ -121,36 +139,42 @@ def phrase_counts(docs: DataFrame, most_words: int = 3, threshold: int = 10, sha
     phrase is counted in the first scan of each shard at which it is active, which tasks tell from two tables, that of this
     scan and that of the shard's scan before.
 
-    These tables hold one bit for each hash of a phrase and have ``filter_bits`` bits whatever the corpus. Phrases
-    that share a bit make a phrase active without need, never late, and counts are by the phrase itself, so all counts
-    are exact: of each word, and of each phrase both of whose parts occur ``threshold`` times. Only the tables pass through the driver.
+    These tables have ``filter_bits`` bits whatever the corpus, and only they pass through the driver. Scans count 40-bit hashes of phrases,
+    which move as two numbers; what they add up to so far stands in one table bucketed by hash, to which each scan appends, so that
+    looking up what has reached the threshold shuffles nothing. A hash or a bit that phrases share makes them active or frequent
+    without need, never late: an exact check follows, a last scan that names the phrases whose hash is frequent and counts them by name.
 
     Tasks count ``chunk_bytes`` of text at once (a longer piece whole); Spark combines their counts before and after the shuffle,
-    so frequent phrases move once a task.
+    so a frequent phrase moves once a task.
     """
     spark, slots = docs.sparkSession, filter_bits // 64
     shard = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")
     corpus = cut(docs.select(F.coalesce(quoted(lang_col).cast("string"), F.lit("und")).alias("lang"), whole(quoted(text_col)).alias("text"), shard.alias("shard")), by="shard")
-    now, seen, tables = np.zeros(slots, np.uint64), [], []
-    while len(seen) < shards or not all(np.array_equal(now, x) for x in seen[-shards:]):
-        step, before = len(seen), seen[-shards] if len(seen) >= shards else None
-        seen.append(now)
-        if step >= shards:
-            seen[step - shards] = None  # no longer needed
-        if before is not None and np.array_equal(now, before):
-            continue
-        sent = [None if x is None else spark.sparkContext.broadcast(x) for x in (now, before)]
+    now, seen, table, path = np.zeros(slots, np.uint64), [], f"phrases_{uuid.uuid4().hex}", passing_path(spark)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    sent = []
+    try:
         with bounded_batches(spark):
-            found = corpus.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_scan(most_words, chunk_bytes, *sent), COUNTS)
-            tables.append(cut(found.groupBy("lang", "size", "phrase", "hash").agg(F.sum("n").alias("n"))))
-        counts = tables[0]
-        for t in tables[1:]:
-            counts = counts.unionByName(t)
-        now = _reached(counts.filter(F.col("size") < most_words), threshold, slots)
+            while len(seen) < shards or not all(np.array_equal(now, x) for x in seen[-shards:]):
+                step, before = len(seen), seen[-shards] if len(seen) >= shards else None
+                seen.append(now)
+                if step >= shards:
+                    seen[step - shards] = None  # no longer needed
+                if before is not None and np.array_equal(now, before):
+                    continue
+                tables = [spark.sparkContext.broadcast(x) for x in (now, before) if x is not None]
+                sent += tables
+                found = corpus.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_scan(_keys, most_words, chunk_bytes, *tables), "key long, n long")
+                found.groupBy("key").agg(F.sum("n").alias("n")).write.bucketBy(buckets, "key").saveAsTable(table, format="parquet", mode="append", path=path)
+                now = _reached(spark.table(table).filter((F.col("key") % 8) < most_words), threshold, slots)
+            often = spark.sparkContext.broadcast(_reached(spark.table(table), threshold, slots))
+            sent.append(often)
+            named = corpus.select("lang", "text").mapInArrow(_scan(_phrases, most_words, chunk_bytes, often), NAMED)
+            return cut(named.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= threshold) | (F.col("size") == 0)))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
         for x in sent:
-            if x is not None:
-                x.destroy()
-    return counts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+            x.destroy()
 
 
 def collocations(docs: DataFrame, most_words: int = 3, least: int = 10, percent: int = 50, top: int = 2000, lang_col: str = "lang", text_col: str = "text", shards: int = 3, salts: int = 64, **how) -> DataFrame:
@@ -167,9 +191,8 @@ def collocations(docs: DataFrame, most_words: int = 3, least: int = 10, percent:
     very many phrases: their counts are joined by :func:`~demandpanel.llm.common.hot_join`. A language may hold a third of all
     phrases: its best are found within ``salts`` parts first.
     """
-    counted = cut(phrase_counts(docs, most_words, least, shards, lang_col, text_col, **how).filter((F.col("n") >= least) | (F.col("size") == 1)))
-    totals = counted.filter("size = 1").groupBy("lang").agg(F.sum("n").alias("n"))
-    often = counted.filter(F.col("n") >= least)
+    counted = phrase_counts(docs, most_words, least, shards, lang_col, text_col, **how)
+    totals, often = counted.filter("size = 0").select("lang", "n"), counted.filter("size > 0")
     words = F.split("phrase", " ", -1)
     cuts = F.transform(F.sequence(F.lit(1), F.col("size") - 1), lambda k: F.struct(k.alias("k"), F.array_join(F.slice("words", F.lit(1), k), " ").alias("first"), F.array_join(F.slice("words", k + 1, F.col("size") - k), " ").alias("rest")))
     long = often.filter("size > 1").withColumn("words", words)

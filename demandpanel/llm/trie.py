@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from demandpanel.llm.common import apart, by_value, cut, hot_join, quoted, read, scanned, whole
 
-#: A conversation's turns go in bands of so many; a shard has so many turns at most (more than a band has, so one sequence always fits).
+#: A conversation's turns go in bands of so many; a shard has so many turns at most, or one sequence.
 BAND, SHARD = 4096, 10_000
 #: Ids of so many numbers stand in one row when a node's list of ids is hashed.
 ID_BLOCK = 65_536
@@ -104,6 +104,8 @@ def shard_nodes(shard: str, k: int, start: str, rows: list[dict]) -> list[tuple]
             low[s] = r["low"] if low[s] is None else min(low[s], r["low"])
             chars[s], depth[s] = r["chars"][d], d + 1
         ends[s], more[s] = r["ends"], (r["more_children"] or 0, r["more_leaves"] or 0, r["more_saved"] or 0)
+    if rows[0]["root_low"] is not None:
+        low[0] = min(low[0], rows[0]["root_low"])
     names = {}
     path = hashlib.md5(start.encode())
     for d, key in enumerate(rows[0]["keys"][:k]):
@@ -178,7 +180,7 @@ def _sharded(seqs: DataFrame, most: int) -> DataFrame:
     while left is not None:
         prefix = F.md5(F.concat_ws("", "start", F.lit("/"), F.array_join(F.slice("keys", 1, k), "") if k else F.lit("")))
         named = left.withColumn("shard", prefix).withColumn("k", F.lit(k))
-        heavy = cut(named.groupBy(F.col("shard").alias("heavy")).agg(F.sum(weight).alias("weight")).filter(F.col("weight") > most))
+        heavy = cut(named.groupBy(F.col("shard").alias("heavy")).agg(F.sum(weight).alias("weight"), F.count("*").alias("many")).filter((F.col("weight") > most) & (F.col("many") > 1)).drop("many"))
         some = heavy.limit(1).count() > 0
         known = hot_join(named, heavy, "shard", "heavy", "weight") if some else named.withColumn("heavy", F.lit(None))
         settled = known.filter(F.col("heavy").isNull()).drop("heavy", "weight")
@@ -219,7 +221,11 @@ def trie(turns: DataFrame, members: DataFrame, band: int = BAND, shard_turns: in
     deepest = seqs.agg(F.max("band")).first()[0]
     more, tables = None, []
     for b in range(-1 if deepest is None else deepest, -1, -1):
-        here = seqs.filter(F.col("band") == b)
+        here = seqs.filter(F.col("band") == b).withColumn("root_low", F.lit(None).cast("long"))
+        if b:
+            # conversations that end where the band begins belong to its root too
+            roots = seqs.filter(F.col("band") == b - 1).select(F.col("seq").alias("of"), F.col("low").alias("root_low"), F.col("n").alias("of_n"))
+            here = hot_join(here.drop("root_low"), roots, "start", "of", "of_n", row_bytes=128).drop("of", "of_n")
         if more is None:
             here = here.select("*", *(F.lit(None).cast("long").alias(c) for c in ("more_children", "more_leaves", "more_saved")))
         else:
