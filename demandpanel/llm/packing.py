@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import unicodedata
 import zlib
@@ -26,11 +27,28 @@ CACHE, LONGEST = 500_000, 64
 SIGNS = ".,;:!?*#$%&|)"
 
 
+#: The normalizers and the splitting pattern of a tokenizer whose ids can be looked up by word.
+BY_WORDS = (["NFC", "Replace", "Lowercase"], r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+
+
+def _by_words(tokenizer) -> bool:
+    """Whether the tokenizer's own description is that of ``BY_WORDS``."""
+    said = json.loads(tokenizer.to_str())
+    steps = [x["type"] for x in (said["normalizer"] or {}).get("normalizers", [])]
+    splits = (said["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+    return steps == BY_WORDS[0] and splits[0].get("pattern", {}).get("Regex") == BY_WORDS[1] and said["model"].get("end_of_word_suffix") == "</w>"
+
+
+def _letters(word: str) -> bool:
+    """Whether the tokenizer sees letters alone: some letters are none any more once they are composed and lowered."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 class Encoder:
     """Token ids of a text as little-endian unsigned 32-bit numbers, with id 0 at its end.
 
-    The tokenizer lowers letters, drops white space, and joins neither what stands on both sides of a space nor letters
-    and signs. So ids are looked up by chunk between spaces or line ends, and a chunk of letters and closing signs by its two
+    A tokenizer that composes and lowers letters, drops white space, and joins neither what stands on both sides of a space nor letters
+    and signs (its file says so, see ``BY_WORDS``) is asked for new words only; any other is given whole texts. In the first case ids are looked up by chunk between spaces or line ends, and a chunk of letters and closing signs by its two
     parts; only what is new is tokenized, all new words of a text at once.
     """
 
@@ -39,6 +57,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        self.by_words = _by_words(self.tokenizer)
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -48,15 +67,16 @@ class Encoder:
 
     def learn(self, chunks: list[str]) -> None:
         cores = {c: c.rstrip(SIGNS) for c in chunks}
-        plain = list({w for w in cores.values() if w.isalpha() and w not in self.known})
+        letters = {w: _letters(w) for w in set(cores.values())}
+        plain = [w for w, yes in letters.items() if yes and w not in self.known]
         if plain:
             # a run of letters is one word, and a word's last token says so
             ids = self.encode([" ".join(plain)])[0]
             ends = np.flatnonzero(self.ends[ids]) + 1
             parts = np.split(ids, ends[:-1]) if len(ends) == len(plain) else self.encode(plain)
             self.known.update((w, x.tobytes()) for w, x in zip(plain, parts, strict=True))
-        signs = list({c[len(w) :] for c, w in cores.items() if w.isalpha() and c[len(w) :] not in self.known})
-        others = [c for c, w in cores.items() if not w.isalpha() and c not in self.known]
+        signs = list({c[len(w) :] for c, w in cores.items() if letters[w] and c[len(w) :] not in self.known})
+        others = [c for c, w in cores.items() if not letters[w] and c not in self.known]
         for new in (signs, others):
             self.known.update((c, x.tobytes()) for c, x in zip(new, self.encode(new), strict=True))
         for c, w in cores.items():
@@ -64,6 +84,8 @@ class Encoder:
                 self.known[c] = self.known[w] + self.known[c[len(w) :]]
 
     def __call__(self, text: str) -> bytes:
+        if not self.by_words:
+            return self.encode([text])[0].tobytes() + b"\0\0\0\0"
         # the one letter that Python lowers by what surrounds it; and lowering must not come before composing
         if "\u03a3" not in text and unicodedata.is_normalized("NFC", text):
             text = text.lower()
