@@ -15,8 +15,8 @@ from demandpanel.llm.common import bounded_batches, by_value, cut, hot_join, pas
 
 #: What ends a piece, what parts words.
 ENDS, GAPS = ".,;:!?\n\x0b\x0c\r", " \t"
-#: Bits of the table that tells which phrases have reached the threshold: 8 MB, however large the corpus.
-FILTER_BITS = 1 << 26
+#: Bits of the table that tells which phrases have reached the threshold: 4 MB, however large the corpus.
+FILTER_BITS = 1 << 25
 #: Bytes of text that a task counts at once.
 CHUNK_BYTES = 8_000_000
 NAMED = "lang string, size int, phrase string, n long"
@@ -166,6 +166,8 @@ def phrase_counts(docs: DataFrame, most_words: int = 3, threshold: int = 10, sha
                 sent += tables
                 found = corpus.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_scan(_keys, most_words, chunk_bytes, *tables), "key long, n long")
                 found.groupBy("key").agg(F.sum("n").alias("n")).write.bucketBy(buckets, "key").saveAsTable(table, format="parquet", mode="append", path=path)
+                while sent:
+                    sent.pop().destroy()  # else their files stay in all executors
                 now = _reached(spark.table(table).filter((F.col("key") % 8) < most_words), threshold, slots)
             often = spark.sparkContext.broadcast(_reached(spark.table(table), threshold, slots))
             sent.append(often)
