@@ -135,14 +135,9 @@ def p10_bool_to_int(spark, sf):
     return T.table(spark, sf, "lineitem").groupBy("l_returnflag", bool_to_int(text).alias("flag")).agg(F.count("*").alias("n"))
 
 
-@query(KD + "lag_28:i gone:d")
-def p11_fill_features_all(spark, sf):
-    return P.fill_features(features(spark, sf), ["gone"], {"lag_28": 999})
-
-
-@query(KD + "lag_28:i gone:d", f"SELECT store_id, sku_id, date, coalesce(lag_28, 999) AS lag_28, 0 AS gone FROM feat WHERE date > {CUT}", FEATURES)
+@query(KD + "lag_28:i gone:d", "SELECT store_id, sku_id, date, coalesce(lag_28, 999) AS lag_28, 0 AS gone FROM feat", FEATURES)
 def p11_fill_features(spark, sf):
-    return p11_fill_features_all(spark, sf).filter(F.col("date") > F.lit(CUTOFF))
+    return P.fill_features(features(spark, sf), ["gone"], {"lag_28": 999})
 
 
 @query("in_sample:b n_series:i", "SELECT true AS in_sample, count(*) AS n_series FROM pairs WHERE CAST('0x' || substr(md5(store_id || '|' || sku_id), 1, 12) AS BIGINT) % 10 < 1 GROUP BY ALL", sales("s_suppkey", "p_partkey"))
@@ -167,14 +162,9 @@ def p15_exclude_t0(spark, sf):
     return P.exclude_t0(fine_tiers(spark, sf)).groupBy("tier_name").agg(F.count("*").alias("n"))
 
 
-@query(KD + "lag_1:i lag_7:i roll_mean_7:d nz_rate_7:d days_since_last_sale_asof:i")
-def p16_feature_set_all(spark, sf):
-    return P.feature_set(features(spark, sf), "T3_COLD_START")
-
-
-@query(KD + "lag_1:i lag_7:i roll_mean_7:d nz_rate_7:d days_since_last_sale_asof:i", f"SELECT * FROM feat WHERE date > {CUT}", FEATURES)
+@query(KD + "lag_1:i lag_7:i roll_mean_7:d nz_rate_7:d days_since_last_sale_asof:i", "SELECT * FROM feat", FEATURES)
 def p16_feature_set(spark, sf):
-    return p16_feature_set_all(spark, sf).filter(F.col("date") > F.lit(CUTOFF))
+    return P.feature_set(features(spark, sf), "T3_COLD_START")
 
 
 @query(KD + "trend_idx:i", f"SELECT store_id, sku_id, date, date_diff('day', DATE '{CFG.data_start}', date) AS trend_idx FROM clean", SALES)
@@ -515,24 +505,14 @@ def w13_capped_recency(spark, sf):
     return df.groupBy(*KEYS).agg(F.sum("days_since_last_sale_asof").alias("since"), F.sum("zero_run_length_asof").alias("run"), F.sum("last_sale_qty_asof").alias("qty"))
 
 
-@query(KD + "long_dormancy:i dormancy_burst_factor:d days_to_reactivation_estimate:i")
-def w14b_dormancy_extra_all(spark, sf):
-    return W.dormancy_extra(features(spark, sf), A.velocity(T.facts(spark, sf), y="sales_clean"))
-
-
-@query(KD + "long_dormancy:i dormancy_burst_factor:d days_to_reactivation_estimate:i", f"SELECT f.store_id, f.sku_id, date, CAST(days_since_last_sale_asof > 56 AS INT) AS long_dormancy, last_sale_qty_asof / roll_mean_pos_28 AS dormancy_burst_factor, CASE WHEN median_gap IS NULL THEN 0 ELSE greatest(median_gap - days_since_last_sale_asof, 0) END AS days_to_reactivation_estimate FROM feat f LEFT JOIN vel v ON f.store_id = v.store_id AND f.sku_id = v.sku_id WHERE date > {CUT}", FEATURES + ",\n" + VELOCITY[len(SALES) + 2 :])
+@query(KD + "long_dormancy:i dormancy_burst_factor:d days_to_reactivation_estimate:i", "SELECT f.store_id, f.sku_id, date, CAST(days_since_last_sale_asof > 56 AS INT) AS long_dormancy, last_sale_qty_asof / roll_mean_pos_28 AS dormancy_burst_factor, CASE WHEN median_gap IS NULL THEN 0 ELSE greatest(median_gap - days_since_last_sale_asof, 0) END AS days_to_reactivation_estimate FROM feat f LEFT JOIN vel v ON f.store_id = v.store_id AND f.sku_id = v.sku_id", FEATURES + ",\n" + VELOCITY[len(SALES) + 2 :])
 def w14b_dormancy_extra(spark, sf):
-    return w14b_dormancy_extra_all(spark, sf).filter(F.col("date") > F.lit(CUTOFF))
-
-
-@query(KD + "log1p_y:d log1p_lag_7:d log1p_roll_mean_28:d lag7_over_mean7:d lag1_minus_lag7:i trend_7_28:d nz_trend:d")
-def w15_w16_transforms_all(spark, sf):
-    return W.interactions(W.log1p_features(features(spark, sf)))
+    return W.dormancy_extra(features(spark, sf), A.velocity(T.facts(spark, sf), y="sales_clean"))
 
 
-@query(KD + "log1p_y:d log1p_lag_7:d log1p_roll_mean_28:d lag7_over_mean7:d lag1_minus_lag7:i trend_7_28:d nz_trend:d", f"SELECT store_id, sku_id, date, ln(1 + y) AS log1p_y, ln(1 + coalesce(lag_7, 0)) AS log1p_lag_7, ln(1 + coalesce(roll_mean_28, 0)) AS log1p_roll_mean_28, lag_7 / (roll_mean_7 + 0.1) AS lag7_over_mean7, lag_1 - lag_7 AS lag1_minus_lag7, roll_mean_7 / (roll_mean_28 + 0.1) AS trend_7_28, nz_rate_7 - nz_rate_28 AS nz_trend FROM feat WHERE date > {CUT}", FEATURES)
+@query(KD + "log1p_y:d log1p_lag_7:d log1p_roll_mean_28:d lag7_over_mean7:d lag1_minus_lag7:i trend_7_28:d nz_trend:d", "SELECT store_id, sku_id, date, ln(1 + y) AS log1p_y, ln(1 + coalesce(lag_7, 0)) AS log1p_lag_7, ln(1 + coalesce(roll_mean_28, 0)) AS log1p_roll_mean_28, lag_7 / (roll_mean_7 + 0.1) AS lag7_over_mean7, lag_1 - lag_7 AS lag1_minus_lag7, roll_mean_7 / (roll_mean_28 + 0.1) AS trend_7_28, nz_rate_7 - nz_rate_28 AS nz_trend FROM feat", FEATURES)
 def w15_w16_transforms(spark, sf):
-    return w15_w16_transforms_all(spark, sf).filter(F.col("date") > F.lit(CUTOFF))
+    return W.interactions(W.log1p_features(features(spark, sf)))
 
 
 SPIKE = FEATURES + f""",
@@ -589,14 +569,9 @@ def w25_spike_prob_asof(spark, sf):
     return W.spike_prob(W.spike_flag(T.panel(spark, sf)), ("sku_id",), CUTOFF, weekly=False)
 
 
-@query(KD + "is_spike:i store_spike_pct:d is_promo_day:i seasonal_lift:d spike_prob:d spike_prob_expanding:d had_recent_spike:i had_recent_spike_14:i post_spike:i is_seasonal_period:i")
-def w26_w29_j8_spike_features_all(spark, sf):
-    return spikes(spark, sf)
-
-
-@query(KD + "is_spike:i store_spike_pct:d is_promo_day:i seasonal_lift:d spike_prob:d spike_prob_expanding:d had_recent_spike:i had_recent_spike_14:i post_spike:i is_seasonal_period:i", f"SELECT * FROM sall WHERE date > {CUT}", SPIKE)
+@query(KD + "is_spike:i store_spike_pct:d is_promo_day:i seasonal_lift:d spike_prob:d spike_prob_expanding:d had_recent_spike:i had_recent_spike_14:i post_spike:i is_seasonal_period:i", "SELECT * FROM sall", SPIKE)
 def w26_w29_j8_spike_features(spark, sf):
-    return w26_w29_j8_spike_features_all(spark, sf).filter(F.col("date") > F.lit(CUTOFF))
+    return spikes(spark, sf)
 
 
 @query("spike_class:s n_days:i avg_qty:d n_events:i pct_days:d", "SELECT spike_class, count(*) AS n_days, avg(y) AS avg_qty, sum(st) AS n_events, 100.0 * count(*) / sum(count(*)) OVER () AS pct_days FROM (SELECT *, CAST(is_spike = 1 AND coalesce(lag(is_spike) OVER (PARTITION BY store_id, sku_id ORDER BY date), 0) = 0 AS INT) AS st FROM scls) GROUP BY ALL", SPIKE)
@@ -616,14 +591,9 @@ def w32_spike_fit_apply(spark, sf):
     return W.spike_fit_apply(df.filter(train), df.filter(~train)).groupBy(*KEYS).agg(F.avg("seasonal_lift").alias("lift"), F.avg("spike_prob").alias("prob"), F.count("*").alias("n"))
 
 
-@query(KD + "gap_vs_median:d is_overdue:i gap_pressure:d")
-def w33_gap_features_all(spark, sf):
-    return W.gap_features(W.recency(T.panel(spark, sf)), A.velocity(T.facts(spark, sf), y="sales_clean"))
-
-
-@query(KD + "gap_vs_median:d is_overdue:i gap_pressure:d", f"SELECT f.store_id, f.sku_id, date, days_since_last_sale_asof / median_gap AS gap_vs_median, CAST(coalesce(days_since_last_sale_asof / median_gap > 1.5, false) AS INT) AS is_overdue, 1 - exp(-0.5 * days_since_last_sale_asof / median_gap) AS gap_pressure FROM feat f LEFT JOIN vel v ON f.store_id = v.store_id AND f.sku_id = v.sku_id WHERE date > {CUT}", FEATURES + ",\n" + VELOCITY[len(SALES) + 2 :])
+@query(KD + "gap_vs_median:d is_overdue:i gap_pressure:d", "SELECT f.store_id, f.sku_id, date, days_since_last_sale_asof / median_gap AS gap_vs_median, CAST(coalesce(days_since_last_sale_asof / median_gap > 1.5, false) AS INT) AS is_overdue, 1 - exp(-0.5 * days_since_last_sale_asof / median_gap) AS gap_pressure FROM feat f LEFT JOIN vel v ON f.store_id = v.store_id AND f.sku_id = v.sku_id", FEATURES + ",\n" + VELOCITY[len(SALES) + 2 :])
 def w33_gap_features(spark, sf):
-    return w33_gap_features_all(spark, sf).filter(F.col("date") > F.lit(CUTOFF))
+    return W.gap_features(W.recency(T.panel(spark, sf)), A.velocity(T.facts(spark, sf), y="sales_clean"))
 
 
 @query(K + "n:i total:d", "SELECT store_id, sku_id, count(m) AS n, sum(m) AS total FROM (SELECT store_id, sku_id, CASE WHEN count(y) OVER w >= 28 THEN avg(y) OVER w END AS m FROM panel WINDOW w AS (PARTITION BY store_id, sku_id ORDER BY date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)) GROUP BY ALL", PANEL)
@@ -637,14 +607,9 @@ def w36_snapshot(spark, sf):
     return W.snapshot_features(T.panel(spark, sf), CUTOFF)
 
 
-@query(KD + "mean_7:d max_7:d nz_7:d")
-def w37_week_features_all(spark, sf):
-    return W.exp3_features(T.panel(spark, sf), CUTOFF)
-
-
-@query(KD + "mean_7:d max_7:d nz_7:d", f"SELECT * FROM (SELECT store_id, sku_id, date, coalesce(avg(y) OVER w, avg(CASE WHEN date <= {CUT} THEN y END) OVER ({SERIES})) AS mean_7, coalesce(CAST(max(y) OVER w AS DOUBLE), avg(CASE WHEN date <= {CUT} THEN y END) OVER ({SERIES})) AS max_7, coalesce(avg(CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END) OVER w, 0) AS nz_7 FROM panel WINDOW w AS (PARTITION BY store_id, sku_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) WHERE date < DATE '1996-01-01'", PANEL)
+@query(KD + "mean_7:d max_7:d nz_7:d", f"SELECT * FROM (SELECT store_id, sku_id, date, coalesce(avg(y) OVER w, avg(CASE WHEN date <= {CUT} THEN y END) OVER ({SERIES})) AS mean_7, coalesce(CAST(max(y) OVER w AS DOUBLE), avg(CASE WHEN date <= {CUT} THEN y END) OVER ({SERIES})) AS max_7, coalesce(avg(CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END) OVER w, 0) AS nz_7 FROM panel WINDOW w AS (PARTITION BY store_id, sku_id ORDER BY date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING))", PANEL)
 def w37_week_features(spark, sf):
-    return w37_week_features_all(spark, sf).filter(F.col("date") < F.lit(date(1996, 1, 1)))
+    return W.exp3_features(T.panel(spark, sf), CUTOFF)
 
 
 # sort, limit, scalars
