@@ -120,6 +120,8 @@ def _bin(i: int) -> Column:
 
 def _best_splits(cells: DataFrame, keys: list[str], least: int, l2: float) -> DataFrame:
     """The split of most gain of each node, ties to the first feature and bin."""
+    # cells are few per group, whatever its rows: the windows and groupings below share this partitioning
+    cells = cells.repartition(*keys)
     part = Window.partitionBy(*keys, "_node", "_feature")
     upto = part.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     sums = cells.select("*", *(F.sum(c).over(upto).alias(f"{c}_l") for c in ("_g", "_h", "_n")), *(F.sum(c).over(part).alias(f"{c}_t") for c in ("_g", "_h", "_n")))

@@ -84,9 +84,15 @@ def croston_for_segment(panel: DataFrame, segments: DataFrame, segment: str = "C
     return croston_intervals(stats, "rate")
 
 
-def smear(df: DataFrame, mode: str = "mean_exp", residual: str = "residual", bounds: tuple[float, float] | None = None, by: tuple = ()) -> DataFrame:
-    """Retransformation factor of log residuals: mean(exp(r)), or exp(var(r) / 2) with ``mode='normal'``."""
-    value = F.avg(F.exp(residual)) if mode == "mean_exp" else F.exp(F.var_samp(residual) * 0.5)
+def smear(df: DataFrame, mode: str = "mean_exp", residual: str = "residual", bounds: tuple[float, float] | None = None, by: tuple = (), weight: str | None = None) -> DataFrame:
+    """Retransformation factor of log residuals: mean(exp(r)), or exp(var(r) / 2) with ``mode='normal'``; means may be weighted
+    (the variance of weighted residuals is that of the whole, not of a sample)."""
+    if weight:
+        mean = lambda x: F.try_divide(F.sum(F.col(weight) * x), F.sum(F.col(weight)))
+        r = F.col(residual)
+        value = mean(F.exp(r)) if mode == "mean_exp" else F.exp((mean(r * r) - mean(r) * mean(r)) * 0.5)
+    else:
+        value = F.avg(F.exp(residual)) if mode == "mean_exp" else F.exp(F.var_samp(residual) * 0.5)
     out = df.groupBy(*by).agg(value.alias("smear"))
     return out.withColumn("smear", clip(F.col("smear"), *bounds)) if bounds else out
 

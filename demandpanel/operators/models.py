@@ -76,20 +76,27 @@ class TwoStage:
         return cls(PipelineModel.load(f"{path}/classify"), PipelineModel.load(f"{path}/regress"), factor, features, level)
 
 
-def fit_two_stage(train: DataFrame, features: list[str], y: str = "y", kind: str = "gbt", trees: int = 20, depth: int = 5, smear_mode: str = "mean_exp", bounds: tuple[float, float] | None = (0.8, 1.5)) -> TwoStage:
-    """``kind``: boosted trees (``gbt``) or random forests (``forest``)."""
+def fit_two_stage(train: DataFrame, features: list[str], y: str = "y", kind: str = "gbt", trees: int = 20, depth: int = 5, smear_mode: str = "mean_exp", bounds: tuple[float, float] | None = (0.8, 1.5), weight: str | None = None) -> TwoStage:
+    """``kind``: boosted trees (``gbt``) or random forests (``forest``). ``weight``: both stages, the smearing factor and the
+    level of the probabilities count rows by this column; rows of weight 0, less or null are left out."""
     rows = _ready(train, features, y)
+    if weight:
+        rows = rows.withColumn(weight, F.col(weight).cast("double")).filter(F.col(weight) > 0)
     stage = VectorAssembler(inputCols=features, outputCol="x")
     if kind == "gbt":
         c, r = GBTClassifier(featuresCol="x", labelCol="_sold", maxIter=trees, maxDepth=depth, seed=7), GBTRegressor(featuresCol="x", labelCol="_log", maxIter=trees, maxDepth=depth, seed=7)
     else:
         c, r = RandomForestClassifier(featuresCol="x", labelCol="_sold", numTrees=trees, maxDepth=depth, seed=7), RandomForestRegressor(featuresCol="x", labelCol="_log", numTrees=trees, maxDepth=depth, seed=7)
+    if weight:
+        c, r = c.setWeightCol(weight), r.setWeightCol(weight)
+    w = F.col(weight) if weight else F.lit(1.0)
+    mean = lambda x: F.try_divide(F.sum(w * x), F.sum(w))
     sold = rows.filter("_sold = 1")
     classify, regress = Pipeline(stages=[stage, c]).fit(rows), Pipeline(stages=[stage, r]).fit(sold)
-    share = classify.transform(rows).agg(F.avg("_sold").alias("is"), F.avg(vector_to_array("probability")[1]).alias("said")).first()
+    share = classify.transform(rows).agg(mean(F.col("_sold")).alias("is"), mean(vector_to_array("probability")[1]).alias("said")).first()
     level = share["is"] / share["said"] if share["said"] else 1.0
     residual = regress.transform(sold).withColumn("residual", F.col("_log") - F.col("prediction"))
-    return TwoStage(classify, regress, smear(residual, smear_mode, bounds=bounds).first()["smear"] or 1.0, features, level)
+    return TwoStage(classify, regress, smear(residual, smear_mode, bounds=bounds, weight=weight).first()["smear"] or 1.0, features, level)
 
 
 def fit_segments(train: DataFrame, features: list[str], by: str = "abc", **how) -> dict[str, TwoStage]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +51,35 @@ def append_predictions(df: DataFrame, path: str) -> None:
     df.write.mode("append").partitionBy("fold_id").parquet(path)
 
 
+def publish(df: DataFrame, path: str, run_id: str, by: str = "fold_id") -> None:
+    """Writes a run's rows so that the job may be repeated: the run's own folder is replaced, and its commit row follows only
+    once all rows are there. A job that was killed leaves rows that :func:`published` does not show; its next run replaces them.
+
+    While a run is written again its commit row is away, so readers see the old rows, then none, then the new ones, never a
+    part of both. Runs do not touch each other. An empty table is a run of no rows.
+    """
+    if not re.fullmatch(r"[\w.-]+", run_id):
+        raise ValueError("a run id has letters, digits, '.', '_' and '-'")
+    spark = df.sparkSession
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/commits/run_id={run_id}")
+    mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(mark, True)
+    df.drop("run_id").write.mode("overwrite").partitionBy(by).parquet(f"{path}/rows/run_id={run_id}")
+    spark.range(1).select(F.current_timestamp().alias("committed_at")).coalesce(1).write.mode("overwrite").parquet(f"{path}/commits/run_id={run_id}")
+
+
+def published(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Rows of committed runs, with ``run_id``. Spark writes a commit's ``_SUCCESS`` last, so only folders that have it count; the
+    runs that are read are named to the scan, which reads no other folder."""
+    jvm = spark.sparkContext._jvm
+    marks = jvm.org.apache.hadoop.fs.Path(f"{path}/commits/run_id=*/_SUCCESS")
+    found = marks.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(marks)
+    runs = sorted(s.getPath().getParent().getName() for s in found or [])
+    full = T.StructType([*(f for f in schema.fields if f.name != "run_id"), T.StructField("run_id", T.StringType())])
+    if not runs:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", f"{path}/rows").parquet(*(f"{path}/rows/{r}" for r in runs))
+
+
 def forecast_rows(df: DataFrame, yhat: str = "yhat") -> DataFrame:
     """The exported columns: item_id, store_id, ISO date and forecast of two decimals."""
     return df.select(F.col("sku_id").alias("item_id"), "store_id", F.date_format("date", "yyyy-MM-dd").alias("date"), F.round(yhat, 2).alias("predicted_sales"))

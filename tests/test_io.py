@@ -3,6 +3,7 @@
 from datetime import date, datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from demandpanel.operators.clean import join_sku_attr
 from demandpanel.sources import io as S
@@ -51,3 +52,32 @@ def test_daily_stream(spark, tmp_path):
     query.processAllAvailable()
     query.stop()
     assert sorted(tuple(r) for r in spark.table("daily").collect()) == [("s", "k", date(2024, 1, 1), 7), ("s", "k", date(2024, 1, 2), 4)]
+
+
+ROWS = "sku_id string, yhat double, fold_id string"
+
+
+def test_publishing_twice_is_publishing_once(spark, tmp_path):
+    path = str(tmp_path / "pred")
+    schema = spark.createDataFrame([], ROWS).schema
+    assert S.published(spark, path, schema).count() == 0
+    first, second = (spark.createDataFrame(r, ROWS) for r in ([("a", 1.0, "F1"), ("b", 2.0, "F2")], [("a", 3.0, "F1")]))
+    for _ in range(2):
+        S.publish(first, path, "r1")
+    S.publish(second, path, "r2")
+    shown = lambda: sorted(tuple(r) for r in S.published(spark, path, schema).select("sku_id", "yhat", "fold_id", "run_id").collect())
+    both = [("a", 1.0, "F1", "r1"), ("a", 3.0, "F1", "r2"), ("b", 2.0, "F2", "r1")]
+    assert shown() == both
+    # a run that fails while it writes shows nothing, and leaves the other run alone; the next one replaces what it left
+    bad = first.withColumn("yhat", F.when(F.col("sku_id") == "b", F.raise_error(F.lit("killed"))).otherwise(F.col("yhat")).cast("double"))
+    with pytest.raises(Exception, match="killed"):
+        S.publish(bad, path, "r1")
+    assert shown() == both[1:2]
+    S.publish(first, path, "r1")
+    assert shown() == both
+    # rows without a commit, and a commit that was not finished, are not shown
+    first.write.partitionBy("fold_id").parquet(f"{path}/rows/run_id=r3")
+    (tmp_path / "pred" / "commits" / "run_id=r3").mkdir()
+    assert shown() == both
+    with pytest.raises(ValueError, match="run id"):
+        S.publish(first, path, "../x")
