@@ -110,13 +110,41 @@ def inactivity_buckets(tiers: DataFrame) -> DataFrame:
     return share_of_count(tiers.withColumn("inactivity", bucket), ["inactivity"])
 
 
+def tiers_by_cutoff(facts: DataFrame, cutoffs: list[date], cfg: Config | None = None, keys=KEYS, qty: str = "sales_clean") -> DataFrame:
+    """Tiers of each series as of each ``cutoff``, from one pass over the facts and one shuffle, however many cutoffs.
+
+    The facts between consecutive cutoffs combine to a small state per series (first day, first and last sale, number and sum
+    of sales); states add up, so each cutoff's is the merge of those before it. A series has rows from the first cutoff on
+    that does not lie before its first day. Equal to :func:`tiers_asof` at each cutoff, in what tiers need.
+    """
+    days = sorted(set(cutoffs))
+    if not days:
+        raise ValueError("no cutoffs")
+    sold = F.col(qty) > 0
+    # nulls where an interval has no row: minimum and maximum of arrays leave them out
+    span = lambda i: (F.col("date") <= F.lit(days[i])) & ((F.col("date") > F.lit(days[i - 1])) if i else F.lit(True))
+    each = lambda f: F.array(*(f(span(i)) for i in range(len(days))))
+    states = facts.filter(F.col("date") <= F.lit(days[-1])).groupBy(*keys).agg(
+        each(lambda c: F.min(F.when(c, F.col("date")))).alias("_from"),
+        each(lambda c: F.min(F.when(c & sold, F.col("date")))).alias("_first"),
+        each(lambda c: F.max(F.when(c & sold, F.col("date")))).alias("_last"),
+        each(lambda c: F.count_if(c & sold)).alias("_n"),
+        each(lambda c: F.coalesce(F.sum(F.when(c & sold, F.col(qty))), F.lit(0))).alias("_sum"),
+    )
+    upto = lambda c: F.slice(c, 1, F.col("_i") + 1)
+    total = lambda c: F.aggregate(upto(c), F.lit(0).cast("long"), lambda x, y: x + y.cast("long"))
+    rows = states.select("*", F.posexplode(F.array(*(F.lit(d) for d in days))).alias("_i", "cutoff"))
+    rows = rows.select(*keys, "cutoff", F.array_min(upto("_from")).alias("spine_start"), F.array_min(upto("_first")).alias("first_sale_date"), F.array_max(upto("_last")).alias("last_sale_date"), total("_n").alias("n_pos"), total("_sum").alias("sum_sales"))
+    rows = rows.filter("spine_start IS NOT NULL").withColumn("history_days", F.datediff("cutoff", "spine_start") + 1)
+    return assign_tier(rows.withColumn("days_since_last_sale", F.datediff("cutoff", "last_sale_date")), cfg)
+
+
 def tier_counts_by_fold(facts: DataFrame, cfg: Config) -> DataFrame:
-    """Series by fold and tier as of each fold's last training day."""
-    out = None
-    for fold in cfg.folds:
-        one = tiers_asof(facts, fold.train_end, cfg).groupBy("tier_name").agg(F.count("*").alias("n_series")).withColumn("fold_id", F.lit(fold.fold_id))
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Series by fold and tier as of each fold's last training day, all folds in one pass."""
+    tiers = tiers_by_cutoff(facts, [f.train_end for f in cfg.folds], cfg).groupBy("cutoff", "tier_name").agg(F.count("*").alias("n_series"))
+    folds = F.array(*(F.struct(F.lit(f.fold_id).alias("fold_id"), F.lit(f.train_end).alias("cutoff")) for f in cfg.folds))
+    names = F.transform(F.filter(folds, lambda f: f["cutoff"] == F.col("cutoff")), lambda f: f["fold_id"])
+    return tiers.select("tier_name", "n_series", F.explode(names).alias("fold_id"))
 
 
 def fold_counts(labelled: DataFrame, by=("fold_id", "split_role")) -> DataFrame:
