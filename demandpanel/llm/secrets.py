@@ -173,7 +173,7 @@ def op5_secret_scan_by_spread(spark, sf_dir: str) -> DataFrame:
     return secrets(read(spark, sf_dir, "documents")).withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
 
 
-def _sql() -> str:
+def _sql(with_spread: bool = False) -> str:
     q = lambda r: "'" + r.replace("'", "''") + "'"
     found = " UNION ALL ".join(
         f"SELECT rid, o, r, t, '{kind}' AS kind, {k} AS ord, m, v, p FROM (SELECT rid, o, r, t, regexp_extract_all(t, {q(p)}) AS m, regexp_extract_all(t, {q(p)}, {g}) AS v, string_split_regex(t, {q(p)}) AS p FROM d)"
@@ -193,9 +193,10 @@ j AS (SELECT c.*, repos, owners, repos >= {WIDELY[0]} AND owners >= {WIDELY[1]}
 l AS (SELECT *, NOT example AND NOT regexp_matches(value, {q(PLACEHOLDER)}) AS live FROM j),
 x AS (SELECT rid, count(DISTINCT CASE WHEN live THEN (a, e) END) AS n_live, count(DISTINCT CASE WHEN example THEN value END) AS n_example, max(repos) AS n_repos, max(owners) AS n_owners FROM l GROUP BY ALL),
 b AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, ord) AS base FROM s WHERE kind <> 'token' GROUP BY ALL),
-g AS (SELECT rid, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, ord, e) AS spans FROM (SELECT rid, kind, ord, a, e FROM s WHERE kind <> 'token' UNION ALL SELECT DISTINCT rid, 'live', 3, a, e FROM l WHERE live) GROUP BY ALL)
-SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(n_repos, 0) AS n_repos, coalesce(n_owners, 0) AS n_owners
-FROM d LEFT JOIN b USING (rid) LEFT JOIN g USING (rid) LEFT JOIN x USING (rid)"""
+g AS (SELECT rid, string_agg(kind || ':' || a || ':' || e, ',' ORDER BY a, ord, e) AS spans FROM (SELECT rid, kind, ord, a, e FROM s WHERE kind <> 'token' UNION ALL SELECT DISTINCT rid, 'live', 3, a, e FROM l WHERE live) GROUP BY ALL),
+y AS (SELECT rid, string_agg(concat_ws(':', a, e, repos, owners), ',' ORDER BY a, e, repos, owners) AS spread FROM (SELECT DISTINCT rid, a, e, repos, owners FROM l) GROUP BY ALL)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(n_repos, 0) AS n_repos, coalesce(n_owners, 0) AS n_owners{", coalesce(spread, '') AS spread" if with_spread else ""}
+FROM d LEFT JOIN b USING (rid) LEFT JOIN g USING (rid) LEFT JOIN x USING (rid) LEFT JOIN y USING (rid)"""
 
 
-OP5_SQL = _sql()
+OP5_SQL, OP5_BY_SPREAD_SQL = _sql(), _sql(with_spread=True)

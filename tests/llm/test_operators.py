@@ -406,7 +406,18 @@ def test_boilerplate_is_whole(spark):
     rows += [(i, f"{nav}\nOf.\nmine {i}", "few") for i in range(3)] + [(i, f"{nav}\nmine {i}" if i < 2 else f"mine {i}", "six") for i in range(6)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r["source"]: r["n"] for r in line_dedup.line_dedup(df).groupBy("source").agg(F.sum("n_dropped").alias("n")).collect()}
-    assert got == {"a": 9, "b": 12, "c": 0, "few": 3, "six": 0}
+    assert got == {"a": 9, "b": 12, "c": 0, "few": 6, "six": 2}
+
+
+def test_hosts_of_every_size(spark):
+    """One law: what all four pages of a host hold goes, however short; on two of 100 pages, or on one page alone, it stays."""
+    rows = [(i, f"Menu Home\nown {i}", "four") for i in range(4)] + [(10, "only\nonly", "one")] + [(100 + i, "by chance" if i < 2 else f"own {i}", "hundred") for i in range(100)]
+    rows += [(300 + i, f"nav\nown {i}", None) for i in range(5)] + [(400, "\n".join(f"line {i}" for i in range(20_000)), "hundred")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for limit in (0, line_dedup.BROADCAST_BYTES):
+        got = line_dedup.line_dedup(df, broadcast_bytes=limit)
+        assert {r["source"]: r["n"] for r in got.groupBy("source").agg(F.sum("n_dropped").alias("n")).collect()} == {"four": 4, "one": 0, "hundred": 0, None: 5}
+        assert got.count() == len(rows) and got.filter("doc_id = 400").first()["n_lines"] == 20_000
 
 
 def test_no_line_is_split_between_sources(spark):
