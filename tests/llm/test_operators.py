@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -623,6 +624,32 @@ def test_chance_makes_no_rule(spark):
     assert url_filter.mine(labels.select(url_filter.tokens(F.col("url")).alias("items"), "block")).count() == 0
 
 
+@pytest.mark.parametrize("k", [13, 60])
+def test_mining_of_overlapping_long_urls_ends(spark, k):
+    """Each of k URLs lacks another of k steps, so nearly all sets of steps are frequent. Counts are those over whole URLs."""
+    steps = [f"step{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(k)]
+    bad = [("http://bad.net/" + "/".join(s for j, s in enumerate(steps) if j != i), True) for i in range(k)]
+    good = [(f"http://good.net/{chr(97 + i % 26)}", False) for i in range(3 * k)]
+    labels = spark.createDataFrame(bad + good, "url string, block boolean").select(url_filter.tokens(F.col("url")).alias("items"), "block")
+    baskets = [(set(r["items"]), r["block"]) for r in labels.collect()]
+    start = time.monotonic()
+    rules = url_filter.mine(labels).collect()
+    assert time.monotonic() - start < 90 and rules
+    for r in rules:
+        held = [b for t, b in baskets if set(r["rule"]) <= t]
+        assert (r["n"], r["confidence"]) == (len(held), sum(held) / len(held))
+
+
+def test_equally_sure_rules(spark):
+    """Of equally sure rules the one of larger support is named, then the last by its tokens."""
+    bad = [(f"http://h{chr(97 + i % 20)}.net/{p}/{chr(97 + i % 7)}", True) for p, n in (("ads", 30), ("spam", 20), ("zap", 20)) for i in range(n)]
+    good = [(f"http://h{chr(97 + i % 20)}.net/news/{chr(97 + i % 7)}", False) for i in range(90)]
+    labels = spark.createDataFrame(bad + good, "url string, block boolean")
+    pages = spark.createDataFrame([(1, "http://new.net/spam/ads"), (2, "http://new.net/spam/zap"), (3, "http://new.net/news/x")], "page_id long, url string")
+    got = {r["page_id"]: r["mined"] for r in url_filter.url_filter(pages, labels).collect()}
+    assert got == {1: "p:ads", 2: "p:zap", 3: None}
+
+
 def test_long_urls_and_ties(spark):
     bad = [("http://a.net/x/" + "y/" * 30, True)] * 8 + [("http://b.net/z", False)] * 20 + [(None, True), ("http://c.net/", None)]
     labels = spark.createDataFrame(bad, "url string, block boolean")
