@@ -594,9 +594,11 @@ def test_mined_rules(spark):
     assert all((got[i]["verdict"] == "block") == any(x <= set(page[i]) for x in rules) for i in got)
 
 
-def test_mining_finds_all_rules_and_no_other(spark):
+@pytest.mark.parametrize("limit", [0, url_filter.BROADCAST_BYTES])
+def test_mining_finds_all_rules_and_no_other(spark, monkeypatch, limit):
     from itertools import combinations
 
+    monkeypatch.setattr(url_filter, "BROADCAST_BYTES", limit)
     rng = random.Random(6)
     baskets = []
     for _ in range(120):
