@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandpanel.config import KEYS, Config
 from demandpanel.functions.columns import flag, key_hash
+from demandpanel.operators.ranks import exact_quantiles
 
 
 def daily_grain(df: DataFrame, keys=KEYS, date_col: str = "date", qty: str = "sales", to: str = "saleqty") -> DataFrame:
@@ -20,7 +21,7 @@ def positive_quantile(df: DataFrame, p: float, qty: str = "saleqty", exact: bool
     """One row ``q``: the quantile of the positive quantities, from a sketch or exactly."""
     x = F.when(F.col(qty) > 0, F.col(qty))
     if exact:
-        return df.agg(F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY CASE WHEN {qty} > 0 THEN {qty} END)").alias("q"))
+        return exact_quantiles(df, x, [p], linear=False).select(F.get("q", F.lit(0)).alias("q"))
     return df.agg(F.percentile_approx(x, p, 10_000).alias("q"))
 
 
@@ -49,7 +50,7 @@ def iqr_flag(df: DataFrame, k: float = 3.0, keys=KEYS, qty: str = "sales_clean")
 
 def trim_outliers(df: DataFrame, p: float = 0.995, y: str = "y") -> DataFrame:
     """Rows up to the p-quantile of y (linear)."""
-    return df.filter(F.col(y) <= df.agg(F.percentile(y, p)).scalar())
+    return df.filter(F.col(y) <= exact_quantiles(df, F.col(y), [p]).select(F.get("q", F.lit(0))).scalar())
 
 
 def join_sku_attr(df: DataFrame, attr: DataFrame, key: str = "sku_id", column: str = "local_imported_attribute") -> DataFrame:

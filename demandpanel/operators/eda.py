@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandpanel.config import KEYS
 from demandpanel.functions.columns import flag, ratio
+from demandpanel.operators.ranks import exact_quantiles
 from demandpanel.operators.stats import abc
 
 
@@ -17,7 +18,7 @@ def density(facts: DataFrame, y: str = "sales_clean") -> DataFrame:
 
 
 def sales_percentiles(facts: DataFrame, ps=(0.5, 0.9, 0.95, 0.99), y: str = "sales_clean") -> DataFrame:
-    got = facts.agg(F.percentile(y, F.array(*(F.lit(p) for p in ps))).alias("_q"))
+    got = exact_quantiles(facts, F.col(y), list(ps)).withColumnRenamed("q", "_q")
     return got.select(F.explode(F.arrays_zip(F.array(*(F.lit(p) for p in ps)).alias("percentile"), F.col("_q").alias("value"))).alias("x")).select("x.percentile", "x.value")
 
 
