@@ -20,7 +20,8 @@ def exact_quantiles(df: DataFrame, value: Column, ps: list[float], linear: bool
     alone are sorted. The sketch decides how large a range is, not what comes out.
     """
     counts = df.select(value.alias("x")).filter("x IS NOT NULL").groupBy("x").agg(F.count("*").alias("n"))
-    cuts = counts.agg(F.percentile_approx("x", [i / ranges for i in range(1, ranges)], 10 * ranges).alias("cuts"))
+    # all uses of the counts read both columns, so that one shuffle serves them
+    cuts = counts.agg(F.percentile_approx(F.when(F.col("n") > 0, F.col("x")), [i / ranges for i in range(1, ranges)], 10 * ranges).alias("cuts"))
     # one row of numbers; a value's range is found by bisection
     placed = counts.crossJoin(F.broadcast(cuts)).select("x", "n", _place(F.col("cuts"), F.col("x"), ranges).alias("range"))
     per_range = placed.groupBy("range").agg(F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("here"))
