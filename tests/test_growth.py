@@ -1,5 +1,6 @@
 """Steps whose work must grow no faster than the input: results as before, on fewer rows, shuffles and partitions."""
 
+import re
 from datetime import date, timedelta
 
 from pyspark.sql import Window
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from demandpanel.config import KEYS
 from demandpanel.operators import models as ML
 from demandpanel.operators import windows as W
-from demandpanel.operators.panel import dense_panel
+from demandpanel.operators.panel import dense_panel, join_days
 from demandpanel.sources import testdata as T
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +59,19 @@ def test_counted_rows_fit_the_same_model(spark):
     m = ML.fit_two_stage(df, ["a", "b"], trees=3, depth=3)
     got = m.transform(df).agg(F.avg("p"), F.avg(F.when(F.col("y") > 0, F.abs(F.col("qty") - F.col("y"))))).first()
     assert abs(got[0] - sum(r[2] > 0 for r in rows) / len(rows)) < 1e-6 and got[1] < 1e-6
+
+
+def test_days_join_by_key_alone(spark):
+    day = lambda k: date(2024, 1, 1) + timedelta(k)
+    rows = spark.createDataFrame([(s, "x", day(k)) for s in ("a", "b", "c", None) for k in range(-1, 9)] + [("a", "y", None)], "store_id string, sku_id string, date date")
+    days = spark.createDataFrame([(s, day(k), k, None if k == 2 else float(k)) for s in ("a", "b", None) for k in ((0, 2, 7) if s == "a" else (3,))], "store_id string, date date, n int, v double")
+    got = join_days(rows, days, "store_id", ["n", "v"])
+    want = rows.join(days, ["store_id", "date"], "left").select(got.columns)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count() == 41
+
+
+def test_store_days_leave_the_panel_where_it_is(spark):
+    # the panel is shuffled once, as facts, on each side of the join, and never by date
+    df = W.assemble_spikes(W.spike_flag(T.panel(spark, SF, by=("store_id",)).select(*KEYS, "date", "y")), date(2001, 5, 14))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and not re.search(r"Exchange hashpartitioning\(store_id#\d+, (date|sku_id)#", plan)
