@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from demandpanel.config import KEYS
+from demandpanel.operators import boosting as B
 from demandpanel.operators import models as ML
 from demandpanel.operators import windows as W
 from demandpanel.operators.panel import dense_panel, join_days
@@ -75,3 +76,26 @@ def test_store_days_leave_the_panel_where_it_is(spark):
     df = W.assemble_spikes(W.spike_flag(T.panel(spark, SF, by=("store_id",)).select(*KEYS, "date", "y")), date(2001, 5, 14))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan and not re.search(r"Exchange hashpartitioning\(store_id#\d+, (date|sku_id)#", plan)
+
+
+def test_counted_rows_have_the_deviance_of_all(spark):
+    rows = [(float(i % 3), 1.0 + i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "y double, mu double")
+    counted = df.groupBy("y", "mu").agg(F.count("*").alias("n"))
+    a, b = df.agg(B.tweedie_deviance("y", "mu")).first()[0], counted.agg(B.tweedie_deviance("y", "mu", weight="n")).first()[0]
+    assert abs(a - b) < 1e-12
+
+
+def test_boosting_counts_rows_of_the_same_bins(spark, tmp_path):
+    sizes = []
+
+    def cut(df):
+        path = f"{tmp_path}/{len(sizes)}"
+        df.write.parquet(path)
+        out = spark.read.parquet(path)
+        sizes.append((out.columns, out.count()))
+        return out
+
+    df = spark.createDataFrame([(float(i % 4), i % 2) for i in range(400)], "x double, y int")
+    B.fit(df, ["x"], B.squared(), cut, rounds=1, depth=1)
+    assert [n for columns, n in sizes if "_b" in columns] == [4]  # 400 before
