@@ -99,3 +99,10 @@ def test_boosting_counts_rows_of_the_same_bins(spark, tmp_path):
     df = spark.createDataFrame([(float(i % 4), i % 2) for i in range(400)], "x double, y int")
     B.fit(df, ["x"], B.squared(), cut, rounds=1, depth=1)
     assert [n for columns, n in sizes if "_b" in columns] == [4]  # 400 before
+
+
+def test_lines_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(T, "LINES", 500)
+    plan = W.lags(T.panel(spark, SF), (1,)).select(*KEYS, "date", "lag_1")._jdf.queryExecution().executedPlan().toString()
+    # daily sums and panel had a shuffle each, and suppliers with their nations one or a broadcast of all lines
+    assert len(re.findall(r"Exchange (?:hash|Single)", plan)) == 1 and "BuildLeft" not in plan
