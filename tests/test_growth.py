@@ -106,3 +106,18 @@ def test_lines_are_shuffled_once(spark, monkeypatch):
     plan = W.lags(T.panel(spark, SF), (1,)).select(*KEYS, "date", "lag_1")._jdf.queryExecution().executedPlan().toString()
     # daily sums and panel had a shuffle each, and suppliers with their nations one or a broadcast of all lines
     assert len(re.findall(r"Exchange (?:hash|Single)", plan)) == 1 and "BuildLeft" not in plan
+
+
+def test_spikes_of_facts_are_those_of_all_days(spark):
+    modes = {m: f"is_{m}" for m in ("mult", "ratio", "hist", "inline")}
+    facts = T.facts(spark, SF)
+    sparse = W.spike_flags(facts.filter(F.col("date") <= F.lit(END)).withColumn("y", F.col("sales_clean")), modes, sparse=True)
+    dense = W.spike_flags(dense_panel(facts, END).withColumn("y", F.col("sales_filled")), modes)
+    columns = [*KEYS, "date", *modes.values()]
+    a, b = (df.filter(" OR ".join(f"{c} = 1" for c in modes.values())).select(columns) for df in (sparse, dense))
+    assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0 < a.count()
+
+
+def test_last_sale_is_looked_up_once(spark):
+    plan = W.recency(T.panel(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"max\(_w\d+#\d+\) windowspecdefinition", plan)) == 1  # each use had its own
