@@ -6,11 +6,12 @@ from datetime import date, timedelta
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from demandpanel.config import KEYS
 from demandpanel.operators import boosting as B
 from demandpanel.operators import models as ML
 from demandpanel.operators import windows as W
-from demandpanel.operators.panel import dense_panel, join_days
+from demandpanel.operators.panel import audit_lag1, dense_panel, join_days
 from demandpanel.sources import testdata as T
 
 SF = "/root/testdata/sf0.001"
@@ -108,6 +109,18 @@ def test_lines_are_shuffled_once(spark, monkeypatch):
     assert len(re.findall(r"Exchange (?:hash|Single)", plan)) == 1 and "BuildLeft" not in plan
 
 
+def test_audit_looks_up_the_day_before_by_its_date(spark):
+    day = lambda k: date(2024, 1, 1) + timedelta(k)
+    # a gap, a day that is there twice, nulls
+    rows = [("a", "x", day(0), 1, None), ("a", "x", day(1), 2, 1), ("a", "x", day(3), 5, 2), ("a", "x", day(4), None, 9), ("a", "x", day(4), 7, 5), ("a", "x", day(5), 0, None), (None, "x", day(0), 1, 1), (None, "x", day(1), 1, 1), ("a", "x", None, 1, 1)]
+    df = spark.createDataFrame(rows, "store_id string, sku_id string, date date, y long, lag_1 long")
+    before = df.select(*KEYS, F.date_add("date", 1).alias("date"), F.col("y").alias("_before"))
+    want = df.join(before, [*KEYS, "date"]).agg(F.count("*"), F.count_if(~F.col("lag_1").eqNullSafe(F.col("_before")))).first()
+    assert tuple(audit_lag1(df).first()) == tuple(want) == (5, 2)
+    plan = audit_lag1(W.lags(T.panel(spark, SF), (1,)))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("explode") == 1  # of one panel, two before
+
+
 def test_spikes_of_facts_are_those_of_all_days(spark):
     modes = {m: f"is_{m}" for m in ("mult", "ratio", "hist", "inline")}
     facts = T.facts(spark, SF)
