@@ -134,3 +134,8 @@ def test_spikes_of_facts_are_those_of_all_days(spark):
 def test_last_sale_is_looked_up_once(spark):
     plan = W.recency(T.panel(spark, SF))._jdf.queryExecution().optimizedPlan().toString()
     assert len(re.findall(r"max\(_w\d+#\d+\) windowspecdefinition", plan)) == 1  # each use had its own
+
+
+def test_extracts_share_one_forecast(spark):
+    plan = entry.queries()["s11_all_extracts"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("explode") == 0  # seven panels before
