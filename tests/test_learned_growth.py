@@ -9,7 +9,9 @@ from demandpanel.operators import calendar as C
 from demandpanel.operators import forecast as FC
 from demandpanel.operators import models as ML
 from demandpanel.operators import production as PR
+from demandpanel.operators import stats as A
 from demandpanel.operators.panel import dense_panel
+from demandpanel.plans.queries2 import ml_rows
 from demandpanel.sources.testdata import CFG
 
 END = date(2001, 11, 4)
@@ -61,3 +63,23 @@ def test_groups_are_counted_in_one_pass(spark):
     rows = spark.range(200).select(F.when(F.col("id") % 2 == 0, "A").otherwise("B").alias("abc"), (F.col("id") % 5).cast("double").alias("lag_1"), (F.col("id") % 3).alias("y"))
     models = ML.fit_segments(rows.mapInPandas(look, rows.schema), ["lag_1"], trees=1, depth=1)
     assert set(models) == {"A", "B"} and seen.value == 200
+
+
+def test_keys_are_summed_once_for_their_segments(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    rows = spark.range(300).select((F.col("id") % 50).cast("string").alias("store_id"), F.lit("k").alias("sku_id"), (F.col("id") % 7).alias("y"))
+    out = A.abc(rows.repartition(3, *KEYS).mapInPandas(look, rows.schema)).collect()
+    assert len(out) == 50 and seen.value == 300
+
+
+def test_rows_of_a_fit_are_those_asked_for(spark):
+    train, val = ml_rows(spark, "/root/testdata/sf0.001", val=False, group=lambda df: df)
+    assert "abc" not in train.columns and val.count() == 0
+    every, later = ml_rows(spark, "/root/testdata/sf0.001")
+    assert later.count() > 0 and train.exceptAll(every.drop("abc")).count() == 0 and train.count() == every.count()
