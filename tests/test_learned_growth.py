@@ -83,3 +83,13 @@ def test_rows_of_a_fit_are_those_asked_for(spark):
     assert "abc" not in train.columns and val.count() == 0
     every, later = ml_rows(spark, "/root/testdata/sf0.001")
     assert later.count() > 0 and train.exceptAll(every.drop("abc")).count() == 0 and train.count() == every.count()
+
+
+def test_tiers_score_a_row_per_series(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(PR, "predict_tiers", lambda models, df: seen.append(df) or df.withColumn("yhat", F.lit(2.0)))
+    late = dense_panel(facts(spark), END, since=END - timedelta(59)).withColumn("y", F.col("sales_filled"))
+    tiers = facts(spark).select(*KEYS).distinct().withColumn("tier_name", F.lit("T1_MATURE"))
+    out = PR.tier_horizon({}, late, tiers, C.closure_dim(spark, CFG), END + timedelta(1), 28)
+    assert "date" not in seen[0].columns and seen[0].count() == 6
+    assert out.count() == out.select(*KEYS, "date").distinct().count() == 6 * 28
