@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,12 @@ ENDS, GAPS = ".,;:!?\n\x0b\x0c\r", " \t"
 FILTER_BITS = 1 << 25
 #: Bytes of text that a task counts at once.
 CHUNK_BYTES = 8_000_000
+#: Bytes of text for each bucket of hashes, and for each task of the last scan: its phrases combine within a task before they move.
+BUCKET_BYTES, NAMING_BYTES = 4_000_000, 64_000_000
+#: Bits of a key: 40 of a hash and 3 of the phrase's size.
+KEY_BITS = 43
 NAMED = "lang string, size int, phrase string, n long"
+BLOCK = "bucket long, many int, gaps binary, n binary"
 
 #: A-Z in lower case, one sign for all ends of pieces, one for all gaps.
 _TABLE = bytes(0x2E if chr(c) in ENDS else 0x20 if chr(c) in GAPS else c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
@@ -55,8 +61,69 @@ def _levels(lang: str, data: bytes, most_words: int):
         yield size, ((hashes >> np.uint64(24)).astype(np.int64) << 3) | size, inside, at, names
 
 
-def _keys(lang: str, data: bytes, most_words: int, now: np.ndarray, before: np.ndarray | None):
-    """How often the keys occur of all phrases that are active now and were not at this shard's scan before."""
+def _blocks(keys: np.ndarray, n: np.ndarray, shift: int) -> pa.RecordBatch:
+    """Sorted keys and their counts as a row per bucket, the keys' upper bits: gaps between keys byte by byte, lowest bytes first, and
+    counts as bytes, those of 255 and more once again in full behind. Three to four bytes a key once Spark has packed them."""
+    at = keys >> shift
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1, [len(keys)]))
+    gaps = np.diff(keys, prepend=0)
+    gaps[edges[:-1]] = keys[edges[:-1]] - (at[edges[:-1]] << shift)
+    low, parts = np.minimum(n, 255).astype(np.uint8), gaps.astype("<i8").view(np.uint8).reshape(-1, 8)
+    packed, counts = [], []
+    for i, j in zip(edges[:-1], edges[1:], strict=True):
+        width = max((int(gaps[i:j].max()).bit_length() + 7) // 8, 1)
+        packed.append(parts[i:j, :width].T.tobytes())
+        counts.append(low[i:j].tobytes() + n[i:j][n[i:j] >= 255].astype("<i8").tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(at[edges[:-1]]), pa.array(np.diff(edges).astype(np.int32)), pa.array(packed, pa.binary()), pa.array(counts, pa.binary())], names=["bucket", "many", "gaps", "n"])
+
+
+def _unpacked(blocks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of blocks of one bucket without their upper bits, and their counts, as the blocks hold them."""
+    keys, counts = [], []
+    for many, gaps, n in zip(blocks["many"].to_pylist(), blocks["gaps"], blocks["n"], strict=True):
+        gaps, n = np.frombuffer(gaps.as_buffer(), np.uint8), np.frombuffer(n.as_buffer(), np.uint8)
+        wide = np.zeros((many, 8), np.uint8)
+        wide[:, : len(gaps) // many] = gaps.reshape(-1, many).T
+        keys.append(np.cumsum(wide.view("<i8").ravel()))
+        count = n[:many].astype(np.int64)
+        count[count == 255] = np.frombuffer(n[many:].tobytes(), "<i8")
+        counts.append(count)
+    return np.concatenate(keys), np.concatenate(counts)
+
+
+def _added(blocks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The different keys of blocks of one bucket, sorted, and the sums of their counts."""
+    keys, n = _unpacked(blocks)
+    room = 63 - int(keys.max()).bit_length()
+    if int(n.max()).bit_length() <= room:  # both fit into a number, which sorts faster
+        both = np.sort((keys << room) | n)
+        keys, n = both >> room, both & ((1 << room) - 1)
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(n, first)
+
+
+def _merged(shift: int, blocks: pa.Table) -> pa.Table:
+    """Blocks of one bucket as one."""
+    keys, n = _added(blocks)
+    return pa.Table.from_batches([_blocks(keys + (blocks["bucket"][0].as_py() << shift), n, shift)])
+
+
+def _frequent(shift: int, slots: int, threshold: int, most_words: int, blocks: pa.Table) -> pa.Table:
+    """The bits of a bucket's keys, of phrases up to ``most_words`` words, that occur ``threshold`` times."""
+    keys, n = _added(blocks)
+    keys = keys[(n >= threshold) & (keys % 8 <= most_words)] + (blocks["bucket"][0].as_py() << shift)
+    slot, bit = (keys >> 9) & (slots - 1), np.uint64(1) << ((keys >> 3) & 63).astype(np.uint64)
+    order = np.argsort(slot, kind="stable")
+    slot, first = np.unique(slot[order], return_index=True)
+    bits = np.bitwise_or.reduceat(bit[order], first) if len(first) else np.zeros(0, np.uint64)
+    return pa.table({"slot": slot.astype(np.int64), "bits": bits.view(np.int64)})
+
+
+def _keys(shift: int, lang: str, data: bytes, most_words: int, now: np.ndarray, before: np.ndarray | None):
+    """How often the keys occur of all phrases that are active now and were not at this shard's scan before, as blocks."""
     parts = None
     for size, keys, inside, _, _ in _levels(lang, data, most_words):
         if size == 1:
@@ -70,7 +137,7 @@ def _keys(lang: str, data: bytes, most_words: int, now: np.ndarray, before: np.n
         parts = keys
         found, n = np.unique(keys[take], return_counts=True)
         if len(found):
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n.astype(np.int64))], names=["key", "n"])
+            yield _blocks(found, n.astype(np.int64), shift)
 
 
 def _phrases(lang: str, data: bytes, most_words: int, often: np.ndarray, _):
@@ -119,10 +186,10 @@ def _scan(count, most_words: int, chunk_bytes: int, now, before=None):
     return run
 
 
-def _reached(counts: DataFrame, threshold: int, slots: int) -> np.ndarray:
-    """The bits of all keys that occur ``threshold`` times, by Spark; a table of fixed size comes back."""
-    often = counts.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= threshold)
-    table = often.groupBy(F.shiftright("key", 9).bitwiseAND(F.lit(slots - 1)).alias("slot")).agg(F.expr("bit_or(shiftleft(1L, cast(shiftright(key, 3) & 63 AS int)))").alias("bits")).toArrow()
+def _reached(counts: DataFrame, threshold: int, slots: int, shift: int, most_words: int) -> np.ndarray:
+    """The bits of all keys of up to ``most_words`` words that occur ``threshold`` times, by Spark; a table of fixed size comes back."""
+    often = counts.groupBy("bucket").applyInArrow(lambda blocks: _frequent(shift, slots, threshold, most_words, blocks), "slot long, bits long")
+    table = often.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(slots, np.uint64)
     bits[table["slot"].to_numpy()] = table["bits"].to_numpy().astype(np.int64).view(np.uint64)
     return bits
@@ -140,18 +207,22 @@ def phrase_counts(docs: DataFrame, most_words: int = 3, threshold: int = 10, sha
     scan and that of the shard's scan before.
 
     These tables have ``filter_bits`` bits whatever the corpus, and only they pass through the driver. Scans count 40-bit hashes of phrases,
-    which move as two numbers; what they add up to so far stands in one table bucketed by hash, to which each scan appends, so that
-    looking up what has reached the threshold shuffles nothing. A hash or a bit that phrases share makes them active or frequent
+    which move in sorted blocks, as gaps of some three bytes; what they add up to so far stands in one table bucketed by hash, to which
+    each scan appends, so that looking up what has reached the threshold shuffles nothing. A bucket's blocks are added up
+    together; there is one for each ``BUCKET_BYTES`` of text, so none grows with the corpus. A hash or a bit that phrases share makes them active or frequent
     without need, never late: an exact check follows, a last scan that names the phrases whose hash is frequent and counts them by name.
 
     Tasks count ``chunk_bytes`` of text at once (a longer piece whole); Spark combines their counts before and after the shuffle,
-    so a frequent phrase moves once a task.
+    so a frequent phrase moves once a task; a task of the last scan has ``NAMING_BYTES`` of text where that leaves no core idle.
     """
     spark, slots = docs.sparkSession, filter_bits // 64
     shard = F.pmod(F.monotonically_increasing_id(), F.lit(shards)).cast("int")
     corpus = cut(docs.select(F.coalesce(quoted(lang_col).cast("string"), F.lit("und")).alias("lang"), whole(quoted(text_col)).alias("text"), shard.alias("shard")), by="shard")
     now, seen, table, path = np.zeros(slots, np.uint64), [], f"phrases_{uuid.uuid4().hex}", passing_path(spark)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = corpus.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    shift = KEY_BITS - min((size // BUCKET_BYTES).bit_length(), 20)
+    tasks = max(spark.sparkContext.defaultParallelism, size // NAMING_BYTES + 1)
     sent = []
     try:
         with bounded_batches(spark):
@@ -164,14 +235,14 @@ def phrase_counts(docs: DataFrame, most_words: int = 3, threshold: int = 10, sha
                     continue
                 tables = [spark.sparkContext.broadcast(x) for x in (now, before) if x is not None]
                 sent += tables
-                found = corpus.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_scan(_keys, most_words, chunk_bytes, *tables), "key long, n long")
-                found.groupBy("key").agg(F.sum("n").alias("n")).write.bucketBy(buckets, "key").saveAsTable(table, format="parquet", mode="append", path=path)
+                found = corpus.filter(F.col("shard") == step % shards).select("lang", "text").mapInArrow(_scan(partial(_keys, shift), most_words, chunk_bytes, *tables), BLOCK)
+                found.groupBy("bucket").applyInArrow(lambda blocks: _merged(shift, blocks), BLOCK).write.bucketBy(buckets, "bucket").saveAsTable(table, format="parquet", mode="append", path=path)
                 while sent:
                     sent.pop().destroy()  # else their files stay in all executors
-                now = _reached(spark.table(table).filter((F.col("key") % 8) < most_words), threshold, slots)
-            often = spark.sparkContext.broadcast(_reached(spark.table(table), threshold, slots))
+                now = _reached(spark.table(table), threshold, slots, shift, most_words - 1)
+            often = spark.sparkContext.broadcast(_reached(spark.table(table), threshold, slots, shift, most_words))
             sent.append(often)
-            named = corpus.select("lang", "text").mapInArrow(_scan(_phrases, most_words, chunk_bytes, often), NAMED)
+            named = corpus.select("lang", "text").coalesce(tasks).mapInArrow(_scan(_phrases, most_words, chunk_bytes, often), NAMED)
             return cut(named.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n")).filter((F.col("n") >= threshold) | (F.col("size") == 0)))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")

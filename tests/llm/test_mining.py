@@ -6,6 +6,9 @@ import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -244,3 +247,26 @@ def test_phrase_counts_are_whole(spoken):
 def test_phrases_of_nothing(spark):
     assert phrases.collocations(spark.createDataFrame([], DOCS)).count() == 0
     assert phrases.collocations(spark.createDataFrame([(1, None, None, None)], DOCS)).count() == 0
+
+
+def test_counts_move_in_blocks_of_few_bytes():
+    """A scan's keys and counts come back whole from blocks, take less than half of two numbers, and add up beyond 255 and 2**40."""
+    shift = phrases.KEY_BITS - 6
+    rng = np.random.default_rng(7)
+    keys = np.unique(rng.integers(0, 1 << phrases.KEY_BITS, 50_000))
+    n = np.where(np.arange(len(keys)) % 9 == 0, rng.integers(255, 1 << 41, len(keys)), 1)
+    one = pa.Table.from_batches([phrases._blocks(keys, n, shift)])
+    few = pa.Table.from_batches([phrases._blocks(keys[::3], n[::3], shift)])
+    assert one.num_rows == 64
+    plain = pa.Table.from_batches([phrases._blocks(keys, np.ones_like(keys), shift)])
+    assert sum(len(x) for c in ("gaps", "n") for x in plain[c].to_pylist()) < 8 * len(keys)
+    want = dict(zip(keys.tolist(), n.tolist(), strict=True))
+    for k, v in zip(keys[::3].tolist(), n[::3].tolist(), strict=True):
+        want[k] += v
+    got = {}
+    for b in range(64):
+        blocks = pa.concat_tables([t.filter(pc.equal(t["bucket"], b)) for t in (one, few)])
+        found, sums = phrases._unpacked(phrases._merged(shift, blocks))
+        assert (np.diff(found) > 0).all()
+        got |= dict(zip((found + (b << shift)).tolist(), sums.tolist(), strict=True))
+    assert got == want
